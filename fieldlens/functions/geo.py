@@ -305,3 +305,29 @@ def parse_coordinates(text: Column) -> Column:
         F.get(F.split(t, ","), F.lit(1)).try_cast("double").alias("y")))
     good = F.forall(pairs, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
     return F.when(good & (F.size(pairs) > 0), pairs)
+
+
+def utm_to_lonlat(east: Column, north: Column, zone: Column, south: Column) -> Column:
+    """Inverse of the UTM projection (Krüger series) as ``struct<x: lon, y: lat>``."""
+    q, radius, _ = _series()
+    n = WGS84_F / (2 - WGS84_F)
+    beta = (n / 2 - 2 * n ** 2 / 3 + 37 * n ** 3 / 96 - n ** 4 / 360,
+            n ** 2 / 48 + n ** 3 / 15 - 437 * n ** 4 / 1440,
+            17 * n ** 3 / 480 - 37 * n ** 4 / 840,
+            4397 * n ** 4 / 161280)
+    delta = (2 * n - 2 * n ** 2 / 3 - 2 * n ** 3 + 116 * n ** 4 / 45,
+             7 * n ** 2 / 3 - 8 * n ** 3 / 5 - 227 * n ** 4 / 45,
+             56 * n ** 3 / 15 - 136 * n ** 4 / 35,
+             4279 * n ** 4 / 630)
+    xi = (north - F.when(south, 10000000.0).otherwise(0.0)) / (UTM_K0 * radius)
+    eta = (east - UTM_E0) / (UTM_K0 * radius)
+    xi1, eta1 = xi, eta
+    for j, b in enumerate(beta, 1):
+        xi1 = xi1 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        eta1 = eta1 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
+    lat = chi
+    for j, d in enumerate(delta, 1):
+        lat = lat + d * F.sin(2 * j * chi)
+    lon = F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1))) + 6 * zone - 183
+    return F.struct(lon.alias("x"), F.degrees(lat).alias("y"))
