@@ -11,6 +11,7 @@ def local_session(cpus: str | int = 8, name: str = "fieldlens", memory: str = "8
              .config("spark.driver.memory", memory)
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
