@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fieldlens.functions.text import SPACE, is_null_second, phrase_key, value_key
+from fieldlens.functions.steps import compose
+from fieldlens.functions.text import (ASCII_SPACE, PHRASE_KEY_STEPS, SPACE, VALUE_KEY_STEPS, is_ascii, is_null_second,
+                                      strip_space, value_key)
 
 # Accepted spellings of yes and no (first pack, second pack).
 TRUE_WORDS = ("oui", "true", "vrai", "1", "yes", "o", "y", "t")
@@ -16,48 +18,68 @@ FALSE_WORDS_SECOND = FALSE_WORDS
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def _finite(text: Column) -> Column:
+def _plain_number(text: Column) -> Column:
     """Double for plain number text only: a bare cast would also take '1d', 'NaN' and 'Infinity'."""
-    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def _finite(number: Column) -> Column:
     return F.when(F.abs(number) < float("inf"), number)
 
 
-def number_first(c: Column) -> Column:
-    """Number of the first pack: all blanks removed, comma accepted; null when not finite."""
-    t = F.replace(F.regexp_replace(c, SPACE, ""), F.lit(","), F.lit("."))
-    return _finite(F.regexp_replace(t, r"(?<=\d)_(?=\d)", ""))
+def _no_space(c: Column) -> Column:
+    return F.when(is_ascii(c), F.regexp_replace(c, ASCII_SPACE, "")).otherwise(F.regexp_replace(c, SPACE, ""))
+
+
+def _dot(c: Column) -> Column:
+    return F.replace(c, F.lit(","), F.lit("."))
+
 
+def _no_underscore(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")
 
-def number_second(c: Column) -> Column:
-    """Number of the second pack: comma accepted, plain blanks removed."""
-    t = F.replace(F.replace(c, F.lit(","), F.lit(".")), F.lit(" "), F.lit(""))
-    return F.when(~is_null_second(c), _finite(F.regexp_replace(t, f"^{SPACE}+|{SPACE}+$", "")))
+
+# Number of the first pack: all blanks removed, comma accepted; null when not finite.
+NUMBER_STEPS = [_no_space, lambda c: _no_underscore(_dot(c)), _plain_number, _finite]
+number_first = compose(NUMBER_STEPS)
+
+
+# Number of the second pack: comma accepted, plain blanks removed.
+NUMBER_SECOND_STEPS = [
+    lambda c: F.when(~is_null_second(c), F.replace(_dot(c), F.lit(" "), F.lit(""))), strip_space, _plain_number, _finite]
+number_second = compose(NUMBER_SECOND_STEPS)
 
 
 def bad_number_second(c: Column) -> Column:
     return ~is_null_second(c) & number_second(c).isNull()
 
 
-def bool_first(c: Column) -> Column:
-    key = value_key(c)
+def _yes_no(key: Column) -> Column:
     return F.when(key.isin(*TRUE_WORDS), True).when(key.isin(*FALSE_WORDS), False)
 
 
-def bool_second(c: Column) -> Column:
-    key = phrase_key(c)
-    return F.when(is_null_second(c), None).when(key.isin(*TRUE_WORDS_SECOND), True) \
-        .when(key.isin(*FALSE_WORDS_SECOND), False).cast("boolean")
+def _yes_no_second(key: Column) -> Column:
+    return F.when(key.isin(*TRUE_WORDS_SECOND), True).when(key.isin(*FALSE_WORDS_SECOND), False)
+
+
+BOOL_STEPS = [*VALUE_KEY_STEPS, _yes_no]
+bool_first = compose(BOOL_STEPS)
+# a null token is no word of either list, so it needs no test of its own
+BOOL_SECOND_STEPS = [*PHRASE_KEY_STEPS, _yes_no_second]
+bool_second = compose(BOOL_SECOND_STEPS)
 
 
 def bad_bool_second(c: Column) -> Column:
     return ~is_null_second(c) & bool_second(c).isNull()
 
 
+# Number behind a value that different file formats write differently ('5', '5.0'); null for other text.
+COMPARABLE_NUMBER_STEPS = [strip_space, lambda c: _no_underscore(_dot(c)), _plain_number, _finite]
+
+
 def comparable(c: Column) -> Column:
     """Value for equality tests across file formats: numbers by value, the rest by key, null as ''."""
-    t = F.replace(F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", ""), F.lit(","), F.lit("."))
-    number = _finite(F.regexp_replace(t, r"(?<=\d)_(?=\d)", ""))
-    return F.coalesce(number.cast("string"), value_key(c))
+    return F.coalesce(compose(COMPARABLE_NUMBER_STEPS)(c).cast("string"), value_key(c))
 
 
 ISO_DATE = r"^\d{4}(-\d{1,2}(-\d{1,2})?)?$"
@@ -76,63 +98,68 @@ def _stamp(year: Column, month: Column, day: Column, clock: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
-def parse_date(c: Column) -> Column:
-    """Timestamp without zone: ISO 8601 first, then day-first forms; the wall time of an offset is kept."""
-    t = F.regexp_replace(F.trim(c), f"^{SPACE}+|{SPACE}+$", "")
-    timed = t.rlike(r"\d:\d{2}|T\d")
-    t = F.when(timed, F.regexp_replace(t, OFFSET, "")).otherwise(t)
+def _wall_time(t: Column) -> Column:
+    return F.when(t.rlike(r"\d:\d{2}|T\d"), F.regexp_replace(t, OFFSET, "")).otherwise(t)
+
+
+def _iso(t: Column) -> Column:
     dashed = F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})(?=$|T)", "$1-$2-$3")
-    hour_only = F.when(dashed.rlike(r"[T ]\d{1,2}$"), F.concat(dashed, F.lit(":00"))).otherwise(dashed)
-    iso = F.when(dashed.rlike(ISO_DATE) | dashed.rlike(ISO_STAMP),
-                 F.replace(hour_only, F.lit(","), F.lit(".")).try_cast("timestamp_ntz"))
+    full = F.replace(F.regexp_replace(dashed, r"([T ]\d{1,2})$", "$1:00"), F.lit(","), F.lit("."))
+    return F.when(dashed.rlike(f"{ISO_DATE}|{ISO_STAMP}"), full.try_cast("timestamp_ntz"))
 
-    def part(pattern, i):
-        return F.regexp_extract(t, pattern, i)
 
-    first, second, year = (part(DAY_FIRST, i) for i in (1, 2, 3))
-    year = F.when(F.length(year) == 2,
-                  F.concat(F.when(year.try_cast("int") <= 68, "20").otherwise("19"), year)).otherwise(year)
+def _day_first(t: Column) -> Column:
+    first, second, year, clock = (F.regexp_extract(t, DAY_FIRST, i) for i in (1, 2, 3, 4))
+    year = F.when(F.length(year) == 4, year).otherwise(
+        F.concat(F.when(year.try_cast("int") <= 68, "20").otherwise("19"), year))
     swap = second.try_cast("int") > 12
-    day_first = F.when(t.rlike(DAY_FIRST), _stamp(year, F.when(swap, first).otherwise(second),
-                                                  F.when(swap, second).otherwise(first), part(DAY_FIRST, 4)))
+    return F.when(t.rlike(DAY_FIRST), _stamp(year, F.when(swap, first).otherwise(second),
+                                             F.when(swap, second).otherwise(first), clock))
+
 
+def _named_month(t: Column) -> Column:
     def named(pattern, day_at, month_at):
-        at = F.instr(F.lit(MONTH_NAMES), F.lower(part(pattern, month_at)))
+        at = F.instr(F.lit(MONTH_NAMES), F.lower(F.regexp_extract(t, pattern, month_at)))
         month = F.when((at > 0) & (at % 3 == 1), ((at + 2) / 3).cast("int").cast("string"))
-        return F.when(t.rlike(pattern), _stamp(part(pattern, 3), month, part(pattern, day_at), part(pattern, 4)))
+        return F.when(t.rlike(pattern), _stamp(F.regexp_extract(t, pattern, 3), month,
+                                               F.regexp_extract(t, pattern, day_at), F.regexp_extract(t, pattern, 4)))
+    year_first = F.when(t.rlike(SLASH_YEAR_FIRST), _stamp(*(F.regexp_extract(t, SLASH_YEAR_FIRST, i) for i in (1, 2, 3, 4))))
+    return F.coalesce(named(DAY_NAME_MONTH, 1, 2), named(NAME_MONTH_DAY, 2, 1), year_first)
+
+
+def _as_parsed(t: Column) -> Column:
+    return F.struct(t.alias("t"), _iso(t).alias("d"))
+
+
+# Timestamp without zone: ISO 8601 first, then day-first forms; the wall time of an offset is kept.
+DATE_STEPS = [
+    strip_space, _wall_time, _as_parsed,
+    lambda s: F.struct(s["t"].alias("t"), F.coalesce(s["d"], _day_first(s["t"])).alias("d")),
+    lambda s: F.coalesce(s["d"], _named_month(s["t"]))]
+parse_date = compose(DATE_STEPS)
+
 
-    year_first = F.when(t.rlike(SLASH_YEAR_FIRST), _stamp(*(part(SLASH_YEAR_FIRST, i) for i in (1, 2, 3, 4))))
-    return F.coalesce(iso, day_first, named(DAY_NAME_MONTH, 1, 2), named(NAME_MONTH_DAY, 2, 1), year_first)
+def _sci_to_general(sci: Column) -> Column:
+    power = F.regexp_extract(sci, "e([+-][0-9]+)$", 1).try_cast("int")
+    plain = sci.try_cast("decimal(38,15)").cast("string")
+    short = F.regexp_replace(sci, r"\.?0*(e[+-][0-9]+)$", "$1")
+    return F.when((power < -4) | (power >= 6), short).otherwise(F.regexp_replace(plain, r"(\.\d*?)0+$|\.$", "$1"))
 
 
-def _strip_zeros(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+# A number in its shortest 6-digit form, as ``%g`` writes it.
+GENERAL_STEPS = [lambda c: F.when(c.isNotNull(), F.format_string("%.5e", c)), _sci_to_general,
+                 lambda t: F.regexp_replace(t, r"\.$", "")]
 
 
-def general_format(c: Column) -> Column:
-    """A number in its shortest 6-digit form, as ``%g`` writes it."""
-    sci = F.format_string("%.5e", c)
-    mantissa = F.regexp_extract(sci, "^(.*)e", 1)
-    exponent = F.regexp_extract(sci, "e([+-][0-9]+)$", 1)
-    power = exponent.try_cast("int")
-    plain = _strip_zeros(sci.try_cast("decimal(38,15)").cast("string"))
-    return F.when(c.isNull(), None).when((power < -4) | (power >= 6),
-                                         F.concat(_strip_zeros(mantissa), F.lit("e"), exponent)).otherwise(plain)
+general_format = compose(GENERAL_STEPS)
 
 
 def double_text(c: Column) -> Column:
     """Shortest text of a double with the exponent limits of Python's ``str``."""
     text = c.cast("string")
-    size = F.abs(c)
-    digits = _strip_zeros(text.try_cast("decimal(38,18)").cast("string"))
-    whole = F.when(F.contains(digits, F.lit(".")), digits).otherwise(F.concat(digits, F.lit(".0")))
-    mantissa = _strip_zeros(F.regexp_extract(text, "^(.*)E", 1))
-    power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
-    sci = F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"),
-                   F.lpad(F.abs(power).cast("string"), 2, "0"))
-    sci = F.when(F.abs(power) >= 100, F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"),
-                                               F.abs(power).cast("string"))).otherwise(sci)
-    return F.when(~text.contains("E"), text).when((size < 1e16) & (size >= 1e-4), whole).otherwise(sci)
+    whole = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+    sci = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(text), r"\.0e", "e"), r"e(\d)", "e+$1"), r"e([+-])(\d)$", "e$10$2")
+    return F.when(~F.contains(text, F.lit("E")), text).when(F.abs(c).between(1e-4, 9.999999999999998e15), whole).otherwise(sci)
 
 
 def day_text(c: Column) -> Column:

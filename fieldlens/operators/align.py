@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.text import clean_na, name_key, phrase_key, plain_name_key
+from fieldlens.functions.steps import in_steps
+from fieldlens.functions.text import CLEAN_STEPS, name_key, phrase_key, plain_name_key
 from fieldlens.sources.dictionary import Layer, column_lookup
 
 META = ("geom", "_source", "_path", "_file_date", "_multigeom", "_row_src", "_fmt", "_crs_assumed")
@@ -152,9 +153,12 @@ def harmonise(df: DataFrame, layer: Layer) -> DataFrame:
     sources: dict[str, list[str]] = {}
     for c in _data_columns(df):
         sources.setdefault(lookup.match(c) or "x_" + plain_name_key(c), []).append(c)
-    cleaned = [F.coalesce(*[clean_na(F.col(f"`{c}`")) for c in cols]).alias(name) for name, cols in sources.items()]
+    columns = [c for cols in sources.values() for c in cols]
+    temporary = {c: f"_c{i}" for i, c in enumerate(columns)}
+    cleaned = in_steps(df, {t: (F.col(f"`{c}`"), CLEAN_STEPS) for c, t in temporary.items()})
+    merged = [F.coalesce(*[F.col(temporary[c]) for c in cols]).alias(name) for name, cols in sources.items()]
     missing = [F.lit(None).cast("string").alias(v) for v in layer.names if v not in sources]
-    return df.select(*cleaned, *missing, *_meta_columns(df))
+    return cleaned.select(*merged, *missing, *_meta_columns(df))
 
 
 def absent_variables(columns: list[str], layer: Layer) -> list[str]:

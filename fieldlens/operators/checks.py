@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geo
-from fieldlens.functions.text import clean_na, plain_name_key, plain_value_key, split_known_values, value_key
-from fieldlens.functions.values import bool_first, day_text, double_text, general_format, number_first, parse_date
-from fieldlens.operators.rules import FIRST_PACK, rules_for
+from fieldlens.functions.steps import in_steps
+from fieldlens.functions.text import CLEAN_STEPS, VALUE_KEY_STEPS, plain_name_key, plain_value_key, split_known_values
+from fieldlens.functions.values import BOOL_STEPS, DATE_STEPS, GENERAL_STEPS, NUMBER_STEPS, day_text, double_text
+from fieldlens.operators.rules import FIRST_PACK, rules_for, with_value_keys
 from fieldlens.sources.dictionary import Layer, Variable
 
 ISSUE = "struct<seq:int,severity:string,type:string,variable:string,value:string,message:string>"
@@ -55,18 +56,13 @@ def text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def _helpers(v: Variable) -> dict[str, Column]:
-    """Parsed form of a variable, computed once and shared by its checks."""
-    c = F.col(v.name)
-    if v.type == "text" and v.values:
-        return {f"_h_{v.name}": F.when(c.isNotNull(), value_key(c))}
-    if v.type == "multiselect" and v.values:
-        return {f"_h_{v.name}": split_known_values(c, list(v.values))}
+def _helper_steps(v: Variable) -> list:
+    """Steps from the cleaned text of a variable to the parsed form its checks share."""
+    if v.type in ("text", "multiselect") and v.values:
+        return VALUE_KEY_STEPS
     if v.type in ("double", "integer"):
-        return {f"_h_{v.name}": number_first(c)}
-    if v.type == "boolean":
-        return {f"_h_{v.name}": F.when(c.isNotNull(), bool_first(c))}
-    return {}
+        return NUMBER_STEPS
+    return BOOL_STEPS if v.type == "boolean" else []
 
 
 def _canonical(v: Variable) -> Column:
@@ -104,10 +100,10 @@ def _variable_issues(v: Variable, seq: int) -> list[Column]:
                              text(f"« {lab} » : entier attendu, reçu ", c)))
         if v.low is not None:
             out.append(issue(h < v.low, seq + 4, "error", "hors_plage", v.name, double_text(h),
-                             text(f"« {lab} » = ", general_format(h), f" inférieur au minimum plausible ({v.low:g})")))
+                             text(f"« {lab} » = ", F.col(f"_g_{v.name}"), f" inférieur au minimum plausible ({v.low:g})")))
         if v.high is not None:
             out.append(issue(h > v.high, seq + 5, "error", "hors_plage", v.name, double_text(h),
-                             text(f"« {lab} » = ", general_format(h), f" supérieur au maximum plausible ({v.high:g})")))
+                             text(f"« {lab} » = ", F.col(f"_g_{v.name}"), f" supérieur au maximum plausible ({v.high:g})")))
     if v.type == "boolean":
         out.append(issue(c.isNotNull() & h.isNull(), seq + 2, "error", "type_invalide", v.name, c,
                          text(f"« {lab} » : « ", c, " » n'est pas Oui/Non")))
@@ -120,13 +116,22 @@ def value_issues(df: DataFrame, layer: Layer) -> Column:
 
 def canonicalise(df: DataFrame, layer: Layer) -> DataFrame:
     """Typed copy of harmonised rows plus ``_issues`` for required, list, type and range checks."""
-    helpers: dict[str, Column] = {}
+    work = {f"_h_{v.name}": (F.col(v.name), _helper_steps(v)) for v in layer.variables if _helper_steps(v)}
+    df = in_steps(df, work)
+    multi = {f"_h_{v.name}": split_known_values(F.col(v.name), list(v.values), F.col(f"_h_{v.name}"))
+             for v in layer.variables if v.type == "multiselect" and v.values}
+    df = df.withColumns(multi) if multi else df
+    changed = {v.name: _canonical(v) for v in layer.variables if f"_h_{v.name}" in work}
+    # numbers out of range are rare: only they are written out for a message
+    out_of_range = {}
     for v in layer.variables:
-        helpers.update(_helpers(v))
-    if helpers:
-        df = df.withColumns(helpers)
-    changed = {v.name: _canonical(v) for v in layer.variables if f"_h_{v.name}" in helpers}
-    return df.withColumns({**changed, "_issues": value_issues(df, layer)}).drop(*helpers)
+        if v.type in ("double", "integer") and (v.low is not None or v.high is not None):
+            h = F.col(f"_h_{v.name}")
+            outside = F.coalesce((h < v.low) if v.low is not None else F.lit(False), F.lit(False)) \
+                | F.coalesce((h > v.high) if v.high is not None else F.lit(False), F.lit(False))
+            out_of_range[f"_g_{v.name}"] = (F.when(outside, h), GENERAL_STEPS)
+    df = in_steps(df, out_of_range)
+    return df.withColumns({**changed, "_issues": value_issues(df, layer)}).drop(*work, *out_of_range)
 
 
 def add_meta(df: DataFrame, settings: Settings) -> DataFrame:
@@ -146,10 +151,9 @@ def add_meta(df: DataFrame, settings: Settings) -> DataFrame:
     def pick(candidates):
         return next((F.col(f"`{keys[c]}`").cast("string") for c in candidates if c in keys), F.lit(None).cast("string"))
 
-    day = F.to_date(parse_date(pick(settings.date_columns)))
-    return df.withColumns({
-        "_date": F.coalesce(day, F.col("_file_date").cast("date")),
-        "_agent": F.coalesce(clean_na(pick(settings.agent_columns)), F.lit("INCONNU"))})
+    df = in_steps(df, {"_date": (pick(settings.date_columns), DATE_STEPS), "_agent": (pick(settings.agent_columns), CLEAN_STEPS)})
+    return df.withColumns({"_date": F.coalesce(F.to_date("_date"), F.col("_file_date").cast("date")),
+                           "_agent": F.coalesce("_agent", F.lit("INCONNU"))})
 
 
 def add_position(df: DataFrame) -> DataFrame:
@@ -225,6 +229,8 @@ def row_checks(df: DataFrame, layer: Layer, settings: Settings) -> DataFrame:
     if layer.geometry.upper() == "LINESTRING":
         g = F.col("geom")
         df = df.withColumn("_length_m", F.when(geo.single_type(g) == "LINESTRING", geo.length_m(g, settings.utm_zone)))
+    columns = df.columns
+    df = with_value_keys(df, rules_for(FIRST_PACK, layer.name, columns)[0])
     parts = id_issues(layer, settings) + date_issues(settings) + geometry_issues(layer, settings) \
-        + rule_issues(layer, df.columns)
-    return df.withColumn("_issues", F.concat("_issues", *parts)).drop("_length_m")
+        + rule_issues(layer, columns)
+    return df.withColumn("_issues", F.concat("_issues", *parts)).select(*[c for c in columns if c != "_length_m"])

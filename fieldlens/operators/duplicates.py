@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.values import comparable
+from fieldlens.functions.steps import in_steps
+from fieldlens.functions.text import VALUE_KEY_STEPS
+from fieldlens.functions.values import COMPARABLE_NUMBER_STEPS
 from fieldlens.operators.distribution import attach, number_in_order
 
 ROW_KEY = ["_path", "_row_src"]
@@ -21,10 +23,13 @@ def shared_ids(rows: DataFrame, id_col: str, x: str = "_px", y: str = "_py") ->
     return ids.filter(mixed | (F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1"))).select("_id", "n")
 
 
-def signature(columns: list[Column]) -> tuple[Column, Column]:
-    """Two independent hashes of the comparable values of a row."""
-    values = [comparable(c.cast("string")) for c in columns]
-    return F.xxhash64(*values), F.hash(*values).cast("long")
+def with_signature(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``_sig1`` and ``_sig2``, two independent hashes of the comparable values of a row."""
+    text = {c: F.col(c).cast("string") for c in columns}
+    work = {f"_n_{c}": (text[c], COMPARABLE_NUMBER_STEPS) for c in columns}
+    work.update({f"_k_{c}": (text[c], VALUE_KEY_STEPS) for c in columns})
+    values = [F.coalesce(F.col(f"_n_{c}").cast("string"), F.col(f"_k_{c}")) for c in columns]
+    return in_steps(rows, work).withColumns({"_sig1": F.xxhash64(*values), "_sig2": F.hash(*values).cast("long")}).drop(*work)
 
 
 def completeness_of(columns: list[Column]) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geo
-from fieldlens.functions.text import clean_text_second, is_null_second
-from fieldlens.functions.values import bool_second, number_second
+from fieldlens.functions.steps import in_steps
+from fieldlens.functions.text import CLEAN_SECOND_STEPS, is_null_second
+from fieldlens.functions.values import BOOL_SECOND_STEPS, NUMBER_SECOND_STEPS
 from fieldlens.operators.distribution import attach, number_in_order
 from fieldlens.operators.duplicates import keep_first
 from fieldlens.plans import layer_qa_second as second
@@ -34,8 +35,8 @@ class RepairOptions:
 
 
 def clean_texts(df: DataFrame, layer: Layer) -> DataFrame:
-    return df.withColumns({v.name: clean_text_second(F.col(v.name)) for v in layer.variables
-                           if v.type not in ("boolean", "double", "integer")})
+    return in_steps(df, {v.name: (F.col(v.name), CLEAN_SECOND_STEPS) for v in layer.variables
+                         if v.type not in ("boolean", "double", "integer")})
 
 
 def repair_geometry(df: DataFrame) -> DataFrame:
@@ -57,16 +58,9 @@ def explode_parts(df: DataFrame) -> DataFrame:
 
 def coerce_types(df: DataFrame, layer: Layer) -> DataFrame:
     """Booleans and numbers typed; integers rounded half to even; uninterpretable values become null."""
-    out = {}
-    for v in layer.variables:
-        c = F.col(v.name)
-        if v.type == "boolean":
-            out[v.name] = bool_second(c)
-        elif v.type == "double":
-            out[v.name] = number_second(c)
-        elif v.type == "integer":
-            out[v.name] = F.bround(number_second(c)).try_cast("long")
-    return df.withColumns(out) if out else df
+    steps = {"boolean": BOOL_SECOND_STEPS, "double": NUMBER_SECOND_STEPS,
+             "integer": [*NUMBER_SECOND_STEPS, lambda c: F.bround(c).try_cast("long")]}
+    return in_steps(df, {v.name: (F.col(v.name), steps[v.type]) for v in layer.variables if v.type in steps})
 
 
 def repair_domains(df: DataFrame, layer: Layer, cutoff: float) -> DataFrame:

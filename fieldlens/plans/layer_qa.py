@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geo
-from fieldlens.functions.text import value_key
+from fieldlens.functions.steps import in_steps
+from fieldlens.functions.text import VALUE_KEY_STEPS
 from fieldlens.functions.values import day_text
 from fieldlens.operators import checks, duplicates, spatial
 from fieldlens.operators.align import harmonise
@@ -73,12 +74,11 @@ class LayerCheck:
         name = F.col(layer.name_var) if has_name else F.lit(None).cast("string")
         ident = F.col(layer.id_var)
         keys = duplicates.group_keys(ident, name, F.col("_px"), F.col("_py"))
-        sig1, sig2 = duplicates.signature(cols)
-        same = value_key(F.concat_ws(" ", F.coalesce(ident, F.lit("")), F.coalesce(name, F.lit(""))))
-        rows = self.cleaned.select(
-            *ROW_KEY, "_source", "_file_date", *[c.alias(k) for k, c in keys.items()], sig1.alias("_sig1"),
-            sig2.alias("_sig2"), duplicates.completeness_of(cols).alias("_filled"), ident.alias("_id"),
-            "_px", "_py", "_cx", "_cy", same.alias("_same"))
+        both = F.concat_ws(" ", F.coalesce(ident, F.lit("")), F.coalesce(name, F.lit("")))
+        signed = duplicates.with_signature(self.cleaned, layer.names)
+        rows = in_steps(signed, {"_same": (both, VALUE_KEY_STEPS)}).select(
+            *ROW_KEY, "_source", "_file_date", *[c.alias(k) for k, c in keys.items()], "_sig1", "_sig2",
+            duplicates.completeness_of(cols).alias("_filled"), ident.alias("_id"), "_px", "_py", "_cx", "_cy", "_same")
         return durable(geo.with_utm(rows, "_cx", "_cy", self.settings.utm_zone).drop("_cx", "_cy"))
 
     @cached_property

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlens.functions import geo
-from fieldlens.functions.text import (clean_text_second, domain_status, is_null_second, phrase_key, plain_phrase_key,
+from fieldlens.functions.steps import in_steps
+from fieldlens.functions.text import (CLEAN_SECOND_STEPS, domain_status, is_null_second, phrase_key, plain_phrase_key,
                                       split_choices)
-from fieldlens.functions.values import (bad_bool_second, bad_number_second, bool_second, double_text, general_format,
-                                        number_second)
+from fieldlens.functions.values import BOOL_SECOND_STEPS, NUMBER_SECOND_STEPS, double_text
 from fieldlens.operators import spatial
 from fieldlens.operators.distribution import attach
 from fieldlens.operators.duplicates import repeated
-from fieldlens.operators.rules import SECOND_PACK, rules_for
+from fieldlens.operators.rules import SECOND_PACK, rules_for, with_phrase_keys
 from fieldlens.sources.dictionary import Layer, Variable
 
 BOX = (8.3, 1.6, 16.3, 13.2)
@@ -55,13 +55,10 @@ def clean_ident(c: Column) -> Column:
 
 def typed_view(df: DataFrame, layer: Layer) -> DataFrame:
     """Typed copy: numbers, booleans and cleaned text; the received text stays under ``_raw_<name>``."""
-    typed = {}
-    for v in layer.variables:
-        c = F.col(v.name)
-        typed[v.name] = bool_second(c) if v.type == "boolean" else \
-            number_second(c) if v.type in ("double", "integer") else clean_text_second(c)
-    raw = {f"_raw_{v.name}": F.col(v.name) for v in layer.variables if v.type in ("boolean", "double", "integer")}
-    return df.withColumns(raw).withColumns(typed)
+    steps = {"boolean": BOOL_SECOND_STEPS, "double": NUMBER_SECOND_STEPS, "integer": NUMBER_SECOND_STEPS}
+    raw = {f"_raw_{v.name}": F.col(v.name) for v in layer.variables if v.type in steps}
+    df = df.withColumns(raw) if raw else df
+    return in_steps(df, {v.name: (F.col(v.name), steps.get(v.type, CLEAN_SECOND_STEPS)) for v in layer.variables})
 
 
 def id_issues(layer: Layer) -> list[Column]:
@@ -123,7 +120,7 @@ def value_issues(layer: Layer) -> list[Column]:
                              f"Champ « {name} » non renseigné"))
         if v.type in ("boolean", "double", "integer"):
             raw = F.col(f"_raw_{name}")
-            bad = bad_bool_second(raw) if v.type == "boolean" else bad_number_second(raw)
+            bad = ~is_null_second(raw) & c.isNull()
             kind = "booléenne" if v.type == "boolean" else "numérique"
             out.append(issue(bad, seq + 1, name, "TYPE_INVALID", "ERROR", text("Valeur « ", raw, f" » non {kind}")))
             if v.type == "integer":
@@ -274,7 +271,7 @@ def check_layer_second(df: DataFrame, layer: Layer, struct: DataFrame | None = N
     if layer.geometry != "Point":
         marked = marked.withColumn("_length_m", geo.length_m(F.col("geom"), zone))
     ready, broken = rules_for(SECOND_PACK, layer.name, layer.names)
-    typed = typed_view(marked, layer)
+    typed = with_phrase_keys(typed_view(marked, layer), ready)
     rules = [issue(r.flag(), 5000 + i, "", r.code, r.severity, r.message) for i, r in enumerate(ready)]
     local = F.concat(*geometry_issues(layer), *id_issues(layer), *value_issues(layer), *rules)
     context = ["_rid", "_zone", "_id"]

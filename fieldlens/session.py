@@ -13,6 +13,7 @@ def local_session(cpus: str | int = 8, name: str = "fieldlens", memory: str = "8
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+             .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
