@@ -32,3 +32,12 @@ def in_steps(df: DataFrame, work: dict[str, tuple[Column, list[Step]]]) -> DataF
     for i in range(1, max(len(steps) for _, steps in work.values())):
         df = df.withColumns({name: steps[i](F.col(f"`{name}`")) for name, (_, steps) in work.items() if i < len(steps)})
     return df
+
+
+def spread(df: DataFrame, keep: list, array: Column | str, field: str) -> DataFrame:
+    """One row per struct of an array column; ``field`` is a struct field that is never null.
+
+    The plain generator lets the optimiser derive a filter on the array and push it down, which copies the
+    whole expression into every step below; the outer form with a filter on its output does not.
+    """
+    return df.select(*keep, F.inline_outer(array)).filter(F.col(field).isNotNull())

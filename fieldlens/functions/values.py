@@ -146,9 +146,35 @@ def _sci_to_general(sci: Column) -> Column:
     return F.when((power < -4) | (power >= 6), short).otherwise(F.regexp_replace(plain, r"(\.\d*?)0+$|\.$", "$1"))
 
 
+def _digits(c: Column) -> Column:
+    """17 significant digits of a double, and on which side of their decimal text its binary value lies."""
+    size = F.abs(c)
+    shown = F.concat(F.lit("0."), F.regexp_extract(c.cast("string"), r"^-?\d+\.(\d+)$", 1)).try_cast("double")
+    return F.when(c.isNotNull(), F.struct(F.format_string("%.16e", c).alias("s"), F.coalesce(
+        F.signum(size - F.floor(size) - shown), F.lit(0.0)).alias("side")))
+
+
+def _six_digits(p: Column) -> Column:
+    """Head of six digits rounded as C does: by the binary value, exact ties to even."""
+    m = F.regexp_replace(F.regexp_extract(p["s"], "^-?(.*)e", 1), r"\.", "")
+    head, rest = F.substring(m, 1, 6).try_cast("long"), F.substring(m, 7, 11)
+    tie = F.lit("50000000000")
+    up = (rest > tie) | ((rest == tie) & ((p["side"] > 0) | ((p["side"] == 0) & (head % 2 == 1))))
+    return F.when(p.isNotNull(), F.struct(F.when(F.startswith(p["s"], F.lit("-")), "-").otherwise("").alias("sign"),
+                                          (head + up.cast("long")).alias("head"),
+                                          F.regexp_extract(p["s"], "e(.*)$", 1).try_cast("int").alias("e")))
+
+
+def _sci_text(p: Column) -> Column:
+    carried = p["head"] == 1000000
+    digits, e = F.when(carried, "100000").otherwise(p["head"].cast("string")), p["e"] + carried.cast("int")
+    digits = F.lpad(digits, 6, "0")
+    return F.concat(p["sign"], F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, 5), F.lit("e"),
+                    F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"), 2, "0"))
+
+
 # A number in its shortest 6-digit form, as ``%g`` writes it.
-GENERAL_STEPS = [lambda c: F.when(c.isNotNull(), F.format_string("%.5e", c)), _sci_to_general,
-                 lambda t: F.regexp_replace(t, r"\.$", "")]
+GENERAL_STEPS = [_digits, _six_digits, _sci_text, _sci_to_general, lambda t: F.regexp_replace(t, r"\.$", "")]
 
 
 general_format = compose(GENERAL_STEPS)

@@ -164,7 +164,7 @@ def add_position(df: DataFrame) -> DataFrame:
 
 
 def position_key(x: Column, y: Column) -> Column:
-    return F.concat_ws(" ", F.round(x, 5).cast("string"), F.round(y, 5).cast("string"))
+    return F.concat_ws(" ", double_text(F.round(x, 5)), double_text(F.round(y, 5)))
 
 
 def id_pattern(layer: Layer, settings: Settings) -> tuple[str | None, str | None]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geo
+from fieldlens.functions.steps import spread
 from fieldlens.operators import align, checks, duplicates, report
 from fieldlens.operators.checks import Settings
 from fieldlens.operators.distribution import attach
@@ -137,7 +138,7 @@ def layer_quality_summary(spark, sf):
 def row_local_checks(spark, sf):
     work = checks.add_position(checks.add_meta(align.harmonise(survey(spark, sf), CLIENTS), SETTINGS))
     done = checks.row_checks(checks.canonicalise(work, CLIENTS), CLIENTS, SETTINGS)
-    return done.select("_path", "_row_src", F.inline("_issues")).drop("seq")
+    return spread(done, ["_path", "_row_src"], "_issues", "seq").drop("seq")
 
 
 @query("canonical_values", f"""WITH {_CTES} SELECT _path, _row_src, CASE seg_k WHEN 'building' THEN 'Building' WHEN 'machinery' THEN 'Machinery'

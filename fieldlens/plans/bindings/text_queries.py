@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import text as tx
 from fieldlens.functions import values as vl
+from fieldlens.functions.steps import in_steps, spread
 from fieldlens.operators import align, checks, report
 from fieldlens.operators.repair import canonical_id
 from fieldlens.plans.bindings.registry import (SURVEY, derived, query, sql_clean, sql_number, sql_phrase_key, sql_value_key, table)
@@ -153,7 +154,7 @@ def date_checks(spark, sf):
     from datetime import date
     s = checks.Settings(run_date=date(2000, 1, 1), start_date=date(1996, 1, 1))
     rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("_date"))
-    return rows.select("k", F.inline(F.concat(*checks.date_issues(s)))).select("k", "type")
+    return spread(rows, ["k"], F.concat(*checks.date_issues(s)), "seq").select("k", "type")
 
 
 _IDS = """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN concat('zone ', CAST(o_custkey % 25 AS STRING), '-or-', CAST(o_orderkey AS STRING))
@@ -201,6 +202,5 @@ def zones_in_paths(spark, sf):
 
 @query("number_texts", "SELECT l_orderkey AS k, l_linenumber AS n, format('{:g}', l_extendedprice) AS g, CAST(l_extendedprice AS VARCHAR) AS t FROM lineitem")
 def number_texts(spark, sf):
-    c = F.col("l_extendedprice")
-    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"),
-                                               vl.general_format(c).alias("g"), vl.double_text(c).alias("t"))
+    rows = in_steps(table(spark, sf, "lineitem"), {"g": (F.col("l_extendedprice"), vl.GENERAL_STEPS)})
+    return rows.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), "g", vl.double_text(F.col("l_extendedprice")).alias("t"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geo
-from fieldlens.functions.steps import in_steps
+from fieldlens.functions.steps import in_steps, spread
 from fieldlens.functions.text import VALUE_KEY_STEPS
 from fieldlens.functions.values import day_text
 from fieldlens.operators import checks, duplicates, spatial
@@ -144,7 +144,7 @@ class LayerCheck:
     @property
     def issues(self) -> DataFrame:
         """Issue table; ``_seq`` keeps the order of checks."""
-        flat = self.annotated.select(*ROW_KEY, "_source", "id", "nom", "agent", "date", F.inline("_issues"))
+        flat = spread(self.annotated, [*ROW_KEY, "_source", "id", "nom", "agent", "date"], "_issues", "seq")
         return flat.select(F.lit(self.layer.name).alias("layer"), "severity", "type", "id", "nom", "agent", "date", "variable",
                            "value", "message", F.col("_source").alias("fichier"), F.col("_row_src").alias("ligne"),
                            "_path", F.col("seq").alias("_seq"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlens.functions import geo
-from fieldlens.functions.steps import in_steps
+from fieldlens.functions.steps import in_steps, spread
 from fieldlens.functions.text import (CLEAN_SECOND_STEPS, domain_status, is_null_second, phrase_key, plain_phrase_key,
                                       split_choices)
 from fieldlens.functions.values import BOOL_SECOND_STEPS, NUMBER_SECOND_STEPS, double_text
@@ -172,7 +172,7 @@ def token_statuses(df: DataFrame, layer: Layer, key: list[str], cutoff: float) -
     listed = F.concat(*[F.transform(_tokens(v), lambda t, i, v=v: F.struct(
         F.lit(v.name).alias("field"), i.alias("at"), t.alias("token"),
         domain_status(t, list(v.values)).alias("s"))) for v in fields])
-    tokens = df.select(*key, F.inline(listed)).select(
+    tokens = spread(df, key, listed, "field").select(
         *key, "field", "at", "token", F.col("s.status").alias("status"), F.col("s.value").alias("value"))
     if not cutoff:
         return tokens
@@ -275,7 +275,7 @@ def check_layer_second(df: DataFrame, layer: Layer, struct: DataFrame | None = N
     rules = [issue(r.flag(), 5000 + i, "", r.code, r.severity, r.message) for i, r in enumerate(ready)]
     local = F.concat(*geometry_issues(layer), *id_issues(layer), *value_issues(layer), *rules)
     context = ["_rid", "_zone", "_id"]
-    found = [typed.select(*context, F.inline(local)),
+    found = [spread(typed, context, local, "seq"),
              unknown_token_issues(typed_view(base, layer), layer, context), gap_issues(base, layer)]
     if layer.geometry == "Point":
         found.append(near_point_issues(base, zone, tolerance))

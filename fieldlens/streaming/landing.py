@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fieldlens.functions.steps import spread
 from fieldlens.operators import checks
 from fieldlens.operators.align import harmonise
 from fieldlens.operators.checks import Settings
@@ -32,7 +33,7 @@ def row_local_issues(rows: DataFrame, layer: Layer, settings: Settings) -> DataF
     """Issues that need no other row (lists, types, ranges, id format, dates, geometry, rules); batch or stream."""
     work = checks.add_position(checks.add_meta(harmonise(rows, layer), settings))
     done = checks.row_checks(checks.canonicalise(work, layer), layer, settings)
-    return done.select("_path", "_row_src", F.col(layer.id_var).alias("id"), F.inline("_issues"))
+    return spread(done, ["_path", "_row_src", F.col(layer.id_var).alias("id")], "_issues", "seq")
 
 
 def check_arrivals(rows: DataFrame, layer: Layer, settings: Settings, target: str, checkpoint: str) -> StreamingQuery:
