@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions.steps import in_steps
-from fieldlens.functions.text import CLEAN_STEPS, name_key, phrase_key, plain_name_key
+from fieldlens.functions.text import CLEAN_STEPS, NAME_KEY_STEPS, PHRASE_KEY_STEPS, name_key, plain_name_key
 from fieldlens.sources.dictionary import Layer, column_lookup
 
 META = ("geom", "_source", "_path", "_file_date", "_multigeom", "_row_src", "_fmt", "_crs_assumed")
@@ -61,7 +61,7 @@ def match_names(columns: DataFrame, layers: list[Layer], name: str = "column") -
     is one map-side join with a table as small as the dictionary, whatever name most files share.
     """
     known = columns.sparkSession.createDataFrame(known_names(layers), "_key string, layer string, variable string")
-    keyed = columns.withColumn("key", name_key(F.col(name)))
+    keyed = in_steps(columns, {"key": (F.col(name), NAME_KEY_STEPS)})
     return keyed.join(F.broadcast(known), keyed["key"] == known["_key"], "left").drop("_key")
 
 
@@ -76,7 +76,7 @@ def recognise(files: DataFrame, matches: DataFrame, layers: list[Layer],
     counts = matches.filter("layer is not null").groupBy("file", "layer").agg(F.count("*").alias("n"))
     per_file = counts.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("layer", "n"))).alias("matched"))
     stem = F.regexp_replace("name", r"\.[^.]*$", "")
-    scored = files.join(per_file, "file", "left").withColumn("_stem", name_key(stem))
+    scored = in_steps(files.join(per_file, "file", "left"), {"_stem": (stem, NAME_KEY_STEPS)})
     options = []
     for i, layer in enumerate(layers):
         n = F.coalesce(F.try_element_at("matched", F.lit(layer.name)), F.lit(0)).cast("double")
@@ -93,9 +93,12 @@ def recognise(files: DataFrame, matches: DataFrame, layers: list[Layer],
         F.col("_best.score").alias("score"), F.col("_best.n_match").alias("n_match"))
 
 
-def layer_in_text(text: Column, layers: dict[str, tuple[str, ...]]) -> Column:
-    """Layer whose longest alias occurs in a path or file name (first of equally long ones)."""
-    t = F.regexp_replace(phrase_key(text), "[^a-z0-9]+", "_")
+# Key of a path or file name in which layer aliases are looked for.
+PATH_KEY_STEPS = [*PHRASE_KEY_STEPS, lambda c: F.regexp_replace(c, "[^a-z0-9]+", "_")]
+
+
+def layer_in_key(t: Column, layers: dict[str, tuple[str, ...]]) -> Column:
+    """Layer whose longest alias occurs in a path key (first of equally long ones)."""
     options, i = [], 0
     for name, aliases in layers.items():
         for alias in (name.lower(), *aliases):

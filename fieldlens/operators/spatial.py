@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.operators.distribution import attach
+from fieldlens.operators.distribution import attach, durable
 
 OFFSETS = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if (i, j) != (0, 0)]
 
@@ -72,6 +72,7 @@ def neighbours(points: DataFrame, distance: float, order: list[str], label: str)
     of them in row order (for the first point itself, of the last), so no pair list is produced.
     """
     side = distance / math.sqrt(2)
+    points = durable(points)  # read several times below; its metres are costly to repeat
     row = F.struct(*order, F.col(label).alias("_label"))
     spots = points.filter(F.col("_e").isNotNull()).withColumns(cell_of(F.col("_e"), F.col("_n"), side)) \
         .groupBy("_i", "_j", "_e", "_n").agg(F.count("*").alias("_w"), F.min(row).alias("lo"), F.max(row).alias("hi"))
@@ -94,6 +95,7 @@ def neighbours(points: DataFrame, distance: float, order: list[str], label: str)
 def without_neighbour(source: DataFrame, target: DataFrame, distance: float) -> DataFrame:
     """Rows of ``source`` (metric ``_e``/``_n``) with no row of ``target`` within the distance."""
     side = distance / math.sqrt(2)
+    source, target = durable(source), durable(target.select("_e", "_n").distinct())
     spots = source.groupBy("_e", "_n").agg(F.count("*").alias("_w")) \
         .withColumns(cell_of(F.col("_e"), F.col("_n"), side))
     goals = target.select(F.col("_e").alias("_oe"), F.col("_n").alias("_on")).distinct() \
@@ -146,6 +148,7 @@ def nearest_distance(source: DataFrame, target: DataFrame, base: float = 1000.0,
     Steps 1 and 2 work on distinct cells, step 3 on distinct positions; a row never meets the targets
     outside the few cells kept for it. With the defaults a search spans 32,000 cells in each direction.
     """
+    source, target = durable(source), durable(target.select("_e", "_n").distinct())
     located = F.col("_e").isNotNull() & F.col("_n").isNotNull()
     spots = source.filter(located).groupBy("_e", "_n").agg(F.count("*").alias("_w")) \
         .withColumns(cell_of(F.col("_e"), F.col("_n"), base))
@@ -165,6 +168,7 @@ def nearest_distance(source: DataFrame, target: DataFrame, base: float = 1000.0,
     level = tried.join(occupied, ["k", "a", "b"], "left_semi").groupBy("_i", "_j").agg(F.min("k").alias("k"))
     # a point of the centre cell reaches every point of its 3x3 block within 2*sqrt(2) cell sides, so its
     # nearest target lies in the 7x7 block of that level
+    level = durable(level)
     search = level.select("_i", "_j", "k", _block(3).alias("s")).select(
         "_i", "_j", "k", (_shift("_i", "k") + F.col("s.i")).alias("a"), (_shift("_j", "k") + F.col("s.j")).alias("b"))
 
@@ -179,7 +183,7 @@ def nearest_distance(source: DataFrame, target: DataFrame, base: float = 1000.0,
             parents = kept.select("_i", "_j", F.col("ta").alias("pa"), F.col("tb").alias("pb"))
             children = grid[low].withColumns({"pa": _shift("ta", STEP), "pb": _shift("tb", STEP)})
             pairs = pairs.unionByName(parents.join(children, ["pa", "pb"]).select(*pairs.columns))
-        kept = _beatable(pairs, base)
+        kept = durable(_beatable(pairs, base))
     final = spots.join(kept, ["_i", "_j"]).join(
         goals.select(F.col("_i").alias("ta"), F.col("_j").alias("tb"), "_oe", "_on"), ["ta", "tb"])
     nearest = final.groupBy("_e", "_n").agg(

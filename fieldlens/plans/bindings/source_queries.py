@@ -1,0 +1,154 @@
+"""Listings, recognition and KML on file tables derived from orders, documents and customers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fieldlens.operators import align
+from fieldlens.plans.bindings.registry import derived, query, table
+from fieldlens.sources import kml, listing
+from fieldlens.sources.dictionary import Layer, Variable, dictionary_gaps, json_domains
+
+FILES = """SELECT concat('/in/', CASE WHEN o_custkey % 4 = 0 THEN 'Gares' WHEN o_custkey % 4 = 1 THEN 'zone_07' ELSE 'divers' END, '/',
+ CASE WHEN o_orderkey % 3 = 0 THEN 'Reseau routier ' ELSE 'lot' END, CAST(floor(o_orderkey / 4) AS STRING), '.',
+ CASE WHEN o_orderkey % 4 = 0 THEN 'shp' WHEN o_orderkey % 4 = 1 THEN 'DBF' WHEN o_orderkey % 4 = 2 THEN 'kml' ELSE 'txt' END) AS path,
+ o_custkey + 100 AS size, o_orderkey AS k FROM orders"""
+_EXT = "lower(regexp_extract(path, '\\.([^.]*)$', 1))"
+_LAYER = "CASE WHEN contains(lower({0}), 'reseau routier') THEN 'Reseau_Routier_Pistes' WHEN contains(lower({0}), 'gares') THEN 'Gares' END"
+_BASE = "regexp_extract(path, '[^/]*$', 0)"
+
+
+@query("source_groups", f"""WITH f AS ({FILES}), s AS (SELECT max(CASE WHEN x = 'shp' THEN path END) AS path, 'shp' AS fmt, CAST(sum(size) AS BIGINT) AS size,
+ count(*) FILTER (x <> 'shp') AS n FROM (SELECT path, any_value({_EXT}) AS x, max(size) AS size, regexp_replace(path, '/[^/]*$', '') AS d,
+  lower(regexp_replace({_BASE}, '\\.[^.]*$', '')) AS stem FROM f WHERE {_EXT} IN ('shp', 'dbf') GROUP BY path) GROUP BY d, stem HAVING max(CASE WHEN x = 'shp' THEN path END) IS NOT NULL),
+ u AS (SELECT path, 'kml' AS fmt, size, 0 AS n FROM f WHERE {_EXT} = 'kml' UNION ALL SELECT * FROM s)
+ SELECT path, fmt, size, n AS n_sidecars, coalesce({_LAYER.format(_BASE)}, {_LAYER.format('path')}) AS layer, CASE WHEN contains(path, 'zone_07') THEN 'ZONE7' END AS zone FROM u""")
+def source_groups(spark, sf):
+    return listing.group_sources(derived(spark, sf, FILES, "orders")).select(
+        "path", "fmt", "size", F.size("sidecars").cast("long").alias("n_sidecars"), "layer", "zone")
+
+
+@query("files_within_depth", f"SELECT path FROM ({FILES}) WHERE {_EXT} IN ('shp', 'kml', 'dbf')")
+def files_within_depth(spark, sf):
+    return listing.within_depth(derived(spark, sf, FILES, "orders").withColumn("is_dir", F.lit(False)), "/", 3).select("path")
+
+
+LIST_LINES = """SELECT concat('/d', CAST(o_custkey % 10 AS STRING)) AS folder, CASE WHEN o_custkey % 10 = 3 THEN concat('dir', CAST(o_orderkey AS STRING), CASE WHEN o_orderkey % 2 = 0 THEN '.kml' ELSE '' END)
+ ELSE concat(CASE WHEN o_orderkey % 5 = 0 THEN 'd' ELSE '-' END, 'rw-r--r-- 1 ftp ftp ', CAST(o_custkey AS STRING), ' Jan 12 10:30 f ', CAST(o_orderkey AS STRING), '.kml') END AS line,
+ o_orderkey AS k, o_custkey AS c FROM orders"""
+
+
+@query("unix_listing_lines", f"""SELECT folder, CASE WHEN c % 10 = 3 THEN line ELSE 'f ' || CAST(k AS VARCHAR) || '.kml' END AS name, CASE WHEN c % 10 = 3 THEN k % 2 = 1 ELSE k % 5 = 0 END AS is_dir,
+ CASE WHEN c % 10 <> 3 THEN CAST(c AS DOUBLE) END AS size, CASE WHEN c % 10 <> 3 THEN 'Jan 12 10:30' END AS mtime FROM ({LIST_LINES})""")
+def unix_listing_lines(spark, sf):
+    return listing.parse_unix_lines(derived(spark, sf, LIST_LINES, "orders"))
+
+
+def _manifest(spark, sf):
+    o = table(spark, sf, "orders")
+    remote = F.concat(F.lit("/r/"), F.col("o_orderkey").cast("string"))
+    listed = o.select(remote.alias("remote"), F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey").cast("double")).alias("size"), F.col("o_orderpriority").alias("mtime"))
+    known = o.filter("o_orderkey % 7 <> 0").select(remote.alias("remote"), F.when(F.col("o_orderkey") % 5 == 0, "1").otherwise(F.col("o_custkey").cast("string")).alias("size"),
+                                                   F.col("o_orderpriority").alias("mtime"), remote.alias("local"), F.lit("t0").alias("downloaded_at"))
+    return listed, known, known.filter(~F.endswith("local", F.lit("3"))).select("local")
+
+
+@query("files_to_fetch", """SELECT '/r/' || CAST(o_orderkey AS VARCHAR) AS remote FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 10 = 3
+ OR (o_orderkey % 5 = 0 AND o_orderkey % 11 <> 0 AND o_custkey <> 1)""")
+def files_to_fetch(spark, sf):
+    return listing.changed_files(*_manifest(spark, sf)).select("remote")
+
+
+@query("manifest_merged", """SELECT '/r/' || CAST(o_orderkey AS VARCHAR) AS remote, CASE WHEN o_orderkey % 3 = 0 THEN 't1' ELSE 't0' END AS downloaded_at FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 3 = 0""")
+def manifest_merged(spark, sf):
+    listed, known, _ = _manifest(spark, sf)
+    new = listed.filter(F.regexp_extract("remote", r"(\d+)", 1).cast("long") % 3 == 0).select(
+        "remote", F.col("size").cast("string").alias("size"), "mtime", F.col("remote").alias("local"), F.lit("t1").alias("downloaded_at"))
+    return listing.merge_manifest(known, new).select("remote", "downloaded_at")
+
+
+@query("member_inherits_archive", """SELECT '/a' || CAST(l_orderkey AS VARCHAR) || '.zip!m' || CAST(l_linenumber AS VARCHAR) AS origin, 'kml' AS fmt, l_partkey AS p,
+ CASE WHEN l_linenumber % 2 = 0 THEN 'Gares' ELSE o_orderpriority END AS layer, 'ZONE' || CAST(o_custkey AS VARCHAR) AS zone FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def member_inherits_archive(spark, sf):
+    m = table(spark, sf, "lineitem").join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi").select(
+        F.concat(F.lit("/a"), F.col("l_orderkey").cast("string"), F.lit(".zip")).alias("archive"), F.concat(F.lit("m"), F.col("l_linenumber").cast("string")).alias("path"),
+        F.concat(F.lit("kml|"), F.col("l_partkey").cast("string")).alias("fmt"), F.when(F.col("l_linenumber") % 2 == 0, "Gares").alias("layer"), F.lit(None).cast("string").alias("zone"))
+    a = table(spark, sf, "orders").select(F.concat(F.lit("/a"), F.col("o_orderkey").cast("string"), F.lit(".zip")).alias("path"), F.col("o_orderpriority").alias("layer"),
+                                          F.concat(F.lit("ZONE"), F.col("o_custkey").cast("string")).alias("zone"))
+    out = listing.inherit_from_archive(m, a)
+    return out.select("origin", F.lit("kml").alias("fmt"), F.split("fmt", r"\|")[1].cast("long").alias("p"), "layer", "zone")
+
+
+@query("local_folder_names", "SELECT page_id, regexp_replace(regexp_replace(url, '^/+|/+$', '', 'g'), '[^A-Za-z0-9_-]+', '_', 'g') AS dossier FROM pages")
+def local_folder_names(spark, sf):
+    return table(spark, sf, "pages").select("page_id", listing.local_folder(F.col("url")).alias("dossier"))
+
+
+@query("local_inventory", "SELECT doc_id || '.kml' AS fichier, round_even(n_chars / 1024.0, 1)::DOUBLE AS taille_ko, '2024-01-01 10:00' AS modifie_le FROM documents")
+def local_inventory(spark, sf):
+    files = table(spark, sf, "documents").select(F.concat(F.lit("/in/"), F.col("doc_id").cast("string"), F.lit(".kml")).alias("path"),
+                                                 F.col("n_chars").alias("size"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("mtime"))
+    return listing.local_inventory(files, "/in")
+
+
+LAYERS = [
+    Layer("Gares", "Point", "id_fichegare", None, (Variable("id_fichegare", "Identifiant"), Variable("nom_gare_detail", "Nom de la gare"), Variable("type_gare", "Type de gare"), Variable("quai_embarquement", "Quai"))),
+    Layer("Pistes", "LineString", "id_troncon", None, (Variable("id_troncon", "Identifiant Tronçon"), Variable("nom_voie", "Nom de la voie"), Variable("type_surface", "Type de revêtement"), Variable("largeur_m", "Largeur (m)"))),
+]
+# every order is a file; its columns are spelled in full, by label, cut to ten characters, or unknown
+COLUMNS = """SELECT o_orderkey AS file, c.name AS column FROM orders, (SELECT 0 AS i, 'ID_FicheGare' AS name UNION ALL SELECT 0, 'Nom de la gare' UNION ALL SELECT 0, 'TYPE_GARE'
+ UNION ALL SELECT 1, 'id_trocon' UNION ALL SELECT 1, 'Type de revêtement' UNION ALL SELECT 1, 'type_surfa' UNION ALL SELECT 2, 'quai_em' UNION ALL SELECT 2, 'autre') c WHERE c.i = o_orderkey % 3"""
+
+
+@query("columns_matched", f"""SELECT file, "column", layer, variable FROM ({COLUMNS}) LEFT JOIN (SELECT * FROM (VALUES ('ID_FicheGare', 'Gares', 'id_fichegare'), ('Nom de la gare', 'Gares', 'nom_gare_detail'),
+ ('TYPE_GARE', 'Gares', 'type_gare'), ('id_trocon', 'Pistes', 'id_troncon'), ('Type de revêtement', 'Pistes', 'type_surface'), ('type_surfa', 'Pistes', 'type_surface'), ('quai_em', 'Gares', 'quai_embarquement')) v(c, layer, variable)) ON c = "column" """)
+def columns_matched(spark, sf):
+    return align.match_names(derived(spark, sf, COLUMNS, "orders"), LAYERS).select("file", "column", "layer", "variable")
+
+
+@query("layers_recognised", """SELECT o_orderkey AS file, CASE WHEN o_custkey % 5 = 0 THEN 'Pistes' WHEN o_orderkey % 3 = 0 AND o_custkey % 2 = 0 THEN 'Gares' WHEN o_orderkey % 3 = 1 AND o_custkey % 2 = 1 THEN 'Pistes' END AS layer FROM orders""")
+def layers_recognised(spark, sf):
+    matches = align.match_names(derived(spark, sf, COLUMNS, "orders"), LAYERS)
+    files = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("file"), F.when(F.col("o_custkey") % 5 == 0, "Lot_pistes-2.shp").otherwise("lot.kml").alias("name"),
+        F.array(F.when(F.col("o_custkey") % 2 == 0, "MultiPoint").otherwise("LineString")).alias("gtypes"))
+    return align.recognise(files, matches, LAYERS).select("file", "layer")
+
+
+@query("lookup_keys", """SELECT layer, key, count(DISTINCT variable) AS owners FROM (SELECT s_nationkey % 3 AS layer, lower(replace(s_name, '#', '_')) AS key, s_suppkey AS variable FROM supplier
+ UNION SELECT s_nationkey % 3, 'nation_' || CAST(s_nationkey AS VARCHAR), s_suppkey FROM supplier UNION SELECT s_nationkey % 3, CAST(s_suppkey AS VARCHAR), s_suppkey FROM supplier) GROUP BY ALL""")
+def lookup_keys(spark, sf):
+    v = table(spark, sf, "supplier").select((F.col("s_nationkey") % 3).alias("layer"), F.col("s_suppkey").cast("string").alias("variable"), F.col("s_name").alias("label"),
+                                            F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string")).alias("json_name"))
+    return align.lookup_table(v).filter("kind = 'full'").select("layer", "key", "owners")
+
+
+@query("json_dictionary_values", "SELECT p_brand AS layer, p_type AS field, CAST(row_number() OVER (PARTITION BY p_brand, p_type ORDER BY n) AS BIGINT) AS ordre, n AS value FROM (SELECT DISTINCT p_brand, p_type, p_name AS n FROM part)")
+def json_dictionary_values(spark, sf):
+    fields = table(spark, sf, "part").groupBy("p_brand", "p_type").agg(F.array_sort(F.collect_set("p_name")).alias("values"))
+    files = fields.groupBy(F.col("p_brand").alias("name")).agg(F.collect_list(F.struct(F.col("p_type").alias("name"), F.lit("TEXT").alias("dataType"), "values")).alias("fields"))
+    return json_domains(files).select("layer", "field", F.col("ordre").cast("long").alias("ordre"), "value")
+
+
+@query("dictionary_gaps", """SELECT n_name AS layer, NULL AS field, NULL AS json_name, 'dictionnaire absent' AS probleme FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)
+ UNION ALL SELECT n_name, c_name, c_mktsegment, 'champ introuvable' FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey IN (SELECT s_nationkey FROM supplier) AND c_mktsegment <> 'BUILDING'""")
+def dictionary_gap_rows(spark, sf):
+    nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("layer"))
+    fields = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("layer", F.col("c_name").alias("field"), F.col("c_mktsegment").alias("json_name"))
+    domains = table(spark, sf, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("layer", F.lit("BUILDING").alias("field"))
+    return dictionary_gaps(nations.select("layer"), fields, domains)
+
+
+@query("kml_round_trip", """SELECT concat('/k', CAST(c_custkey % 20 AS STRING)) AS _path, c_name AS placemark_name, c_mktsegment || ' <é> & co' AS segment, CASE WHEN c_custkey % 3 > 0 THEN CAST(c_acctbal AS VARCHAR) END AS solde,
+ CAST(8 + (c_custkey % 90) * 0.125 AS DOUBLE) AS x, CAST(2 + (c_custkey % 70) * 0.125 AS DOUBLE) AS y, 'False' AS _multigeom FROM customer""")
+def kml_round_trip(spark, sf):
+    from fieldlens.functions import geo
+    c = table(spark, sf, "customer").select(
+        F.concat(F.lit("/k"), (F.col("c_custkey") % 20).cast("string")).alias("_path"), F.col("c_name").alias("id"), F.concat("c_mktsegment", F.lit(" <é> & co")).alias("segment"),
+        F.when(F.col("c_custkey") % 3 > 0, F.col("c_acctbal").cast("string")).alias("solde"),
+        geo.point(8 + (F.col("c_custkey") % 90) * 0.125, 2 + (F.col("c_custkey") % 70) * 0.125).alias("geom"))
+    files = c.withColumn("value", F.concat(F.lit('<kml:kml xmlns:kml="http://www.opengis.net/kml/2.2">'), kml.placemark_text(c, "id", ["segment", "solde"]), F.lit("</kml:kml>")))
+    back = kml.parse_placemarks(kml.placemarks(files, "value", ["_path"]))
+    p = geo.first_point(F.col("geom"))
+    return back.select("_path", "placemark_name", F.col("attributes")["segment"].alias("segment"), F.col("attributes")["solde"].alias("solde"),
+                       p["x"].alias("x"), p["y"].alias("y"), "_multigeom")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.operators.align import layer_in_text, zone_in_text
+from fieldlens.functions.steps import in_steps
+from fieldlens.operators.align import PATH_KEY_STEPS, layer_in_key, zone_in_text
 from fieldlens.operators.distribution import attach
 from fieldlens.sources.dictionary import LAYER_ALIASES
 
@@ -91,9 +92,8 @@ def group_sources(entries: DataFrame, aliases: dict[str, tuple[str, ...]] = LAYE
         F.max(F.when(F.col("_ext") == "shp", F.col("path"))).alias("path"), F.sum("size").alias("size"),
         F.array_sort(F.collect_list(F.when(F.col("_ext") != "shp", F.col("path")))).alias("sidecars")) \
         .filter("path is not null").select("path", F.lit("shp").alias("fmt"), "size", "sidecars")
-    out = single.unionByName(shapes)
-    return out.select("path", "fmt", "size", F.coalesce(layer_in_text(base_name(F.col("path")), aliases),
-                                                        layer_in_text(F.col("path"), aliases)).alias("layer"),
+    out = in_steps(single.unionByName(shapes), {"_name": (base_name(F.col("path")), PATH_KEY_STEPS), "_whole": (F.col("path"), PATH_KEY_STEPS)})
+    return out.select("path", "fmt", "size", F.coalesce(layer_in_key(F.col("_name"), aliases), layer_in_key(F.col("_whole"), aliases)).alias("layer"),
                       zone_in_text(F.col("path")).alias("zone"), "sidecars").orderBy("path")
 
 
