@@ -77,11 +77,12 @@ def recognise(files: DataFrame, matches: DataFrame, layers: list[Layer],
     per_file = counts.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("layer", "n"))).alias("matched"))
     stem = F.regexp_replace("name", r"\.[^.]*$", "")
     scored = in_steps(files.join(per_file, "file", "left"), {"_stem": (stem, NAME_KEY_STEPS)})
+    single = lambda g: F.replace(F.upper(g), F.lit("MULTI"), F.lit(""))
     options = []
     for i, layer in enumerate(layers):
         n = F.coalesce(F.try_element_at("matched", F.lit(layer.name)), F.lit(0)).cast("double")
         named = F.contains("_stem", F.lit(plain_name_key(layer.name)))
-        shaped = F.exists("gtypes", lambda g, kind=layer.geometry.upper(): F.replace(F.upper(g), F.lit("MULTI"), F.lit("")) == kind)
+        shaped = F.array_contains(F.transform("gtypes", single), layer.geometry.upper())
         options.append(F.struct(
             (n + F.when(named, 100).otherwise(0) + F.when(shaped, 0.5).otherwise(0)).alias("score"),
             F.lit(-i).alias("rank"), F.lit(layer.name).alias("layer"), n.cast("long").alias("n_match"),

@@ -63,6 +63,10 @@ def coerce_types(df: DataFrame, layer: Layer) -> DataFrame:
     return in_steps(df, {v.name: (F.col(v.name), steps[v.type]) for v in layer.variables if v.type in steps})
 
 
+def _values_of(field: str) -> Column:
+    return F.transform(F.filter(F.col("_t"), lambda t: t["field"] == field), lambda t: t["value"])
+
+
 def repair_domains(df: DataFrame, layer: Layer, cutoff: float) -> DataFrame:
     """List values rewritten to their dictionary spelling; ``_fixed`` counts the changed fields of a row."""
     key = ORDER + (["_part"] if "_part" in df.columns else [])
@@ -75,7 +79,7 @@ def repair_domains(df: DataFrame, layer: Layer, cutoff: float) -> DataFrame:
     joined = df.join(cells, key, "left")
     fixed, out = F.lit(0), {}
     for v in fields:
-        mine = F.transform(F.filter(F.col("_t"), lambda t, n=v.name: t["field"] == n), lambda t: t["value"])
+        mine = _values_of(v.name)
         new = F.array_join(F.array_distinct(mine), "; ") if v.type == "multiselect" else F.get(mine, F.lit(0))
         new = F.when(~is_null_second(F.col(v.name)), F.coalesce(new, F.lit("")))
         out[f"_new_{v.name}"] = new

@@ -10,7 +10,7 @@ from fieldlens.sources import kml, listing
 from fieldlens.sources.dictionary import Layer, Variable, dictionary_gaps, json_domains
 
 FILES = """SELECT concat('/in/', CASE WHEN o_custkey % 4 = 0 THEN 'Gares' WHEN o_custkey % 4 = 1 THEN 'zone_07' ELSE 'divers' END, '/',
- CASE WHEN o_orderkey % 3 = 0 THEN 'Reseau routier ' ELSE 'lot' END, CAST(floor(o_orderkey / 4) AS STRING), '.',
+ CASE WHEN o_orderkey % 3 = 0 THEN 'Reseau routier ' ELSE 'lot' END, CAST(CAST(floor(o_orderkey / 4) AS BIGINT) AS STRING), '.',
  CASE WHEN o_orderkey % 4 = 0 THEN 'shp' WHEN o_orderkey % 4 = 1 THEN 'DBF' WHEN o_orderkey % 4 = 2 THEN 'kml' ELSE 'txt' END) AS path,
  o_custkey + 100 AS size, o_orderkey AS k FROM orders"""
 _EXT = "lower(regexp_extract(path, '\\.([^.]*)$', 1))"

@@ -110,6 +110,20 @@ def _tokens(v: Variable) -> Column:
     return F.when(c.isNotNull(), F.array(c)).otherwise(F.array().cast("array<string>"))
 
 
+def _judged(v: Variable) -> Column:
+    """Tokens of a list variable with their position and status."""
+    return F.transform(_tokens(v), lambda t, i: F.struct(
+        F.lit(v.name).alias("field"), i.alias("at"), t.alias("token"), domain_status(t, list(v.values)).alias("s")))
+
+
+def _spelling_issues(v: Variable, seq: int) -> Column:
+    hits = F.filter(_judged(v), lambda x: x["s"]["status"] == "case")
+    return F.transform(hits, lambda x: F.struct(
+        F.lit(seq).alias("seq"), F.lit(v.name).alias("field"), F.lit("DOM_CASE").alias("rule"),
+        F.lit("WARNING").alias("severity"), text("« ", x["token"], " » : casse/accents/tiret non conformes").alias("message"),
+        x["s"]["value"].alias("suggestion")).cast(ISSUE))
+
+
 def value_issues(layer: Layer) -> list[Column]:
     """Required, type, range and list checks; tokens no list knows are settled by ``unknown_tokens``."""
     out = []
@@ -132,13 +146,7 @@ def value_issues(layer: Layer) -> list[Column]:
                                  text(f"{name}=", double_text(c), f" hors plage [{low}, {high}]")))
         elif v.values:
             # one issue per token written in another spelling
-            hits = F.filter(F.transform(_tokens(v), lambda t, vals=list(v.values): F.struct(
-                t.alias("t"), domain_status(t, vals).alias("s"))), lambda x: x["s"]["status"] == "case")
-            out.append(F.transform(hits, lambda x, seq=seq, name=name: F.struct(
-                F.lit(seq + 4).alias("seq"), F.lit(name).alias("field"), F.lit("DOM_CASE").alias("rule"),
-                F.lit("WARNING").alias("severity"),
-                text("« ", x["t"], " » : casse/accents/tiret non conformes").alias("message"),
-                x["s"]["value"].alias("suggestion")).cast(ISSUE)))
+            out.append(_spelling_issues(v, seq + 4))
             if v.type == "multiselect":
                 alone = F.exists(_tokens(v), lambda t: phrase_key(t).startswith("aucun"))
                 out.append(issue((F.size(_tokens(v)) > 1) & alone, seq + 6, name, "MULTI_EXCL", "WARNING",
@@ -169,9 +177,7 @@ def token_statuses(df: DataFrame, layer: Layer, key: list[str], cutoff: float) -
     if not fields:
         return df.select(*key, F.lit("").alias("field"), F.lit(0).alias("at"), F.lit("").alias("token"),
                          F.lit("").alias("status"), F.lit("").alias("value")).limit(0)
-    listed = F.concat(*[F.transform(_tokens(v), lambda t, i, v=v: F.struct(
-        F.lit(v.name).alias("field"), i.alias("at"), t.alias("token"),
-        domain_status(t, list(v.values)).alias("s"))) for v in fields])
+    listed = F.concat(*[_judged(v) for v in fields])
     tokens = spread(df, key, listed, "field").select(
         *key, "field", "at", "token", F.col("s.status").alias("status"), F.col("s.value").alias("value"))
     if not cutoff:
