@@ -17,7 +17,7 @@ from fieldlens.functions.text import (CLEAN_SECOND_STEPS, domain_status, is_null
                                       split_choices)
 from fieldlens.functions.values import BOOL_SECOND_STEPS, NUMBER_SECOND_STEPS, double_text
 from fieldlens.operators import spatial
-from fieldlens.operators.distribution import attach
+from fieldlens.operators.distribution import attach, durable
 from fieldlens.operators.duplicates import repeated
 from fieldlens.operators.rules import SECOND_PACK, rules_for, with_phrase_keys
 from fieldlens.sources.dictionary import Layer, Variable
@@ -182,6 +182,7 @@ def token_statuses(df: DataFrame, layer: Layer, key: list[str], cutoff: float) -
         *key, "field", "at", "token", F.col("s.status").alias("status"), F.col("s.value").alias("value"))
     if not cutoff:
         return tokens
+    tokens = durable(tokens)
     unknown = tokens.filter("status = 'none'").groupBy("field", "token").agg(F.count("*").alias("_times"))
     close = closest_value({v.name: list(v.values) for v in fields}, cutoff)
     settled = unknown.withColumn("_close", close("field", phrase_key(F.col("token")))).filter("_close is not null")
@@ -277,14 +278,15 @@ def check_layer_second(df: DataFrame, layer: Layer, struct: DataFrame | None = N
     if layer.geometry != "Point":
         marked = marked.withColumn("_length_m", geo.length_m(F.col("geom"), zone))
     ready, broken = rules_for(SECOND_PACK, layer.name, layer.names)
-    typed = with_phrase_keys(typed_view(marked, layer), ready)
+    # the typed copy feeds the row checks, the token table, the gaps and the distances: written once
+    typed = durable(with_phrase_keys(typed_view(marked, layer), ready))
     rules = [issue(r.flag(), 5000 + i, "", r.code, r.severity, r.message) for i, r in enumerate(ready)]
     local = F.concat(*geometry_issues(layer), *id_issues(layer), *value_issues(layer), *rules)
     context = ["_rid", "_zone", "_id"]
     found = [spread(typed, context, local, "seq"),
-             unknown_token_issues(typed_view(base, layer), layer, context), gap_issues(base, layer)]
+             unknown_token_issues(typed, layer, context), gap_issues(typed, layer)]
     if layer.geometry == "Point":
-        found.append(near_point_issues(base, zone, tolerance))
+        found.append(near_point_issues(typed, zone, tolerance))
     for r in broken:
         found.append(df.sparkSession.range(1).select(
             F.lit(None).cast("long").alias("_rid"), F.lit(None).cast("string").alias("_zone"),
