@@ -70,7 +70,7 @@ FIRST_SQL = {
                               "duree_coupure_jours > 0 AND praticabilite_pluie LIKE '%toute ann%'"],
     "Services_Sociaux_Bases": [f"domaine_activite IS NOT NULL AND type_equipement NOT LIKE 'Autre%' AND domaine_activite NOT LIKE 'Autre%' AND lower(strip_accents({_DASH_PREFIX})) <> lower(strip_accents(domaine_activite))"],
     "Activites_autour_gare": ["type_culture IS NOT NULL AND coalesce(type_activite, '') NOT LIKE 'Agricult%'", "type_elevage IS NOT NULL AND coalesce(type_activite, '') NOT LIKE 'Pâturage%'"],
-    "Ouvrage_franchissement": ["type_ouvrage = 'PN gardé' AND lower(presence_gardien) = 'non'",
+    "Ouvrage_franchissement": ["type_ouvrage IN ('PN gardé', 'Passage à niveau (PN) gardé') AND lower(presence_gardien) = 'non'",
                                "(type_ouvrage LIKE '%non gardé' OR type_ouvrage LIKE 'Passage informel%') AND dispositif_securite LIKE '%Gardien-barrières présent'",
                                "etat_ouvrage = 'Impraticable' AND necessite_rehab = 'Non nécessaire'"],
     "Gouvernance_Services_Securite": ["moyens_mobilite = 'Moto; Aucun moyen propre'", "source_energie_securite = 'Aucune; Solaire'"],
