@@ -11,7 +11,7 @@ from fieldlens.functions import geo
 from fieldlens.functions.steps import in_steps
 from fieldlens.functions.text import CLEAN_SECOND_STEPS, is_null_second
 from fieldlens.functions.values import BOOL_SECOND_STEPS, NUMBER_SECOND_STEPS
-from fieldlens.operators.distribution import attach, number_in_order
+from fieldlens.operators.distribution import attach, durable, number_in_order
 from fieldlens.operators.duplicates import keep_first
 from fieldlens.plans import layer_qa_second as second
 from fieldlens.sources.dictionary import Layer
@@ -150,6 +150,7 @@ def repair_layer(df: DataFrame, layer: Layer, options: RepairOptions = RepairOpt
     rejected = [out.filter("reject_reason is not null")]
     out = out.filter("reject_reason is null")
     out = coerce_types(out, layer) if o.coerce_types else out
+    out = durable(out)  # the cleaned rows are read several times by the steps below
     out = repair_domains(out, layer, o.fuzzy_cutoff).drop("_fixed") if o.fix_domains else out
     if o.drop_copies:
         out = keep_first(out, [*layer.names, "geom", "zone"], [*ORDER, "_part"])
