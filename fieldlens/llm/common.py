@@ -109,3 +109,15 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
         total += int(n)
     if len(sizes) > start:
         yield start, len(sizes)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder of the session."""
+    import uuid
+
+    saved_to = spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or saved_to
+    if base is None:
+        saved(spark.range(0))  # sets the session's folder
+        base = spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
