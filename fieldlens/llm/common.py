@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -100,7 +101,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
     """Slices of a batch with at most ``most`` bytes of text, a longer row alone: (first row, last row)."""
-    sizes = pa.compute.binary_length(batch.column(column).cast(pa.large_string())).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column).cast(pa.large_string())).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes):
         if i > start and total + n > most:
