@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import packing, quality_rules, repair_grammar, token_counts
+from fieldlens.llm import ngram_join, packing, quality_rules, repair_grammar, token_counts
 from fieldlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": lambda spark, sf: ngram_join.op1(table(spark, sf, "documents")),
     "op4_token_counts": lambda spark, sf: token_counts.op4(table(spark, sf, "documents")),
     "op5_repair_ids": lambda spark, sf: repair_grammar.op5(table(spark, sf, "documents")),
     "op8_quality_rules": lambda spark, sf: quality_rules.op8(table(spark, sf, "documents")),
