@@ -97,3 +97,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND (word_chars - kept_chars) * 100 <= word_chars * 50 AS kept
 FROM b
 """
+
+
+def good_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` without rejected documents; of the others the lines that failed are gone. All columns stay, whatever their names."""
+    judged = judge(docs.select(F.struct("*").alias("_row"), F.col("text"))).filter("kept")
+    cut = F.col("kept_chars") < F.col("word_chars")
+    text = F.when(cut, F.col("clean_text")).otherwise(F.col("text"))
+    new = {"text": text} | ({"n_chars": F.when(cut, F.length("clean_text")).otherwise(F.col("_row.n_chars")).cast("long")} if "n_chars" in docs.columns else {})
+    return judged.select(*[new[c].alias(c) if c in new else F.col(f"_row.`{c}`") for c in docs.columns])

@@ -1,0 +1,54 @@
+"""Secrets found and false positives removed, against planted ones."""
+
+import random
+
+from fieldlens.llm import secret_forest
+
+
+def rows():
+    rng = random.Random(11)
+    out, planted = [(0, None), (1, ""), (2, "nothing here")], {}
+    for d in range(10, 300):
+        w = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 20))) for _ in range(rng.randrange(3, 40))]
+        w.insert(1, str(rng.randrange(10**15, 10**16)))
+        if d % 3 == 0:
+            s = "".join(rng.choices("0123456789abcdef", k=40))
+            planted[d] = {s}
+            w.insert(rng.randrange(len(w)), f'token = "{s}"')
+        if d % 7 == 0:
+            w.insert(2, "https://www.example.com/static/assets/project-library/download-page/index")
+        out.append((d, " ".join(w)))
+    return out, planted
+
+
+def test_planted_secrets(spark):
+    data, planted = rows()
+    got = {}
+    for r in secret_forest.scan(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect():
+        got.setdefault(r.doc_id, set()).add(r.secret)
+    assert got == planted
+
+
+def test_candidates_are_all_runs(spark):
+    import re
+    data, _ = rows()
+    got = sorted((r.doc_id, r.nth, r.secret) for r in secret_forest.candidates(spark.createDataFrame(data, "doc_id long, text string")).collect())
+    runs = re.compile(secret_forest.CANDIDATE)
+    assert got == sorted((d, i, m) for d, t in data for i, m in enumerate(runs.findall(t or "")))
+
+
+def test_redaction_keeps_rows_and_columns(spark):
+    data, planted = rows()
+    docs = spark.createDataFrame([(d, t, len(t or ""), "x", None) for d, t in data] + [(None, data[12][1], 3, "y", "z")],
+                                 "doc_id long, text string, n_chars long, secret string, nth string")
+    got = secret_forest.without_secrets(docs)
+    assert got.columns == docs.columns and got.count() == docs.count()
+    for r in got.collect():
+        for s in planted.get(r.doc_id, ()):
+            assert s not in r.text and "[SECRET]" in r.text and r.n_chars == len(r.text)
+
+
+def test_empty_and_unlabelled(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert secret_forest.scan(none).count() == 0
+    assert secret_forest.scan(spark.createDataFrame([(1, "a 1234567890123456 b")], "doc_id long, text string")).count() == 0
