@@ -7,14 +7,31 @@ of its model, pre-token by pre-token, or through its whole path where letters be
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
-#: Words remembered in a task's process; when full, the memory starts anew.
+#: Words, and pre-tokens, remembered in a task's process.
 MEMORY = 400_000
 
 
+class Memory(dict):
+    """What ``make`` gave for a key. Half of ``MEMORY`` is the older generation, of which only what is asked for again survives."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= MEMORY // 2:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
 @lru_cache(maxsize=4)
 def encoder(file: str) -> "WordEncoder":
     return WordEncoder(file)
@@ -32,10 +49,8 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(public_tokenizers.path(file))
-        self.known: dict[str, bytes] = {}
         # In the byte-level file a blank belongs to the word that follows it; the other file drops white space.
         self.blank = file.startswith("byte_")
-        self.parts: dict[str, bytes] = {}
         self.cut = regex.compile(public_tokenizers.PATTERN if self.blank else r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.runs = regex.compile(r"\s\s|\s$").search
         self.run_ahead = regex.compile(r"\S(?=\s)").finditer
@@ -44,48 +59,38 @@ class WordEncoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         sign = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(plain))}
         self.letters = {c: "".join(sign[b] for b in chr(c).encode()) for c in range(256)}
+        self.words, self.parts = Memory(self._word), Memory(self._part)
 
     def _part(self, part: str) -> bytes:
         """Ids of one pre-token, from the library's model."""
-        got = self.parts.get(part)
-        if got is None:
-            got = b"".join(t.id.to_bytes(4, "little") for t in self.library.model.tokenize(part.translate(self.letters)))
-            if len(self.parts) >= MEMORY:
-                self.parts.clear()
-            self.parts[part] = got
-        return got
+        signs = part.replace(" ", "Ġ") if part.isascii() and part.isprintable() else part.translate(self.letters)
+        return array("I", [t.id for t in self.library.model.tokenize(signs)]).tobytes()
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of words cut from texts. Words beyond Latin-1 or with special strings take the library's whole path."""
-        out: list[bytes | None] = []
-        odd = []
-        for w in words:
-            if "<|" in w or (not w.isascii() and not self.latin(w)):
-                odd.append(w)
-                out.append(None)
-            else:
-                out.append(b"".join(map(self._part, self.cut(w if self.blank else self.library.normalizer.normalize_str(w)))))
-        rest = iter(self.library.encode_batch(odd, add_special_tokens=False))
-        return [np.array(next(rest).ids, "<u4").tobytes() if x is None else x for x in out]
+    def _word(self, word: str) -> bytes:
+        """Ids of a word cut from a text. Words beyond Latin-1 or with special strings take the library's whole path."""
+        if self.blank:
+            word = " " + word
+        return self._piece(word)
+
+    def _piece(self, piece: str) -> bytes:
+        if "<|" in piece or not (piece.isascii() or self.latin(piece)):
+            return array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.parts.__getitem__, self.cut(piece if self.blank else piece.lower())))
 
-    def _long_runs(self, text: str) -> bytes:
+    def _odd(self, text: str) -> bytes:
         """Where white space comes in runs, each run leads the word behind it, as the pre-tokenizer needs its length."""
         cuts = [0, *(m.end() for m in self.run_ahead(text)), len(text)]
-        return b"".join(self._ids([text[a:b] for a, b in zip(cuts, cuts[1:])]))
+        return b"".join(self._piece(text[a:b]) for a, b in zip(cuts, cuts[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        known = self.known
-        plain = [not self.blank or not self.runs(t) for t in texts]
-        cut = [t.split(" ") if ok else [] for t, ok in zip(texts, plain)]
-        new = {w for ws in cut for w in ws[self.blank:] if w not in known}
-        if len(known) + len(new) > MEMORY:
-            known.clear()
-            new = {w for ws in cut for w in ws[self.blank:]}
-        listed = list(new)
-        known.update(zip(listed, self._ids([" " + w for w in listed] if self.blank else listed)))
-        get = known.__getitem__
-        if not self.blank:
-            return [b"".join(map(get, ws)) for ws in cut]
-        first = iter(self._ids([ws[0] for ws in cut if ws]))
-        return [next(first) + b"".join(map(get, ws[1:])) if ok else self._long_runs(t) for t, ws, ok in zip(texts, cut, plain)]
+        get, out = self.words.__getitem__, []
+        for text in texts:
+            if not self.blank:
+                out.append(b"".join(map(get, text.split(" "))))
+            elif self.runs(text):
+                out.append(self._odd(text))
+            else:
+                first, *rest = text.split(" ")
+                out.append(self._piece(first) + b"".join(map(get, rest)))
+        return out
