@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import decontaminate, ngram_join, packing, quality_rules, repair_grammar, secret_forest, token_counts
+from fieldlens.llm import decontaminate, ngram_join, packing, quality_rules, repair_grammar, secret_forest, token_counts, wrapper
 from fieldlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontamination": lambda spark, sf: decontaminate.op7(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op8_quality_rules": lambda spark, sf: quality_rules.op8(table(spark, sf, "documents")),
     "op9_packing": lambda spark, sf: packing.op9(table(spark, sf, "documents")),
+    "op10_wrapper_induction": lambda spark, sf: wrapper.op10(table(spark, sf, "pages")),
 }
 
 ORACLES: dict[str, str] = {
