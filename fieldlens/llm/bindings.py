@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import decontaminate, ngram_join, packing, quality_rules, repair_grammar, secret_forest, token_counts, wrapper
+from fieldlens.llm import decontaminate, ngram_join, packing, pitman_yor, quality_rules, repair_grammar, secret_forest, token_counts, wrapper
 from fieldlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": lambda spark, sf: ngram_join.op1(table(spark, sf, "documents")),
     "op2_secret_scan": lambda spark, sf: secret_forest.op2(table(spark, sf, "documents")),
+    "op3_pitman_yor": lambda spark, sf: pitman_yor.op3(table(spark, sf, "documents")),
     "op4_token_counts": lambda spark, sf: token_counts.op4(table(spark, sf, "documents")),
     "op5_repair_ids": lambda spark, sf: repair_grammar.op5(table(spark, sf, "documents")),
     "op7_decontamination": lambda spark, sf: decontaminate.op7(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
