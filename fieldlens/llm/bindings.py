@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import decontaminate, ngram_join, packing, pitman_yor, quality_rules, repair_grammar, secret_forest, token_counts, wrapper
+from fieldlens.llm import decontaminate, ngram_join, packing, pitman_yor, quality_rules, repair_grammar, secret_forest, suffix_groups, token_counts, wrapper
 from fieldlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {
     "op3_pitman_yor": lambda spark, sf: pitman_yor.op3(table(spark, sf, "documents")),
     "op4_token_counts": lambda spark, sf: token_counts.op4(table(spark, sf, "documents")),
     "op5_repair_ids": lambda spark, sf: repair_grammar.op5(table(spark, sf, "documents")),
+    "op6_suffix_groups": lambda spark, sf: suffix_groups.op6(table(spark, sf, "documents")),
     "op7_decontamination": lambda spark, sf: decontaminate.op7(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op8_quality_rules": lambda spark, sf: quality_rules.op8(table(spark, sf, "documents")),
     "op9_packing": lambda spark, sf: packing.op9(table(spark, sf, "documents")),
