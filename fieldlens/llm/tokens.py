@@ -38,7 +38,7 @@ def encoder(file: str) -> "WordEncoder":
 
 
 class WordEncoder:
-    """Ids of words as little-endian bytes of ``width`` bytes each."""
+    """Ids of texts and their words as little-endian unsigned 32-bit integers."""
 
     def __init__(self, file: str):
         import os
@@ -59,18 +59,26 @@ class WordEncoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         sign = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(plain))}
         self.letters = {c: "".join(sign[b] for b in chr(c).encode()) for c in range(256)}
+        self.tokenize = self.library.model.tokenize
         self.words, self.parts = Memory(self._word), Memory(self._part)
 
     def _part(self, part: str) -> bytes:
         """Ids of one pre-token, from the library's model."""
         signs = part.replace(" ", "Ġ") if part.isascii() and part.isprintable() else part.translate(self.letters)
-        return array("I", [t.id for t in self.library.model.tokenize(signs)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(signs)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word cut from a text. Words beyond Latin-1 or with special strings take the library's whole path."""
-        if self.blank:
-            word = " " + word
-        return self._piece(word)
+        """Ids of a word cut from a text. Letters alone are one pre-token, and so are marks behind them; other words are cut by the pattern."""
+        if word.isalpha():
+            if word.isascii():
+                return array("I", [t.id for t in self.tokenize("Ġ" + word if self.blank else word.lower())]).tobytes()
+            if self.latin(word):
+                return self._part(" " + word if self.blank else word.lower())
+        else:
+            stem = word.rstrip(",.!?;:*&%$#")
+            if stem.isalpha() and (stem.isascii() or self.latin(stem)):
+                return self.words[stem] + self.parts[word[len(stem):]]
+        return self._piece(" " + word if self.blank else word)
 
     def _piece(self, piece: str) -> bytes:
         if "<|" in piece or not (piece.isascii() or self.latin(piece)):
