@@ -18,6 +18,8 @@ def saved(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             import tempfile
 
             folder = tempfile.mkdtemp(prefix="checkpoint-")  # only where the cluster names no shared folder, as in tests

@@ -69,6 +69,8 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of a word cut from a text. Letters alone are one pre-token, and so are marks behind them; other words are cut by the pattern."""
+        if word is None:
+            return b""
         if word.isalpha():
             if word.isascii():
                 return array("I", [t.id for t in self.tokenize("Ġ" + word if self.blank else word.lower())]).tobytes()
@@ -99,6 +101,7 @@ class WordEncoder:
             elif self.runs(text):
                 out.append(self._odd(text))
             else:
-                first, *rest = text.split(" ")
-                out.append(self._piece(first) + b"".join(map(get, rest)))
+                words = text.split(" ")
+                first, words[0] = self._piece(words[0]), None  # no blank leads the first word
+                out.append(first + b"".join(map(get, words)))
         return out
