@@ -45,13 +45,7 @@ def lookup_table(variables: DataFrame) -> DataFrame:
 
 def known_names(layers: list[Layer]) -> list[tuple[str, str, str]]:
     """(key, layer, variable) for every normalised name, cut name, typo and unique prefix that can match."""
-    out = []
-    for layer in layers:
-        lookup = column_lookup(layer)
-        keys = set(lookup.full) | set(lookup.short) | set(lookup.typos)
-        keys |= {k[:n] for k in lookup.full for n in range(5, 11)}
-        out += [(k, layer.name, hit) for k in sorted(keys) if (hit := lookup.match(k))]
-    return out
+    return [(key, layer.name, hit) for layer in layers for key, hit in sorted(column_lookup(layer).names.items())]
 
 
 def match_names(columns: DataFrame, layers: list[Layer], name: str = "column") -> DataFrame:
@@ -113,8 +107,8 @@ def layer_in_key(t: Column, layers: dict[str, tuple[str, ...]]) -> Column:
 
 def zone_in_text(text: Column) -> Column:
     """``ZONE<n>`` from a path, leading zeros removed."""
-    digits = F.regexp_extract(text, r"(?i)zone[\s_\-]*0*(\d+)", 1)
-    return F.when(digits != "", F.concat(F.lit("ZONE"), digits.cast("decimal(38,0)").cast("string")))
+    digits = F.regexp_extract(text, r"(?i)zone[\s_\-]*(\d+)", 1)
+    return F.when(digits != "", F.concat(F.lit("ZONE"), F.regexp_replace(digits, r"^0+(?=\d)", "")))
 
 
 # ---- one file's schema -----------------------------------------------------------------------------
@@ -130,18 +124,21 @@ def unique_names(columns: list[str]) -> list[str]:
 
 
 def aligned_names(columns: list[str], layer: Layer) -> list[str]:
-    """Raw names aligned on the dictionary; the first match takes the variable name, collisions get ``_2``."""
+    """Raw names aligned on the dictionary, unique without regard to case as Spark compares them.
+
+    Of the columns that match a variable the first one takes its name; a name that is gone is tried again with ``_2`` behind it."""
     lookup = column_lookup(layer)
-    used: set[str] = set()
-    names = []
-    for c in columns:
-        hit = lookup.match(c)
-        name = hit if hit and hit not in used else c
-        while name in used:
-            name += "_2"
-        used.add(name)
-        names.append(name)
-    return names
+    first: dict[str, int] = {}
+    for i, c in enumerate(columns):
+        first.setdefault(lookup.match(c) or "", i)
+    wanted = {i: v for v, i in first.items() if v}
+    names: dict[str, str] = {}
+    for i, c in enumerate(columns):
+        name = wanted.get(i, c)
+        while name.lower() in names:
+            name = f"{name}_2"
+        names[name.lower()] = name
+    return list(names.values())
 
 
 def rename_raw(df: DataFrame, layer: Layer) -> DataFrame:

@@ -160,11 +160,11 @@ def add_position(df: DataFrame) -> DataFrame:
     """Centroid (``_cx``, ``_cy``) and the position rounded to 5 decimals (``_px``, ``_py``)."""
     df = df.withColumn("_centre", geo.centroid(F.col("geom")))
     df = df.withColumns({"_cx": F.col("_centre.x"), "_cy": F.col("_centre.y")}).drop("_centre")
-    return df.withColumns({"_px": F.round("_cx", 5), "_py": F.round("_cy", 5)})
+    return df.withColumns({"_px": F.bround("_cx", 5), "_py": F.bround("_cy", 5)})
 
 
 def position_key(x: Column, y: Column) -> Column:
-    return F.concat_ws(" ", double_text(F.round(x, 5)), double_text(F.round(y, 5)))
+    return F.concat_ws(" ", double_text(F.bround(x, 5)), double_text(F.bround(y, 5)))
 
 
 def id_pattern(layer: Layer, settings: Settings) -> tuple[str | None, str | None]:

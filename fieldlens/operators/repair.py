@@ -117,10 +117,10 @@ def harmonise_ids(df: DataFrame, layer: Layer, order: list[str] = ORDER) -> Data
     bad = F.col("_canon").isNull() | (F.col("_first").isNotNull() & ~first) | (F.col("_zid") != F.col("zone"))
     base = base.withColumn("_bad", F.coalesce(bad, F.lit(False))).drop("_uses", "_first")
     top = base.filter("not _bad and zone is not null").groupBy("zone").agg(
-        F.max(F.regexp_extract("_canon", ID_TEXT, 3).cast("long")).alias("_top"), F.count("*").alias("_n"))
+        F.max(F.regexp_extract("_canon", ID_TEXT, 3).try_cast("decimal(38,0)")).alias("_top"), F.count("*").alias("_n"))
     todo = base.filter("_bad and zone is not null").select("zone", *order)
     numbered = number_in_order(todo, [F.col(c) for c in order], ["zone"], "_k")
-    given = attach(numbered, top, ["zone"], "_n").select(*order, (F.coalesce("_top", F.lit(0)) + F.col("_k")).alias("_num"))
+    given = attach(numbered, top, ["zone"], "_n").select(*order, (F.coalesce("_top", F.lit(0)) + F.col("_k")).cast("decimal(38,0)").alias("_num"))
     out = base.join(given, order, "left")
     new = F.when(~F.col("_bad"), F.col("_canon")).when(
         F.col("_num").isNotNull(), F.concat(F.col("zone"), F.lit(layer.prefix), F.col("_num").cast("string")))
@@ -134,7 +134,7 @@ def add_coordinates(df: DataFrame, layer: Layer, zone: int) -> DataFrame:
     g = F.col("geom")
     if layer.geometry == "Point":
         p = geo.first_point(g)
-        return df.withColumns({"lon": F.round(p["x"], 7), "lat": F.round(p["y"], 7)})
+        return df.withColumns({"lon": F.bround(p["x"], 7), "lat": F.bround(p["y"], 7)})
     return df.withColumn("longueur_m", F.bround(geo.length_m(g, zone), 1))
 
 

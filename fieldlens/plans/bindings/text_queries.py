@@ -25,7 +25,7 @@ def name_keys(spark, sf):
     return table(spark, sf, "pages").select("page_id", tx.name_key(F.col("url")).alias("key"))
 
 
-@query("value_keys", f"SELECT doc_id, {sql_value_key(chr(114) + 'eplace(text, ' + repr('ß') + ', ' + repr('') + ')')} AS key FROM documents")
+@query("value_keys", f"SELECT doc_id, {sql_value_key("replace(text, 'ß', '')")} AS key FROM documents")
 def value_keys(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.value_key(F.col("text")).alias("key"))
 

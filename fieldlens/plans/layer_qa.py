@@ -120,7 +120,7 @@ class LayerCheck:
         context = self.checked.select(
             *ROW_KEY, "_source", "_fmt", F.col(layer.id_var).cast("string").alias("id"), name.cast("string").alias("nom"),
             F.col("_agent").alias("agent"), day_text(F.col("_date")).alias("date"),
-            F.round("_cx", 6).alias("longitude"), F.round("_cy", 6).alias("latitude"), "_issues")
+            F.bround("_cx", 6).alias("longitude"), F.bround("_cy", 6).alias("latitude"), "_issues")
         per_row = self.group_issues.groupBy(*ROW_KEY).agg(F.collect_list("i").alias("_more"))
         roles = self.members.select(*ROW_KEY, "_grp", "nature", "keep")
         rows = context.join(per_row, ROW_KEY, "left").join(roles, ROW_KEY, "left")

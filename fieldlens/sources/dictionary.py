@@ -91,41 +91,34 @@ class Layer:
 
 @dataclass(frozen=True)
 class ColumnLookup:
-    """Normalised column names that lead to one variable of a layer."""
-    full: dict[str, str]
-    short: dict[str, str]
+    """Every normalised column name that leads to a variable of a layer, and cut names that could mean several."""
+    names: dict[str, str]
     ambiguous: frozenset[str]
-    typos: dict[str, str]
 
     def match(self, column: str) -> str | None:
-        key = plain_name_key(column)
-        hit = self.full.get(key)
-        if hit is None and len(key) <= 10:
-            hit = self.short.get(key)
-        if hit is None:
-            hit = self.typos.get(key)
-        if hit is None and 5 <= len(key) <= 10:
-            longer = {v for k, v in self.full.items() if k.startswith(key)}
-            hit = longer.pop() if len(longer) == 1 else None
-        return hit
-
-
-def _unique_keys(layer: Layer, make_key) -> tuple[dict[str, str], set[str]]:
-    owners: dict[str, set[str]] = {}
-    for v in layer.variables:
-        for text in (v.name, v.json_name, v.label):
-            key = make_key(text)
-            if key:
-                owners.setdefault(key, set()).add(v.name)
-    return ({k: next(iter(s)) for k, s in owners.items() if len(s) == 1},
-            {k for k, s in owners.items() if len(s) > 1})
+        return self.names.get(plain_name_key(column))
 
 
 def column_lookup(layer: Layer) -> ColumnLookup:
-    full, _ = _unique_keys(layer, plain_name_key)
-    short, unclear = _unique_keys(layer, short_name_key)
-    typos = {k: v for k, v in KNOWN_TYPOS.items() if v in layer.names}
-    return ColumnLookup(full, short, frozenset(unclear - set(full)), typos)
+    """All names that can match, weaker ways first so that stronger ones replace them: the only beginning of that kind among the full names
+    (5 to 10 characters), known typing errors, names cut to 10 characters, full names. A name that means several variables means none."""
+    meant: dict[str, dict[str, set[str]]] = {"begins": {}, "typo": {}, "cut": {}, "full": {}}
+    for v in layer.variables:
+        for text in filter(None, (v.name, v.json_name, v.label)):
+            meant["full"].setdefault(plain_name_key(text), set()).add(v.name)
+            meant["cut"].setdefault(short_name_key(text), set()).add(v.name)
+    sure = {k: owners for k, owners in meant["full"].items() if len(owners) == 1}
+    for key, owners in sure.items():
+        for n in range(5, 11):
+            meant["begins"].setdefault(key[:n], set()).update(owners)
+    for wrong, right in KNOWN_TYPOS.items():
+        if right in layer.names:
+            meant["typo"][wrong] = {right}
+    names: dict[str, str] = {}
+    for way in ("begins", "typo", "cut", "full"):
+        names |= {k: next(iter(owners)) for k, owners in meant[way].items() if k and len(owners) == 1 and (way != "begins" or len(k) >= 5)}
+    unclear = {k for k, owners in meant["cut"].items() if len(owners) > 1}
+    return ColumnLookup(names, frozenset(unclear - set(sure)))
 
 
 def build_layers(layers: Iterable, variables: Iterable, domains: Iterable) -> dict[str, Layer]:
@@ -158,8 +151,8 @@ def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, nullValue="", enforceSchema=True, quote='"', escape='"')
 
 
-def dictionary_tables(spark: SparkSession, folder: str, layers="pcdn_layers.csv", variables="pcdn_schema.csv",
-                      domains="pcdn_domains.csv") -> tuple[DataFrame, DataFrame, DataFrame]:
+def dictionary_tables(spark: SparkSession, folder: str, layers="layers.csv", variables="variables.csv",
+                      domains="domains.csv") -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three dictionary tables with typed order and required flag."""
     lay = _csv(spark, f"{folder}/{layers}", LAYERS_SCHEMA)
     var = _csv(spark, f"{folder}/{variables}", VARIABLES_SCHEMA)
