@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from fieldlens.operators import align, report
 from fieldlens.operators.checks import Settings
+from fieldlens.operators.distribution import staged
 from fieldlens.plans.layer_qa import LayerCheck, check_layer, unchecked_rows
 from fieldlens.sources import kml, shapefile, sinks
-from fieldlens.sources.archive import member_kind, read_archives
+from fieldlens.sources.archive import archive_errors, member_kind, read_archives
 from fieldlens.sources.dictionary import Layer
 
 META = ["_path", "_source", "_file_date", "_row_src", "_fmt", "_multigeom", "_crs_assumed", "geom"]
@@ -30,13 +31,16 @@ class RunResult:
 
 
 def read_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """Features of every KML file, shapefile and zip member below a folder, attributes still as a map."""
-    loose = kml.read_kml(spark, folder)
+    """Features of every KML file, shapefile and zip member below a folder, attributes still as a map.
+
+    A file without features and an archive that can't be read give one row with ``error``."""
+    loose = kml.read_kml(spark, folder, empty=True)
     shapes = shapefile.read_shapefiles(spark, folder)
-    members = member_kind(read_archives(spark, folder))
+    unpacked = staged(read_archives(spark, folder), "members")
+    members, broken = member_kind(unpacked), archive_errors(unpacked)
     zipped_kml = members.filter("ext = 'kml'").select(
-        F.col("path").alias("_path"), F.col("file_date").alias("_file_date"), F.col("content").cast("string").alias("value"))
-    zipped = kml.parse_placemarks(kml.placemarks(zipped_kml, "value", ["_path", "_file_date"])) \
+        F.col("path").alias("_path"), F.col("file_date").alias("_file_date"), kml.decoded(F.col("content")).alias("value"))
+    zipped = kml.parse_placemarks(kml.placemarks(zipped_kml, "value", ["_path", "_file_date"], empty=True)) \
         .withColumns({"_fmt": F.lit("kml"), "_crs_assumed": F.lit(False)})
     zipped_shapes = shapefile.to_wgs84(shapefile.decode_groups(members.select("path", "content", "file_date"))) \
         .withColumn("_fmt", F.lit("shp"))
@@ -44,18 +48,23 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
     for df in (loose, zipped):
         named = F.map_from_arrays(F.array(F.lit("placemark_name")), F.array("placemark_name"))
         frames.append(df.withColumn("attributes", F.map_concat(
-            named, F.map_filter("attributes", lambda k, v: k != "placemark_name"))).withColumn("error", F.lit(None).cast("string")))
+            named, F.map_filter("attributes", lambda k, v: k != "placemark_name"))).withColumn(
+                "error", F.when(F.col("_row_src").isNull(), "Aucun élément")))
     for df in (shapes, zipped_shapes):
         frames.append(df.withColumn("_multigeom", F.lit(None).cast("string")))
     columns = ["_path", "_file_date", "_row_src", "_fmt", "_multigeom", "_crs_assumed", "geom", "attributes", "error"]
+    frames.append(frames[0].filter("false").select(*columns).unionByName(
+        broken.select(F.col("path").alias("_path"), F.lit("zip").alias("_fmt"), "error"), allowMissingColumns=True))
     out = reduce(lambda a, b: a.unionByName(b), [f.select(*columns) for f in frames])
     return out.withColumn("_source", F.regexp_extract("_path", r"([^/!]*)$", 1))
 
 
 def file_schemas(features: DataFrame) -> DataFrame:
-    """Per file: entities, sorted attribute names, geometry types, error. Names are bounded by a file's width."""
-    names = features.select("_path", F.explode(F.map_keys("attributes")).alias("name")).distinct() \
-        .groupBy("_path").agg(F.array_sort(F.collect_set("name")).alias("columns"))
+    """Per file: entities, attribute names in the order of the file, geometry types, error. Names are bounded by a file's width."""
+    met = features.filter("error is null").select("_path", "_row_src", F.posexplode(F.map_keys("attributes")).alias("at", "name"))
+    names = met.groupBy("_path", "name").agg(F.min(F.struct("_row_src", "at")).alias("first")) \
+        .groupBy("_path").agg(F.array_sort(F.collect_list(F.struct("first", "name"))).alias("named")) \
+        .select("_path", F.col("named.name").alias("columns"))
     files = features.groupBy("_path", "_source").agg(
         F.count_if(F.col("error").isNull()).alias("n_entites"), F.collect_set("geom.gtype").alias("gtypes"),
         F.max("error").alias("error"), F.bool_or("_crs_assumed").alias("crs_assumed"))
@@ -87,7 +96,7 @@ def aligned_layer(features: DataFrame, columns: list[list[str]], layer: Layer) -
 
 def run(spark: SparkSession, folder: str, layers: dict[str, Layer], settings: Settings | None = None) -> RunResult:
     settings = settings or Settings()
-    features = read_folder(spark, folder)
+    features = staged(read_folder(spark, folder), "features")
     schemas = file_schemas(features)
     known = schemas.join(recognise_files(schemas, layers), "_path", "left")
     by_file = known.select("_path", "columns", "layer")
@@ -99,16 +108,17 @@ def run(spark: SparkSession, folder: str, layers: dict[str, Layer], settings: Se
         columns = [r["columns"] for r in layouts if r["layer"] == name]
         if not columns:
             continue
-        raw[name] = aligned_layer(tagged.filter(F.col("layer") == name), columns, layer)
-        check = check_layer(raw[name], layer, settings, reuse=True)
         try:
-            # the checks run here, so a layer that fails is reported without stopping the others
+            # alignment and checks run here, so a layer that fails is reported without stopping the others
+            raw[name] = aligned_layer(tagged.filter(F.col("layer") == name), columns, layer)
+            check = check_layer(raw[name], layer, settings, reuse=True)
             status.append(check.rows)
             issues.append(check.issues)
             checks[name] = check
         except Exception as e:
             failures[name] = str(e)
-            status.append(unchecked_rows(raw[name], layer))
+            if name in raw:
+                status.append(unchecked_rows(raw[name], layer))
     union = lambda frames: reduce(lambda a, b: a.unionByName(b), frames) if frames else None
     return RunResult(raw, checks, journal, union(status), union(issues), failures)
 

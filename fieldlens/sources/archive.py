@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_UNPACKED = 2 * 1024 ** 3
 MEMBER_SCHEMA = "archive string, member string, flat_name string, size long, modified timestamp, content binary, error string"
 
 
@@ -24,11 +23,11 @@ def _flat_name(member: str) -> str:
     return re.sub(r"[^\w.\-]+", "_", member.replace("/", "__"))
 
 
-def _members(archive: str, content: bytes, limit: int) -> Iterator[tuple]:
+def _members(archive: str, content: bytes, limit: int | None) -> Iterator[tuple]:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             entries = [i for i in z.infolist() if not i.is_dir()]
-            if sum(i.file_size for i in entries) > limit:
+            if limit is not None and sum(i.file_size for i in entries) > limit:
                 yield archive, None, None, None, None, None, "Archive trop volumineuse"
                 return
             for i in entries:
@@ -38,9 +37,11 @@ def _members(archive: str, content: bytes, limit: int) -> Iterator[tuple]:
         yield archive, None, None, None, None, None, f"ZIP illisible : {type(e).__name__}"
 
 
-def expand_archives(archives: DataFrame, limit: int = MAX_UNPACKED) -> DataFrame:
+def expand_archives(archives: DataFrame, limit: int | None = None) -> DataFrame:
     """Members of zip archives given as (path, content); one row with ``error`` for an archive that fails.
 
+    Nothing is too large by itself; ``limit`` bounds the unpacked bytes where a user sets it.
+
     Members are emitted in small batches: memory holds one archive and one batch, not a partition.
     """
     columns = [c.split()[0] for c in MEMBER_SCHEMA.split(", ")]
@@ -73,6 +74,11 @@ def unseen(archives: DataFrame, done: DataFrame) -> DataFrame:
     return archives.join(done.select("path", "length", "modificationTime"), ["path", "length", "modificationTime"], "left_anti")
 
 
+def archive_errors(members: DataFrame) -> DataFrame:
+    """(path, error) of the archives that could not be read."""
+    return members.filter("error is not null").select(F.col("archive").alias("path"), "error")
+
+
 def member_kind(members: DataFrame) -> DataFrame:
     """Members with their extension and the ``archive!member`` origin."""
     return members.filter("error is null").select(

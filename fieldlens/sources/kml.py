@@ -13,17 +13,34 @@ DATA_SCHEMA = ("struct<Data:array<struct<_name:string,value:string>>,"
                "SchemaData:array<struct<SimpleData:array<struct<_name:string,_VALUE:string>>>>>")
 
 
+# What follows an attribute up to the end of its tag; text between tags meets "<" first.
+_IN_TAG = r"(?=(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*>)"
+
+
+def decoded(content: Column) -> Column:
+    """Text of a file by the encoding that its XML declaration names, UTF-8 without one."""
+    latin = F.decode(content, "ISO-8859-1")
+    named = F.lower(F.regexp_extract(F.substring(latin, 1, 200), r"<\?xml[^>]*encoding\s*=\s*[\"']([^\"']+)", 1))
+    wide = F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")
+    text = F.when(wide, F.decode(content, "UTF-16")) \
+        .when(named.isin("iso-8859-1", "iso-8859-15", "latin1", "latin-1", "windows-1252", "us-ascii"), latin) \
+        .otherwise(content.cast("string"))
+    return F.regexp_replace(text, "^\ufeff", "")
+
+
 def _without_prefixes(xml: Column) -> Column:
-    """Drop namespace prefixes and declarations so that names match whatever the file declares."""
+    """Drop namespace prefixes and declarations in tags, so that names match whatever the file declares; values stay as they are."""
     xml = F.regexp_replace(xml, r"(</?)[A-Za-z_][\w.-]*:", "$1")
-    xml = F.regexp_replace(xml, r"\sxmlns(:[\w.-]+)?\s*=\s*(\"[^\"]*\"|'[^']*')", "")
-    return F.regexp_replace(xml, r"(\s)[A-Za-z_][\w.-]*:([\w.-]+\s*=)", "$1$2")
+    xml = F.regexp_replace(xml, r"\sxmlns(:[\w.-]+)?\s*=\s*(\"[^\"]*\"|'[^']*')" + _IN_TAG, "")
+    return F.regexp_replace(xml, r"(\s)[A-Za-z_][\w.-]*:([\w.-]+\s*=\s*[\"'])" + _IN_TAG.replace("(?=(?:", "(?=[^\"'<>]*[\"'](?:", 1), "$1$2")
+
 
+def placemarks(files: DataFrame, text: str = "value", keep: list[str] = (), empty: bool = False) -> DataFrame:
+    """One row per placemark of each file's text, numbered from 1 in document order, as XML in ``_xml``.
 
-def placemarks(files: DataFrame, text: str = "value", keep: list[str] = ()) -> DataFrame:
-    """One row per placemark of each file's text, numbered from 1 in document order, as XML in ``_xml``."""
+    With ``empty`` a file without placemarks gives one row without number."""
     found = F.regexp_extract_all(_without_prefixes(F.col(text)), F.lit(PLACEMARK), F.lit(0))
-    return files.select(*keep, F.posexplode(found).alias("_at", "_xml")).withColumn("_row_src", (F.col("_at") + 1).cast("long")).drop("_at")
+    return files.select(*keep, (F.posexplode_outer if empty else F.posexplode)(found).alias("_at", "_xml")).withColumn("_row_src", (F.col("_at") + 1).cast("long")).drop("_at")
 
 
 def _element(tag: str, inner: str) -> Column:
@@ -62,19 +79,20 @@ def parse_placemarks(rows: DataFrame) -> DataFrame:
     last = F.filter(named, lambda p, i: ~F.exists(F.slice(named, i + 2, F.greatest(F.size(named) - i - 1, F.lit(0))),
                                                   lambda q: q["k"] == p["k"]))
     name = F.regexp_extract("_xml", r"(?s)^<Placemark[^>]*>(?:(?!<(?:ExtendedData|Point|LineString|Polygon|MultiGeometry)[\s>]).)*?<name(?:\s[^>]*)?>(.*?)</name>", 1)
-    name = F.replace(F.replace(F.replace(name, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
+    # The parser resolves CDATA sections and character references.
+    name = F.coalesce(F.from_xml(F.concat(F.lit("<r><name>"), name, F.lit("</name></r>")), "struct<name:string>", {"ignoreSurroundingSpaces": "false"})["name"], name)
     shapes = F.size(F.regexp_extract_all("_xml", F.lit(r"<(Point|LineString|Polygon)[\s>]"), F.lit(1)))
     return rows.select(*[c for c in rows.columns if c != "_xml"], F.when(name != "", name).alias("placemark_name"),
                        F.map_from_entries(last).alias("attributes"), placemark_geometry().alias("geom"),
                        F.when(shapes > 1, "True").otherwise("False").alias("_multigeom"))
 
 
-def read_kml(spark: SparkSession, path: str) -> DataFrame:
+def read_kml(spark: SparkSession, path: str, empty: bool = False) -> DataFrame:
     """Placemarks of all KML files below a path with their provenance; values stay in ``attributes``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[kK][mM][lL]").load(path)
     files = files.select(F.col("path").alias("_path"), F.to_date("modificationTime").alias("_file_date"),
-                         F.col("content").cast("string").alias("value"))
-    return parse_placemarks(placemarks(files, "value", ["_path", "_file_date"])) \
+                         decoded(F.col("content")).alias("value"))
+    return parse_placemarks(placemarks(files, "value", ["_path", "_file_date"], empty)) \
         .withColumns({"_source": F.element_at(F.split("_path", "/"), -1), "_fmt": F.lit("kml"), "_crs_assumed": F.lit(False)})
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import struct
+from itertools import zip_longest
 
 import numpy as np
 import pandas as pd
@@ -118,8 +119,10 @@ def _decode(key, pdf: pd.DataFrame) -> pd.DataFrame:
         assumed, zone, south, unknown = projection(prj)
         names = unique_names(names)
         out = []
-        for i, ((gtype, parts), row) in enumerate(zip(shapes, rows), 1):
-            g = {"gtype": gtype, "parts": [[{"x": x, "y": y} for x, y in p] for p in parts]}
+        for i, (shape, row) in enumerate(zip_longest(shapes, rows), 1):
+            # The side that is shorter is filled with nulls, so that no record is lost.
+            row = [None] * len(names) if row is None else row
+            g = shape and {"gtype": shape[0], "parts": [[{"x": x, "y": y} for x, y in p] for p in shape[1]]}
             out.append([*base, i, dict(zip(names, row)), g, assumed, zone, south, unknown, None])
         return pd.DataFrame(out, columns=columns).astype({"utm_zone": "Int32"})
     except Exception as e:
@@ -146,6 +149,7 @@ def to_wgs84(rows: DataFrame) -> DataFrame:
 
 
 def read_shapefiles(spark: SparkSession, folder: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "{" + ",".join("*." + "".join(f"[{c}{c.upper()}]" for c in e) for e in PARTS) + "}").load(folder).select(
         "path", "content", F.to_date("modificationTime").alias("file_date"))
     return to_wgs84(decode_groups(files)).withColumn("_fmt", F.lit("shp"))

@@ -53,6 +53,28 @@ def test_archives(spark, tmp_path):
     assert small.collect()[0]["error"] == "Archive trop volumineuse"
 
 
+def test_values_names_and_encodings_stay(spark, tmp_path):
+    body = ('<kml:Placemark><kml:name><![CDATA[A & B]]> &#233;</kml:name><kml:ExtendedData><kml:Data k:x="1" name="note"><kml:value>voir ref:code=12 xmlns:a="b"</kml:value>'
+            '</kml:Data></kml:ExtendedData></kml:Placemark>')
+    (tmp_path / "latin.kml").write_bytes(f'<?xml version="1.0" encoding="ISO-8859-1"?><kml:kml>{body.replace("voir", "Garé")}</kml:kml>'.encode("latin-1"))
+    (tmp_path / "utf.kml").write_text(f"<kml:kml>{body}</kml:kml>", encoding="utf-8")
+    rows = {r["_source"]: r for r in kml.read_kml(spark, str(tmp_path)).collect()}
+    assert rows["utf.kml"]["attributes"] == {"note": 'voir ref:code=12 xmlns:a="b"'} and rows["utf.kml"]["placemark_name"] == "A & B é"
+    assert rows["latin.kml"]["attributes"]["note"].startswith("Garé ref:code=12")
+
+
+def test_every_file_is_in_the_journal(spark, tmp_path):
+    _write(tmp_path / "in")
+    (tmp_path / "in" / "empty.kml").write_text("<kml/>")
+    order = "".join(f"<Data name='{n}'><value>1</value></Data>" for n in ("zz", "b", "Obs", "obs", "a"))
+    (tmp_path / "in" / "gares_cols.kml").write_text(f"<kml><Placemark><ExtendedData>{order}</ExtendedData></Placemark></kml>")
+    schemas = runs.file_schemas(runs.read_folder(spark, str(tmp_path / "in")))
+    files = {r["_source"]: r for r in schemas.collect()}
+    assert {"empty.kml", "broken.zip", "other.kml", "Gares_lot1.kml", "Gares_lot2.kml"} <= set(files)
+    assert files["broken.zip"]["error"].startswith("ZIP") and files["empty.kml"]["n_entites"] == 0
+    assert [c for c in files["gares_cols.kml"]["columns"] if c != "placemark_name"] == ["zz", "b", "Obs", "obs", "a"]
+
+
 def test_shapefile(spark, tmp_path):
     point = struct.pack("<i2d", 1, 500000.0, 442000.0)
     shp = struct.pack(">7i", 9994, 0, 0, 0, 0, 0, 64) + bytes(72) + struct.pack(">2i", 1, len(point) // 2) + point
