@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,16 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of ids, or of ids with a short list, up to which a side of a join is broadcast; beyond it both sides are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` written once, and marked for a broadcast if it was counted to have at most ``rows`` rows."""
+    df = saved(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string array, nulls as empty, and the offsets of its rows."""
     column = column.cast(pa.large_string()).fill_null("")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import mixed, pieces, saved, word_hashes
+from fieldlens.llm.common import mixed, pieces, saved, sized, word_hashes
 
 #: Fragments a document of any size is cut into for counting overlaps.
 COUNTED = 8
@@ -192,7 +192,7 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
     company = member.join(size, "key").groupBy("node").agg(F.sum("n").alias("company"))
     known = saved(company.join(classes, "node").select("node", "company", "low", "size", "bits"))
     reps = known.select(F.col("low").alias("rep"))
-    texts = docs.join(reps.distinct(), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
+    texts = docs.join(sized(reps.distinct()), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
     sets = texts.mapInArrow(_parts(n), "node long, part int, grams array<long>").join(known.select("node"), "node", "left_semi")
     sets = saved(sets.groupBy("node", "part").agg(F.first("grams").alias("grams")))
 
@@ -241,8 +241,10 @@ def op1(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are linked to one of a smaller id; one row of repeated rows stays."""
-    linked = link_components(docs).groupBy("doc_id").agg(F.min("component_id").alias("_component"))
-    kept = docs.join(linked.filter(F.col("doc_id") == F.col("_component")).select("doc_id"), "doc_id", "left_semi")
-    nameless = docs.filter("doc_id is null")
-    return kept.dropDuplicates(["doc_id"]).unionByName(nameless)
+    """``docs`` without the documents that are linked to one of a smaller id; of rows that repeat an id one stays, nameless rows all stay."""
+    linked = link_components(docs).groupBy("doc_id").agg(F.min("component_id").alias("_component"), F.count(F.lit(1)).alias("_rows"))
+    kept = sized(linked.filter(F.col("doc_id") == F.col("_component")).select(F.col("doc_id").alias("_id"), (F.col("_rows") > 1).alias("_again")))
+    rows = docs.join(kept, docs["doc_id"] == F.col("_id"))
+    once = rows.filter("not _again").select(*[docs[c] for c in docs.columns])
+    again = rows.filter("_again").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
+    return once.unionByName(again).unionByName(docs.filter("doc_id is null"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import saved
+from fieldlens.llm.common import saved, sized
 
 CANDIDATE = r"(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{16,}+={0,2}"
 #: Labelled findings that the forest is fitted on at most, the first in the order of a hash.
@@ -99,7 +99,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, *, threshold: float
 
 def without_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret replaced in the text; no document goes."""
-    secrets = scan(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("secret").alias("_secrets"))
+    secrets = sized(scan(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("secret").alias("_secrets")), 100_000)
     named = docs.join(secrets, docs["doc_id"].eqNullSafe(F.col("_id")), "left")
     text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(
         F.aggregate(F.array_sort("_secrets", lambda a, b: F.length(b) - F.length(a)), F.col("text"), lambda t, s: F.replace(t, s, F.lit(mark))))

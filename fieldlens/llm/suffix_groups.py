@@ -53,15 +53,14 @@ def grouped_suffixes(s: list[int]) -> list[int]:
     while g >= 0:
         done[g] = True
         items = [i for i in member[g] if group[i] == g]
-        copies: dict[int, int] = {}
         for i in items:
             p, path = i - 1, []
             while p >= 0 and done[group[p]]:
                 path.append(p)
                 p = prev[p] if group[p] != g else p - 1
-            for q in path:
+            for q in path:  # pointers of processed suffixes are shortened as they are used
                 if group[q] != g:
-                    prev[q] = p if prev[q] > p else prev[q]
+                    prev[q] = p
             prev[i] = p
         size = length[g]
         # Runs of the group's prefix behind a smaller suffix: how many copies follow it directly.
@@ -74,11 +73,9 @@ def grouped_suffixes(s: list[int]) -> list[int]:
                 while at in inside and prev[at] == p:
                     k, at = k + 1, at + size
                 run[p] = k
-        for p, k in run.items():
-            copies[p] = k
         # Those with more copies rank higher. Each new group goes directly above the group that its members leave.
         new: dict[tuple[int, int], list[int]] = {}
-        for p, k in copies.items():
+        for p, k in run.items():
             new.setdefault((k, group[p]), []).append(p)
         for k, old in sorted(new, reverse=True):
             moved = new[k, old]
@@ -94,12 +91,9 @@ def grouped_suffixes(s: list[int]) -> list[int]:
             for p in moved:
                 group[p] = m
         g = below[g]
-    order, g = [], 0
-    while above[g] >= 0 or True:
-        order.append(g)
-        if above[g] < 0:
-            break
-        g = above[g]
+    order = [0]
+    while above[order[-1]] >= 0:
+        order.append(above[order[-1]])
     free, total = {}, 0
     for g in order:
         free[g] = total
