@@ -63,7 +63,7 @@ def report_tables(rows: DataFrame, issues: DataFrame, journal: DataFrame, run_da
         "lisez_moi": report.guide(summary, run_date), "synthese": summary, "plan_action": report.action_plan(issues),
         "a_traiter": report.to_treat(rows), "doublons": report.duplicate_list(rows),
         "champs_vides": report.empty_required(rows, issues), "par_agent": report.agent_workload(rows),
-        "couverture_zones": report.coverage(rows), "anomalies": report.anomalies(issues), "journal_fichiers": journal,
+        "couverture_zones": report.coverage_long(rows), "anomalies": report.anomalies(issues), "journal_fichiers": journal,
     }
 
 
@@ -74,8 +74,9 @@ def write_report(tables: dict[str, DataFrame], path: str) -> None:
 
 def write_corrections(issues: DataFrame, path: str) -> None:
     """Issues per agent, one folder each; the rows of a busy agent stay spread over several files."""
+    # Rows of an agent meet in few tasks before the write; those of a busy one are split again.
     report.anomalies(issues.filter("agent is not null")).withColumn("agent_fichier", file_safe(F.col("agent"))) \
-        .write.mode("overwrite").partitionBy("agent_fichier").parquet(path)
+        .hint("rebalance", F.col("agent_fichier")).write.mode("overwrite").partitionBy("agent_fichier").parquet(path)
 
 
 def upsert_history(today: DataFrame, path: str) -> None:
