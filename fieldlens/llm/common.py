@@ -135,3 +135,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         saved(spark.range(0))  # sets the session's folder
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder and read back."""
+    df.write.parquet(path := shared_folder(df.sparkSession, name))
+    return df.sparkSession.read.parquet(path)

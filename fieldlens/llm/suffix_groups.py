@@ -6,9 +6,10 @@ are grouped by their Lyndon prefixes, groups are processed in descending order w
 order is emitted without renaming. Suffixes of one first anchor are neighbours there, and each such group sends one row with its size; the
 groups of all batches meet in a Spark aggregate. Only anchors of groups with two members or more can lie in a repeated window.
 
-Around those, the windows of each anchor are told apart by their distance from it. Cells of ``CELL`` distances are settled by the window at either
-end, as windows between two repeated ones cover nothing new. In other cells single windows are compared if the part that all windows of the cell
-share is repeated. Strings are compared by 64-bit hashes. No step joins a group with itself, and groups are counted, never gathered.
+Every window belongs to one anchor and is told by its distance from it. Of each anchor the windows at the first and the last distance and at each
+multiple of ``CELL`` are compared, and between them the part that all windows of a cell share. Between two repeated windows the others cover nothing
+new; in other cells whose shared part is repeated, every window is compared. Strings are compared by 64-bit hashes. No step joins a group with
+itself, groups are counted and never gathered, and texts are not moved as long as what is told about them is small.
 
 Null and empty texts, and texts shorter than ``length``, lose nothing. Repeated rows of at least ``length`` bytes lose everything. Extra columns are
 not read. An empty table gives no rows.
@@ -23,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import Prefix, mixed, pieces, saved, utf8
+from fieldlens.llm.common import Prefix, mixed, pieces, sized, stored, utf8
 
-CELL = 32
+CELL = 100
 
 
 def grouped_suffixes(s: list[int]) -> list[int]:
@@ -63,6 +64,21 @@ def grouped_suffixes(s: list[int]) -> list[int]:
                     prev[q] = p
             prev[i] = p
         size = length[g]
+        if len(items) == 1:  # the most frequent case: one suffix extends the one before it, if that is smaller and directly in front
+            p = prev[items[0]]
+            if p >= 0 and p + length[group[p]] == items[0]:
+                old, m = group[p], len(member)
+                member.append([p])
+                length.append(length[old] + size)
+                done.append(False)
+                below.append(old)
+                above.append(above[old])
+                if above[old] >= 0:
+                    below[above[old]] = m
+                above[old] = m
+                group[p] = m
+            g = below[g]
+            continue
         # Runs of the group's prefix behind a smaller suffix: how many copies follow it directly.
         run: dict[int, int] = {}
         inside = set(items)
@@ -182,53 +198,49 @@ def _counted(length: int):
     return run
 
 
-def _anchored(length: int):
-    def run(batches):
-        for batch in batches:
-            for lo, hi in pieces(batch, "text"):
-                a = Anchors(batch.column("text")[lo:hi], length)
-                keep = np.unique(np.stack([a.prints().view(np.int64), a.row]), axis=1) if len(a.anchor) else np.zeros((2, 0), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keep[0]), batch.column("h")[lo:hi].take(pa.array(keep[1]))], names=["key", "h"])
-
-    return run
-
-
-def _cells(a: Anchors, keep: np.ndarray):
-    """Cells of the kept anchors: number of the anchor, and the nearest and farthest distance of its windows in the cell."""
-    near, far = a.anchor[keep] - a.high[keep], a.anchor[keep] - a.low[keep]
-    c0, c1 = near // CELL, far // CELL
-    size = c1 - c0 + 1
-    which = np.repeat(np.arange(len(keep)), size)
-    cell = np.repeat(c0, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    return keep[which], cell, np.maximum(cell * CELL, near[which]), np.minimum(cell * CELL + CELL - 1, far[which])
-
-
-def _salted(h: np.ndarray, kind: int) -> pa.Array:
-    return pa.array(mixed(h + np.uint64(kind * 0x1F123BB5)).view(np.int64))
+ANCHORED = "key long, h long, at int, near int, far int, tests array<long>"
 
 
-TESTED = "key long, h long, kind int, at long, cell int"
+def points(a: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distances at which an anchor's windows are compared: per anchor the number of cells between them, and all (anchor, distance) in order."""
+    near, far = a.anchor - a.high, a.anchor - a.low
+    inner = np.maximum((far - 1) // CELL - near // CELL, 0)  # multiples of the cell strictly between
+    cells = np.where(far > near, inner + 1, 0)
+    who = np.repeat(np.arange(len(near)), cells + 1)
+    k = np.arange(len(who)) - np.repeat(np.cumsum(cells + 1) - cells - 1, cells + 1)
+    at = np.where(k == 0, near[who], np.where(k == cells[who], far[who], (near[who] // CELL + k) * CELL))
+    return cells, who, at
 
 
-def _tested(length: int):
-    """Of every cell of a doubtful text: the windows at its two ends, and the part that all its windows share."""
+def _anchored(length: int):
+    """Every anchor with the hashes of its compared windows, then of the shared parts of its cells."""
     def run(batches):
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
                 a = Anchors(batch.column("text")[lo:hi], length)
-                held = [set(x) for x in batch.column("keys")[lo:hi].to_pylist()]
-                keep = np.flatnonzero(np.array([int(p) in held[r] for p, r in zip(a.prints().view(np.int64), a.row)], bool)) if len(a.anchor) else np.zeros(0, np.int64)
-                who, cell, near, far = _cells(a, keep)
-                h = batch.column("h")[lo:hi].to_numpy(zero_copy_only=False)[a.row[who]] if len(who) else np.zeros(0, np.int64)
-                base = a.at[a.row[who]] if len(who) else np.zeros(0, np.int64)
-                at = a.anchor[who]
-                for kind, s, e in ((0, at - cell * CELL, at - cell * CELL + length), (1, at - cell * CELL - CELL + 1, at - cell * CELL - CELL + 1 + length),
-                                   (2, at - cell * CELL, at - cell * CELL + length - CELL + 1)):
-                    # An end counts where the text has that window as one of the anchor's; the shared part always is in the text.
-                    ok = np.ones(len(who), bool) if kind == 2 else (near == cell * CELL) if kind == 0 else (far == cell * CELL + CELL - 1)
-                    yield pa.RecordBatch.from_arrays([
-                        _salted(a.hash(s[ok], e[ok]) + cell[ok].astype(np.uint64) * np.uint64(kind == 2), kind), pa.array(h[ok]), pa.array(np.full(int(ok.sum()), kind), pa.int32()),
-                        pa.array((at - base)[ok]), pa.array(cell[ok], pa.int32())], names=["key", "h", "kind", "at", "cell"])
+                if not len(a.anchor):
+                    continue
+                cells, who, o = points(a)
+                start = a.anchor[who] - o
+                window = a.hash(start, start + length)
+                last = np.cumsum(cells + 1) - 1
+                inner = np.ones(len(who), bool)
+                inner[last[cells > 0]] = False  # an anchor of a single window has a part too
+                parts = np.maximum(cells, 1)
+                part = o[inner] // CELL
+                start = a.anchor[who[inner]] - part * CELL
+                shared = mixed(a.hash(start, start + length - CELL + 1) + part.astype(np.uint64) * np.uint64(0x1F123BB5))
+                # Per anchor the windows, then the parts.
+                before = np.cumsum(cells + 1 + parts) - (cells + 1 + parts)
+                rank = np.arange(len(who)) - (np.cumsum(cells + 1) - cells - 1)[who]
+                place = np.concatenate([before[who] + rank, (before + cells + 1)[who[inner]] + rank[inner]])
+                tests = np.empty(len(place), np.int64)
+                tests[place] = np.concatenate([window, shared]).view(np.int64)
+                bounds = np.concatenate([[0], np.cumsum(cells + 1 + parts)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(a.prints().view(np.int64)), batch.column("h")[lo:hi].take(pa.array(a.row)), pa.array((a.anchor - a.at[a.row]).astype(np.int32)),
+                    pa.array((a.anchor - a.high).astype(np.int32)), pa.array((a.anchor - a.low).astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(tests))], names=["key", "h", "at", "near", "far", "tests"])
 
     return run
 
@@ -238,95 +250,106 @@ def _fine(length: int):
     def run(batches):
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
-                a = Anchors(batch.column("text")[lo:hi], length)
-                rows = np.repeat(np.arange(hi - lo), [len(x) for x in batch.column("cells")[lo:hi].to_pylist()])
-                flat = [x for c in batch.column("cells")[lo:hi].to_pylist() for x in c]
-                asked = {(int(r), x["at"] + int(a.at[r]), x["cell"]) for r, x in zip(rows, flat)}
-                keep = np.flatnonzero(np.isin(a.anchor, [p for _, p, _ in asked]))
-                who, cell, near, far = _cells(a, keep)
-                ok = np.array([(int(a.row[w]), int(a.anchor[w]), int(c)) in asked for w, c in zip(who, cell)], bool)
-                who, near, far = who[ok], near[ok], far[ok]
-                size = far - near + 1
-                start = np.repeat(a.anchor[who] - far, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                row = np.repeat(a.row[who], size)
-                h = batch.column("h")[lo:hi].to_numpy(zero_copy_only=False)[row] if len(row) else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([_salted(a.hash(start, start + length), 3), pa.array(h), pa.array(start - a.at[row] if len(row) else start)], names=["key", "h", "start"])
+                raw, at = utf8(batch.column("text")[lo:hi])
+                told = batch.column("cells")[lo:hi].to_pylist()
+                row = np.repeat(np.arange(hi - lo), [len(x) for x in told])
+                first = np.array([c["first"] for x in told for c in x], np.int64)
+                size = np.array([c["last"] for x in told for c in x], np.int64) - first + 1
+                start = np.repeat(first, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                row = np.repeat(row, size)
+                base = at[row]
+                yield pa.RecordBatch.from_arrays([pa.array(Prefix(raw)(base + start, base + start + length).view(np.int64)), batch.column("h")[lo:hi].take(pa.array(row)),
+                                                  pa.array(start.astype(np.int32))], names=["key", "h", "start"])
 
     return run
 
 
+def _merged(batches):
+    """Spans of each text, overlapping and touching ones joined."""
+    for batch in batches:
+        out = []
+        for spans in batch.column("spans").to_pylist():
+            kept: list[dict] = []
+            for s in sorted(spans, key=lambda s: s["a"]):
+                if kept and s["a"] <= kept[-1]["b"]:
+                    kept[-1]["b"] = max(kept[-1]["b"], s["b"])
+                else:
+                    kept.append(dict(s))
+            out.append(kept)
+        yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(out, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], names=["h", "spans"])
+
+
 def _removed(length: int):
     def run(batches):
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
                 out = []
-                for text, starts, copies in zip(batch.column("text")[lo:hi].to_pylist(), batch.column("starts")[lo:hi].to_pylist(), batch.column("copies")[lo:hi].to_pylist()):
+                for text, spans, copied in zip(batch.column("text")[lo:hi].to_pylist(), batch.column("spans")[lo:hi].to_pylist(), batch.column("copied")[lo:hi].to_pylist()):
                     raw = text.encode()
-                    n = len(raw)
-                    if copies > 1 and n >= length:
-                        spans = [(0, n)]
-                    else:
-                        spans = []
-                        for x, y in sorted((s["a"], s["b"]) for s in starts or ()):
-                            if spans and x <= spans[-1][1]:
-                                spans[-1] = (spans[-1][0], max(y, spans[-1][1]))
-                            else:
-                                spans.append((x, y))
+                    gone = [(0, len(raw))] if copied else [(s["a"], s["b"]) for s in spans]
                     at, kept = 0, hashlib.sha256()
-                    for x, y in spans:
+                    for x, y in gone:
                         kept.update(raw[at:x])
                         at = y
                     kept.update(raw[at:])
-                    out.append((n, sum(y - x for x, y in spans), len(spans), kept.hexdigest()))
-                cols = list(zip(*out)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string()))]],
+                    out.append((len(raw), sum(y - x for x, y in gone), len(gone), kept.hexdigest()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], *[pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string()))]],
                                                  names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return run
 
 
-def repeated(docs: DataFrame, *, length: int = 400) -> DataFrame:
-    """(h, a, b): byte ranges covered by repeated strings in texts of hash ``h``, each text once, and (h, copies) of all texts."""
-    docs = docs.filter(F.octet_length("text") >= length)
-    # One text of each hash is looked at; that there are copies of it is known from their number.
-    classes = saved(docs.groupBy("h").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep")))
-    counted = docs.select("text").mapInArrow(_counted(length), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    held = docs.select("h", "text").mapInArrow(_anchored(length), "key long, h long").join(counted, "key", "left_semi")
-    held = held.distinct().groupBy("h").agg(F.collect_list("key").alias("keys"))
-    known = classes.join(held, "h").select(F.col("h").alias("_h"), "rep", "keys")
-    doubtful = saved(docs.join(known, (docs["h"] == known["_h"]) & docs["doc_id"].eqNullSafe(known["rep"])).select("h", "text", "keys"))
-    tested = doubtful.mapInArrow(_tested(length), TESTED).distinct()
-    weighed = tested.join(classes.filter("copies > 1").select("h", F.lit(1).alias("more")), "h", "left")
-    keys = weighed.groupBy("key").agg((F.count(F.lit(1)) + F.sum(F.coalesce("more", F.lit(0)))).alias("n")).filter("n > 1").select("key", F.lit(True).alias("hit"))
-    met = weighed.join(keys, "key").select("key", "h", "kind", "at", "cell", F.col("more").isNull().alias("alone"))
-    cells = met.groupBy("h", "at", "cell").agg(F.bool_or(F.col("kind") == 0).alias("first"), F.bool_or(F.col("kind") == 1).alias("last"),
-                                               F.max(F.when(F.col("kind") == 2, F.col("key"))).alias("part"), F.bool_or("alone").alias("alone"))
-    cells = saved(cells)
-    sides = cells.select("h", F.explode(F.array(F.when(F.col("first"), F.col("at") - F.col("cell") * CELL),
-                                                F.when(F.col("last"), F.col("at") - F.col("cell") * CELL - CELL + 1))).alias("a")).filter("a is not null")
-    # Only a cell that a text without copies asks about is looked into, in all texts that share its part.
-    open_cell = F.col("part").isNotNull() & ~(F.col("first") & F.col("last"))
-    asked = cells.filter(open_cell & F.col("alone")).select("part").distinct()
-    close = cells.join(asked, "part", "left_semi").groupBy("h").agg(F.collect_list(F.struct("at", "cell")).alias("cells"))
-    fine = doubtful.select("h", "text").join(close, "h").mapInArrow(_fine(length), "key long, h long, start long").distinct()
-    fine = fine.join(classes.filter("copies > 1").select("h", F.lit(1).alias("more")), "h", "left")
-    twice = fine.groupBy("key").agg((F.count(F.lit(1)) + F.sum(F.coalesce("more", F.lit(0)))).alias("n")).filter("n > 1").select("key")
-    single = fine.join(twice, "key", "left_semi").select("h", F.col("start").alias("a"))
-    # Cells repeated at both ends are repeated between; a start each, as the window covers the rest.
-    return sides.unionByName(single).select("h", "a", (F.col("a") + length).alias("b")).distinct(), classes
+def repeated(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """(h, spans) of the texts with repeated strings, and (h) of texts that are there more than once. ``docs`` has (text, h)."""
+    docs = docs.filter(F.octet_length("text") >= length).select("h", "text")
+    copied = sized(docs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"))
+    often = docs.mapInArrow(_counted(length), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    tested = docs.mapInArrow(_anchored(length), ANCHORED).join(often, "key", "left_semi").select(
+        "h", "at", "near", "far", (F.size("tests") - 1).alias("t"), F.posexplode("tests").alias("p", "key"))
+    twice = tested.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    met = tested.join(twice, "key", "left_semi").groupBy("h", "at", "near", "far", "t").agg(F.collect_set(F.struct("p", "key")).alias("hits"))
+    m = F.shiftright("t", 1)
+    met = stored(met.select("h", "at", "near", "far", m.cast("int").alias("m"), F.col("hits.p").alias("ps"), F.col("hits.key").alias("ks")), "anchors")
+    alone = met.join(copied, "h", "left_anti")
+
+    def distance(k):
+        return F.when(k == 0, F.col("near")).when(k >= F.col("m"), F.col("far")).otherwise((F.floor(F.col("near") / CELL).cast("int") + k) * CELL)
+
+    full = F.size(F.filter("ps", lambda p: p <= F.col("m"))) == F.col("m") + 1
+    found = F.when(full, F.array(F.struct((F.col("at") - F.col("far")).cast("int").alias("a"), (F.col("at") - F.col("near") + length).cast("int").alias("b")))).otherwise(
+        F.transform(F.filter("ps", lambda p: p <= F.col("m")), lambda p: F.struct((F.col("at") - distance(p)).cast("int").alias("a"), (F.col("at") - distance(p) + length).cast("int").alias("b"))))
+    sides = alone.select("h", F.explode(found).alias("s")).select("h", "s.a", "s.b")
+    # A cell is looked into where its shared part is repeated and not both of its windows are, in all texts that have the part.
+    cells = met.select("h", "at", "near", "far", "m", "ps", F.explode(F.filter(F.arrays_zip("ps", "ks"), lambda x: x["ps"] > F.col("m"))).alias("x")).select(
+        "h", "at", "near", "far", "m", "ps", (F.col("x.ps") - F.col("m") - 1).alias("c"), F.col("x.ks").alias("part"))
+    doubtful = ~(F.array_contains("ps", F.col("c")) & F.array_contains("ps", F.col("c") + 1))
+    asked = cells.filter(doubtful).join(copied, "h", "left_anti").select("part").distinct()
+    close = cells.join(asked, "part", "left_semi").select("h", F.struct(
+        (F.col("at") - distance(F.col("c") + 1) + (F.col("c") + 1 < F.col("m")).cast("int")).cast("int").alias("first"),
+        (F.col("at") - distance(F.col("c"))).cast("int").alias("last")).alias("cell"))
+    close = sized(close.filter("cell.first <= cell.last").groupBy("h").agg(F.collect_set("cell").alias("cells")), 300_000)
+    # They also meet the windows that were compared at first, which need not be in such cells.
+    fine = docs.join(close, "h").select("text", "h", "cells").mapInArrow(_fine(length), "key long, h long, start int")
+    windows = met.select("h", F.explode(F.arrays_zip("ps", "ks")).alias("x"), "m").filter(F.col("x.ps") <= F.col("m")).select(F.col("x.ks").alias("key"))
+    seen = fine.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    known = windows.distinct().withColumn("n", F.lit(2).cast("long"))
+    again = seen.unionByName(known).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    single = fine.join(again, "key", "left_semi").join(copied, "h", "left_anti").select("h", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
+    spans = sides.unionByName(single).groupBy("h").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    return spans.mapInArrow(_merged, "h long, spans array<struct<a:int,b:int>>"), copied
 
 
 def remove_repeats(docs: DataFrame, *, length: int = 400) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of (doc_id, text)."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    spans, classes = repeated(docs, length=length)
-    spans = spans.groupBy("h").agg(F.collect_list(F.struct("a", "b")).alias("starts"))
-    told = classes.join(spans, "h", "left").filter("copies > 1 or starts is not null").select("h", "starts", "copies")
-    found = docs.select("doc_id", "text", "h").join(told, "h", "left")
-    cut = found.filter("copies is not null").select("doc_id", "text", "starts", "copies").mapInArrow(
+    spans, copied = repeated(docs, length)
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    told = sized(copied.select("h", none.alias("spans"), F.lit(True).alias("copied")).unionByName(spans.withColumn("copied", F.lit(False))), 500_000)
+    found = docs.join(told, "h", "left")
+    cut = found.filter("copied is not null").select("doc_id", "text", "spans", "copied").mapInArrow(
         _removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    none = F.lit(0).cast("long")
-    whole = found.filter("copies is null").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+    zero = F.lit(0).cast("long")
+    whole = found.filter("copied is null").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
                                                   F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
     return cut.unionByName(whole)
 
