@@ -105,6 +105,8 @@ def _search(items: list[tuple[int, np.ndarray]], reps: int, similarity: float):
         if k not in covered and len(sym):
             short.setdefault(len(sym), {}).setdefault(sym.tobytes(), []).append(k)
 
+    listed = [sym.tolist() for _, sym in items]
+
     def run(batches):
         bit = np.zeros((reps, 1 << 20), bool)
         for rep, (keys, _, _) in enumerate(tables):
@@ -135,6 +137,10 @@ def _search(items: list[tuple[int, np.ndarray]], reps: int, similarity: float):
                         continue
                     slack = int(len(item) * (1 - similarity)) + 1
                     x, y = max(int(first[row]), at - slack), min(int(first[row + 1]), at + len(item) + slack)
+                    # An item of which too few words are there at all is farther away than the bound.
+                    there = set(sym[x:y].tolist())
+                    if sum(w in there for w in listed[k]) < similarity * len(item):
+                        continue
                     d, end = distance(item, sym[x:y])
                     if d <= (1 - similarity) * len(item) and d < best.get((row, k), (1 << 30,))[0]:
                         best[row, k] = (d, max(0, x + end - len(item) - int(first[row])))

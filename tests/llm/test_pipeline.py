@@ -78,7 +78,7 @@ def test_stages_and_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "ngram_join", "decontamination", "secret_scan", "packing"]
 
 
-def test_whole_pipeline(spark, tmp_path):
+def test_whole_pipeline(spark, tmp_path, monkeypatch):
     rows, items = table(random.Random(8))
     folder = str(tmp_path)
     spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{folder}/documents.parquet")
@@ -115,7 +115,7 @@ def test_whole_pipeline(spark, tmp_path):
     import public_tokenizers
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     expected = {d: len(library.encode(t, add_special_tokens=False).ids) + 1 for d, t in kept}
-    got = corpus_pipeline.run(spark, folder).collect()
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
     sizes = {}
     for r in got:
         sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.length
@@ -124,3 +124,6 @@ def test_whole_pipeline(spark, tmp_path):
     for r in got:
         fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
     assert max(fill.values()) <= 4096 and len(fill) <= np.ceil(sum(sizes.values()) / 4096) + 1
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[:1])
+    assert corpus_pipeline.run(spark, folder).count() == sum(good(t) is not None for _, t in rows)
