@@ -179,7 +179,7 @@ def _counted(length: int):
     """Anchors' fingerprints with their number in the batch, one row for each group of neighbouring suffixes."""
     def run(batches):
         for batch in batches:
-            for lo, hi in pieces(batch, "text", 8 << 20):
+            for lo, hi in pieces(batch, "text", 2 << 20):
                 a = Anchors(batch.column("text")[lo:hi], length)
                 if not len(a.anchor):
                     continue
