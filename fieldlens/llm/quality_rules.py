@@ -101,7 +101,9 @@ FROM b
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """``docs`` without rejected documents; of the others the lines that failed are gone. All columns stay, whatever their names."""
-    judged = judge(docs.select(F.struct("*").alias("_row"), F.col("text"))).filter("kept")
+    # A column that is not deterministic keeps the filter above the steps; pushed down, it would repeat them for every word.
+    judged = judge(docs.select(F.struct("*").alias("_row"), F.col("text"))).withColumn("_place", F.monotonically_increasing_id())
+    judged = judged.filter(F.col("kept") & (F.col("_place") >= 0))
     cut = F.col("kept_chars") < F.col("word_chars")
     text = F.when(cut, F.col("clean_text")).otherwise(F.col("text"))
     new = {"text": text} | ({"n_chars": F.when(cut, F.length("clean_text")).otherwise(F.col("_row.n_chars")).cast("long")} if "n_chars" in docs.columns else {})
