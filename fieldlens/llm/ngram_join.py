@@ -5,9 +5,9 @@ With at most D n-grams in which two linked documents can differ, D + 1 fragments
 agree on a fragment are candidates. Their overlaps are counted fragment by fragment and summed per pair.
 
 A hash of the order stands for an n-gram; the chance that two n-grams of a comparison share one is about 2**-50 for a million n-grams.
-Documents of equal sets are one class from the start. Only components are asked for, so the members of a fragment group are first compared with
-its most promising member; after that, members of different components of a group meet in a join whose condition holds an exact lower bound
-of their difference: each n-gram flips one of 512 parity bits, and sets that differ in d n-grams differ in at most d bits.
+Documents of equal sets are one class from the start. All pairs of classes of a fragment group meet in a join over blocks of the group, whose
+condition holds an exact lower bound of their difference: each n-gram flips one of 512 parity bits, and sets that differ in d n-grams differ
+in at most d bits. Pairs that pass are verified once each. Links are counted in full, so the work in a group of k linked classes grows with k * k.
 
 Texts without words, null and empty ones, have an empty set, no link, and are components of their own. Repeated rows are one class, and rows
 of one doc_id are linked only if their texts are. A null id counts as the largest. Other columns are not read. An empty table gives no rows.
@@ -24,6 +24,8 @@ from fieldlens.llm.common import mixed, pieces, saved, sized, word_hashes
 
 #: Fragments a document of any size is cut into for counting overlaps.
 COUNTED = 8
+#: Expected members of a block of a fragment group; blocks meet pair by pair.
+BLOCK = 500
 
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -180,17 +182,17 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links_found) of every row of (doc_id, text).
 
-    ``n_links_found`` is the number of verified links that hold the document's class in its component, at least 1 where there are any."""
+    ``n_links_found`` is the number of other rows whose sets are linked to the document's own, rows of an equal set among them."""
     docs = docs.select("doc_id", "text")
     rows = saved(docs.mapInArrow(_measured(n), "doc_id long, node long, size long, bits array<long>"))
-    classes = saved(rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bits").alias("bits")))
+    classes = saved(rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bits").alias("bits"),
+                                                               F.count(F.lit(1)).alias("copies")))
     keyed = docs.mapInArrow(_keyed(n, percent), KEYED)
     # Only groups of two or more classes matter; copies of one class never make a group.
     groups = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
     member = saved(keyed.join(groups, "key", "left_semi").groupBy("key", "node").agg(F.count(F.lit(1)).alias("copies")).select("key", "node"))
     size = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    company = member.join(size, "key").groupBy("node").agg(F.sum("n").alias("company"))
-    known = saved(company.join(classes, "node").select("node", "company", "low", "size", "bits"))
+    known = saved(member.select("node").distinct().join(classes, "node").select("node", "low", "size", "bits"))
     reps = known.select(F.col("low").alias("rep"))
     texts = docs.join(sized(reps.distinct()), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
     sets = texts.mapInArrow(_parts(n), "node long, part int, grams array<long>").join(known.select("node"), "node", "left_semi")
@@ -208,29 +210,24 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
         got = overlaps(pairs, sets).join(pairs, ["a", "b"])
         return saved(got.filter(F.col("shared") * 100 >= (F.col("sum") - F.col("shared")) * percent).select("a", "b"))
 
-    about = F.struct("node", "size", "bits", "low")
-    told = known.select("node", "company", about.alias("me"))
-    lead = (member.join(told.select("node", "company"), "node").groupBy("key")
-            .agg(F.max_by("node", F.struct("company", "node")).alias("lead")))
-    stars = member.join(lead, "key").filter("node <> lead").select("lead", "node").distinct()
-    stars = stars.join(told.select("node", "me"), "node").join(told.select(F.col("node").alias("lead"), F.col("me").alias("l")), "lead")
-    links = verified(stars.filter(fits("me", "l")).select(F.col("lead").alias("a"), "node", (F.col("me.size") + F.col("l.size")).alias("sum"))
-                     .withColumnRenamed("node", "b"))
+    # Members of a group are dealt into blocks, and all pairs of blocks meet: a hot group is spread over many tasks, and no pair is left out.
+    block = member.join(size, "key").join(known.select("node", F.struct("node", "size", "bits").alias("me")), "node").select(
+        "key", "me", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).withColumn("own", F.pmod(F.xxhash64("me.node"), F.col("blocks")).cast("int"))
+    x = block.select("key", F.col("own").alias("p"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("q"), F.col("me").alias("x"))
+    y = block.select("key", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("p"), F.col("own").alias("q"), F.col("me").alias("y"))
+    met = x.join(y, ["key", "p", "q"]).filter(((F.col("p") < F.col("q")) | (F.col("x.node") < F.col("y.node"))) & fits("x", "y"))
+    links = verified(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
+                                (F.col("x.size") + F.col("y.size")).alias("sum")))
     nodes = known.select("node")
-    state = components(nodes, links)
-    apart = saved(member.join(state, "node").join(told.select("node", "me"), "node").select("key", "comp", "me"))
-    split = apart.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    apart = apart.join(split, "key", "left_semi")
-    x, y = (apart.select("key", F.col("comp").alias(f"{s}_comp"), F.col("me").alias(s)) for s in "xy")
-    rest = x.join(y, (x["key"] == y["key"]) & (F.col("x_comp") < F.col("y_comp")) & fits("x", "y"))
-    more = verified(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.size") + F.col("y.size")).alias("sum")))
-    links = links.unionByName(more)
-    found = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links_found"))
+    ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    found = (ends.join(classes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node"))
+             .agg(F.sum("copies").alias("others")))
     state = components(nodes, links).join(known.select("node", "low"), "node")
     named = state.groupBy("comp").agg(F.min("low").alias("component_id"))
-    state = state.join(named, "comp").join(found, "node", "left").select("node", "component_id", "n_links_found")
-    alone = classes.select("node", "low").join(state, "node", "left").select(
-        "node", F.coalesce("component_id", "low").alias("component_id"), F.coalesce("n_links_found", F.lit(0)).alias("n_links_found"))
+    state = state.join(named, "comp").join(found, "node", "left").select("node", "component_id", "others")
+    alone = classes.select("node", "low", "copies").join(state, "node", "left").select(
+        "node", F.coalesce("component_id", "low").alias("component_id"),
+        (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links_found"))
     out = rows.join(alone, "node", "left")
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
                       .alias("component_id"), F.coalesce("n_links_found", F.lit(0)).cast("long").alias("n_links_found"))

@@ -64,3 +64,22 @@ def test_one_of_each(spark):
     rows = [(5, "a b c d e f g", "p"), (3, "a b c d e f g", "q"), (3, "a b c d e f g", "q"), (9, "z y x w v u t", "r"), (None, "n", "s"), (8, None, "t")]
     got = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert sorted((r.doc_id or -1, r.lang) for r in got.collect()) == [(-1, "s"), (3, "q"), (8, "t"), (9, "r")]
+
+
+def test_links_are_counted_in_full(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(200)]
+    texts = [" ".join(w if k != 8 * i else "new" for k, w in enumerate(base)) for i in range(20)]
+    texts += texts[:3] + ["a b c d", "a b c d", "other words stay alone", "", None]
+    rows = list(enumerate(texts)) + [(2, texts[5])]
+    rng.shuffle(rows)
+
+    def grams(t):
+        w = (t or "").split()
+        return {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+
+    sets = [(d, grams(t)) for d, t in rows]
+    want = sorted((d, sum(bool(a) and i != j and 100 * len(a & b) >= 90 * len(a | b) for j, (_, b) in enumerate(sets))) for i, (d, a) in enumerate(sets))
+    got = ngram_join.link_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), n=3, percent=90).collect()
+    assert sorted((r.doc_id, r.n_links_found) for r in got) == want and max(n for _, n in want) == 23
