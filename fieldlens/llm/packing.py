@@ -4,7 +4,7 @@ Documents are encoded, ended and, only where longer than a sequence, cut into fu
 The others are dealt by a hash into groups of bounded size; each group evolves on several islands, one task each. A solution is a list of
 bins. Crossover injects whole well-filled bins of one parent into the other, drops the bins that held their documents, and places displaced
 documents best-fit. Elites migrate to the next island between epochs. Poorly filled bins of all groups are dissolved and packed again in
-fewer groups, level by level, until one group is left.
+other groups of the same size, level by level, until a level saves less than one bin in ``SAVED`` or no packing can need fewer bins.
 
 Null texts are empty documents of one end token. Repeated rows are packed once each. An empty table gives no rows. Only the id and the text
 column are read, so other columns can't clash.
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from fieldlens.llm.common import pieces, saved
 from fieldlens.llm.tokens import encoder
 
+#: Bins of a level of which repacking has to save one for the next level to be tried.
+SAVED = 1000
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -152,11 +154,13 @@ def pack(items: DataFrame, capacity: int, *, group_size: int = 2048, islands: in
          generations: int = 6) -> DataFrame:
     """(uid, sequence_id, offset) of every (uid, length) row with 0 < length <= capacity. ``group_size`` is the expected size of a group."""
     whole = items.filter(F.col("length") == capacity).select("uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rest, level, done = items.filter(F.col("length") < capacity).select("uid", "length"), 0, []
+    rest, level, done, poor, before = items.filter(F.col("length") < capacity).select("uid", "length"), 0, [], None, None
     while True:
-        groups = -(-rest.count() // group_size)
+        count, total, large = rest.agg(F.count(F.lit(1)), F.sum("length"), F.count_if(F.col("length") * 2 > capacity)).first()
+        groups = -(-count // group_size)
         if groups == 0:
             break
+        least = max(-(-total // capacity), large)
         dealt = rest.select(F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(groups)).alias("grp"), "uid", "length",
                             F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"),
                             F.lit(0).alias("source"), F.lit(0).alias("elite"), F.lit(-1).alias("bin"))
@@ -168,18 +172,22 @@ def pack(items: DataFrame, capacity: int, *, group_size: int = 2048, islands: in
         state = saved(state.filter("elite = 0"))
         best = (state.groupBy("grp", "island").agg((F.max("bin") + 1).alias("bins")).groupBy("grp")
                 .agg(F.min_by("island", F.struct("bins", "island")).alias("island")))
-        best = state.join(best, ["grp", "island"])
-        last = groups == 1
-        settled = best if last else best.filter(F.col("fill") * 100 >= 97 * capacity)
-        done.append(settled.select("uid", (F.lit(level) * (1 << 56) + F.col("grp") * (1 << 20) + F.col("bin")).cast("long").alias("sequence_id"), "offset"))
+        best = state.join(best, ["grp", "island"]).select("uid", "length", "fill", "offset", (
+            F.lit(level) * (1 << 56) + F.col("grp") * (1 << 20) + F.col("bin")).cast("long").alias("sequence_id"))
+        bins = best.filter("offset = 0").count()
+        if before is not None and bins > before:  # the level before packed these in fewer
+            done.append(poor)
+            break
+        good = F.col("fill") * 100 >= 97 * capacity
+        last = groups == 1 or bins <= least or before is not None and (before - bins) * SAVED < before
+        done.append(best if last else best.filter(good))
         if last:
             break
-        rest, level = saved(best.filter(F.col("fill") * 100 < 97 * capacity).select("uid", "length")), level + 1
-        if level > 8:
-            group_size *= 4
+        poor = saved(best.filter(~good))
+        rest, before, level = poor.select("uid", "length"), poor.filter("offset = 0").count(), level + 1
     out = whole
     for part in done:
-        out = out.unionByName(part)
+        out = out.unionByName(part.select("uid", "sequence_id", "offset"))
     return out
 
 

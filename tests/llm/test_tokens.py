@@ -97,3 +97,15 @@ def test_packing(spark, docs):
 def test_empty_tables(spark, docs):
     none = docs.filter("false")
     assert token_counts.op4(none).count() == repair_grammar.op5(none).count() == packing.op9(none).count() == 0
+
+
+@pytest.mark.parametrize("length,each", [(2500, 1), (1500, 2)])
+def test_groups_stay_bounded(spark, length, each):
+    items = spark.range(1500).selectExpr("id AS uid", f"cast({length} AS long) AS length")
+    rows = packing.pack(items, 4096, group_size=64).collect()
+    groups, bins = {}, {}
+    for r in rows:
+        groups[r.sequence_id >> 20] = groups.get(r.sequence_id >> 20, 0) + 1
+        bins.setdefault(r.sequence_id, []).append(r.offset)
+    assert sorted(r.uid for r in rows) == list(range(1500)) and max(groups.values()) < 200
+    assert all(sorted(o) == [length * k for k in range(len(o))] and len(o) <= each for o in bins.values()) and len(bins) <= 1500 / each + 24
