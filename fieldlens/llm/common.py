@@ -38,6 +38,11 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def row_key(docs: DataFrame):
+    """A 64-bit key of a row's id and text, by which stages decide per row whatever ids repeat or are null; equal rows share it."""
+    return F.xxhash64(docs["doc_id"], docs["text"])
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string array, nulls as empty, and the offsets of its rows."""
     column = column.cast(pa.large_string()).fill_null("")

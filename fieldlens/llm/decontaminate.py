@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import Prefix, mixed, pieces, sized, words
+from fieldlens.llm.common import Prefix, mixed, pieces, row_key, sized, words
 
 STEPS = 18
 SAMPLED = 6
@@ -171,8 +171,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = 0.8, rec
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without documents that hold a benchmark item."""
-    found = sized(leaks(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    found = sized(leaks(docs.select(row_key(docs).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_key")).distinct())
+    return docs.join(found, row_key(docs) == F.col("_key"), "left_anti")
 
 
 def op7(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

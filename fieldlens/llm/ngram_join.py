@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import mixed, pieces, saved, sized, word_hashes
+from fieldlens.llm.common import mixed, pieces, row_key, saved, sized, word_hashes
 
 #: Fragments a document of any size is cut into for counting overlaps.
 COUNTED = 8
@@ -184,7 +184,7 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
 
     ``n_links_found`` is the number of other rows whose sets are linked to the document's own, rows of an equal set among them."""
     docs = docs.select("doc_id", "text")
-    rows = saved(docs.mapInArrow(_measured(n), "doc_id long, node long, size long, bits array<long>"))
+    rows = saved(docs.mapInArrow(_measured(n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size long, bits array<long>"))
     classes = saved(rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bits").alias("bits"),
                                                                F.count(F.lit(1)).alias("copies")))
     keyed = docs.mapInArrow(_keyed(n, percent), KEYED)
@@ -238,10 +238,13 @@ def op1(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are linked to one of a smaller id; of rows that repeat an id one stays, nameless rows all stay."""
-    linked = link_components(docs).groupBy("doc_id").agg(F.min("component_id").alias("_component"), F.count(F.lit(1)).alias("_rows"))
-    kept = sized(linked.filter(F.col("doc_id") == F.col("_component")).select(F.col("doc_id").alias("_id"), (F.col("_rows") > 1).alias("_again")))
-    rows = docs.join(kept, docs["doc_id"] == F.col("_id"))
+    """``docs`` without the rows that are linked to one of a smaller id, null being the largest; rows of one id are told apart by their texts.
+    Of rows equal in id and text one stays. Rows whose texts have no words all stay."""
+    ordered = F.struct(docs["doc_id"].isNull().alias("nameless"), F.coalesce(docs["doc_id"], F.lit(0)).cast("long").alias("id"), row_key(docs).alias("key"))
+    linked = link_components(docs.select(ordered.alias("doc_id"), "text")).groupBy("doc_id").agg(
+        F.min("component_id").alias("_component"), ((F.count(F.lit(1)) > 1) & (F.max("n_shingles") > 0)).alias("_again"))
+    kept = sized(linked.filter(F.col("doc_id") == F.col("_component")).select(F.col("doc_id.key").alias("_key"), "_again"))
+    rows = docs.join(kept, row_key(docs) == F.col("_key"))
     once = rows.filter("not _again").select(*[docs[c] for c in docs.columns])
-    again = rows.filter("_again").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
-    return once.unionByName(again).unionByName(docs.filter("doc_id is null"))
+    again = rows.filter("_again").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again)

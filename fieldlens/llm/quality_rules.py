@@ -1,7 +1,7 @@
 """Line-first cleaning of documents with DataFrame functions only.
 
-Every line is judged on its own: navigation bars, symbol and shouting noise, boilerplate phrases, lines without any sentence mark, and lines
-that repeat earlier ones. Failing lines are removed; a document that loses more than ``max_loss`` of its word characters is rejected.
+Every line is judged on its own: navigation bars, symbol and shouting noise, boilerplate phrases, and lines without any sentence mark. Failing
+lines are removed; a document that loses more than ``max_loss`` of its word characters is rejected. Repeated lines are counted, not removed.
 Document-level base rules (word count, share of repeated 3-word windows) come first.
 
 Null and empty texts have no words and no lines, so the base rule on the word count rejects them. Documents with a null id are kept as rows.

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import saved, sized
+from fieldlens.llm.common import row_key, saved, sized
 
 CANDIDATE = (r"(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{16,}+={0,2}|"
              r"""(?:(?<=[=:])|(?<=[=:] )|(?<=[=:]["'`])|(?<=[=:] ["'`]))(?=[A-Za-z_+/\-]{0,15}[0-9])(?=[0-9_+/\-]{0,15}[A-Za-z])"""
@@ -123,8 +123,8 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, *, threshold: float
 
 def without_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret replaced in the text; no document goes."""
-    secrets = sized(scan(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("secret").alias("_secrets")), 100_000)
-    named = docs.join(secrets, docs["doc_id"].eqNullSafe(F.col("_id")), "left")
+    secrets = sized(scan(docs.select(row_key(docs).alias("doc_id"), "text")).groupBy(F.col("doc_id").alias("_key")).agg(F.collect_set("secret").alias("_secrets")), 100_000)
+    named = docs.join(secrets, row_key(docs) == F.col("_key"), "left")
     text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(
         F.aggregate(F.array_sort("_secrets", lambda a, b: F.length(b) - F.length(a)), F.col("text"), lambda t, s: F.replace(t, s, F.lit(mark))))
     new = {"text": text} | ({"n_chars": F.when(F.col("_secrets").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast("long")} if "n_chars" in docs.columns else {})

@@ -127,3 +127,22 @@ def test_whole_pipeline(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[:1])
     assert corpus_pipeline.run(spark, folder).count() == sum(good(t) is not None for _, t in rows)
+
+
+def test_stages_decide_per_row(spark):
+    from fieldlens.llm import decontaminate, ngram_join, secret_forest
+
+    rng = random.Random(2)
+    text = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(40))
+    item, secret = text(), "".join(rng.choices("0123456789abcdef", k=40))
+    clean = [text() for _ in range(6)]
+    near = clean[0].rsplit(" ", 1)[0] + " other"
+    rows = [(None, clean[0], "a"), (None, near, "b"), (None, clean[1], "c"), (None, "x " + item, "d"), (7, clean[2], "e"), (7, clean[3], "f"),
+            (7, item, "g"), (1, clean[4], "h"), (7, clean[4] + " more", "i"), (None, clean[5], "j"), (None, clean[5], "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = [r.lang for r in ngram_join.one_of_each(docs).collect()]
+    assert len(set(kept) & {"a", "b"}) == 1 and sorted(set(kept) - {"a", "b"}) == ["c", "e", "f", "g", "h", "j"] and len(kept) == 7
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r.lang for r in decontaminate.clean_documents(docs, items).collect()) == ["a", "b", "c", "e", "f", "h", "i", "j", "j"]
+    own = spark.createDataFrame([(None, f'token = "{secret}" 1234567890123456', "k"), (None, f"token-like {clean[0]}", "l")], docs.schema)
+    assert sorted((r.lang, secret in r.text) for r in secret_forest.without_secrets(own).collect()) == [("k", False), ("l", False)]
