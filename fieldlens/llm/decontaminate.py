@@ -7,8 +7,10 @@ item needs; longer items have a window at each of their words, so that an edit s
 are added until a window with ``edits`` edits is found with the wanted recall. Every candidate is verified by the exact edit distance in
 words between the whole item and the best place in the document.
 
-Every word of every document starts a window; nothing is sampled. The items come in blocks of ``block`` items, which bounds what is broadcast.
-Items with fewer words than a walk reads are compared with an exact key of all their words. Items and documents without words match nothing.
+Items of fewer than ``EXACT`` words hold too few windows for that: at the bound of similarity most of theirs are spoilt. With at most e edits
+one of e + 1 pieces of an item is whole in the document, so these are looked up by the pieces and none is missed.
+
+Every word of every document starts a window; nothing is sampled. The items come in blocks of ``block`` items, which bounds what is broadcast. Items and documents without words match nothing.
 Repeated rows are reported each. A null doc_id is reported as null. Empty tables give no rows. Other columns are not read.
 """
 
@@ -25,6 +27,8 @@ from fieldlens.llm.common import Prefix, mixed, pieces, row_key, sized, words
 
 STEPS = 18
 SAMPLED = 6
+#: Words below which items are found by whole pieces.
+EXACT = 40
 FOUND = "doc_id long, item_id long, start long, distance long, similarity double"
 
 _PUNCT = np.zeros(256, bool)
@@ -84,12 +88,46 @@ def distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def allowed(words: int, similarity: float) -> int:
+    """Edits that an item of so many words may have."""
+    return int(words * (1 - similarity) + 1e-9)
+
+
+def runs(symbols: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from every start."""
+    rows = max(0, len(symbols) - size + 1)
+    out = np.zeros(rows, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            out = out * np.uint64(0x9FB21C651E98DF25) + symbols[k:k + rows]
+    return mixed(out)
+
+
+def _pieces_of(items: list[tuple[int, np.ndarray]], similarity: float) -> dict[int, tuple]:
+    """By their size: hashes of the pieces of short items in order, the items and where in them the pieces are."""
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for k, (_, sym) in enumerate(items):
+        if 0 < len(sym) < EXACT:
+            parts = allowed(len(sym), similarity) + 1
+            cut = [len(sym) * i // parts for i in range(parts + 1)]
+            for a, b in zip(cut[:-1], cut[1:]):
+                found.setdefault(b - a, []).append((int(runs(sym[a:b], b - a)[0]), k, a))
+    out = {}
+    for size, rows in found.items():
+        rows.sort()
+        keys, owner, shift = zip(*rows)
+        out[size] = np.array(keys, np.uint64), np.array(owner, np.int64), np.array(shift, np.int64)
+    return out
+
+
 def _search(items: list[tuple[int, np.ndarray]], reps: int, similarity: float):
     """The task that finds items in documents. ``items`` are bounded by the block."""
     tables = []
     for rep in range(reps):
         keys, owner, shift = [], [], []
         for k, (_, sym) in enumerate(items):
+            if len(sym) < EXACT:
+                continue
             key, read = walks(sym, rep)
             inside = np.flatnonzero(np.arange(len(sym)) + read <= len(sym))
             keys.append(key[inside])
@@ -98,33 +136,27 @@ def _search(items: list[tuple[int, np.ndarray]], reps: int, similarity: float):
         keys, owner, shift = (np.concatenate([np.zeros(0, t), *x]) for x, t in ((keys, np.uint64), (owner, np.int64), (shift, np.int64)))
         order = np.argsort(keys, kind="stable")
         tables.append((keys[order], owner[order], shift[order]))
-    # Items too short for any walk: their words as one exact key, by length.
-    covered = {int(o) for _, owner, _ in tables for o in owner}
-    short = {}
-    for k, (_, sym) in enumerate(items):
-        if k not in covered and len(sym):
-            short.setdefault(len(sym), {}).setdefault(sym.tobytes(), []).append(k)
+    walked = any(len(keys) for keys, _, _ in tables)
+    pieced = _pieces_of(items, similarity)
 
     listed = [sym.tolist() for _, sym in items]
 
     def run(batches):
-        bit = np.zeros((reps, 1 << 20), bool)
-        for rep, (keys, _, _) in enumerate(tables):
-            bit[rep, (keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        searched = [(lambda sym, rep=rep: walks(sym, rep)[0], *table) for rep, table in enumerate(tables)] if walked else []
+        searched += [(lambda sym, size=size: runs(sym, size), *table) for size, table in pieced.items()]
+        bit = np.zeros((len(searched), 1 << 20), bool)
+        for nth, (_, keys, _, _) in enumerate(searched):
+            bit[nth, (keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
                 sym, first = folded(batch.column("text")[lo:hi])
                 found = set()
-                for rep, (keys, owner, shift) in enumerate(tables):
-                    key, _ = walks(sym, rep)
-                    maybe = np.flatnonzero(bit[rep, (key & np.uint64((1 << 20) - 1)).astype(np.int64)])
+                for nth, (hashed, keys, owner, shift) in enumerate(searched):
+                    key = hashed(sym)
+                    maybe = np.flatnonzero(bit[nth, (key & np.uint64((1 << 20) - 1)).astype(np.int64)])
                     a, b = np.searchsorted(keys, key[maybe], "left"), np.searchsorted(keys, key[maybe], "right")
                     for p, i, j in zip(maybe[a < b].tolist(), a[a < b].tolist(), b[a < b].tolist()):
                         found.update((p - int(shift[t]), p, int(owner[t])) for t in range(i, j))
-                for size, known in short.items():
-                    head = {raw[:8] for raw in known}
-                    for p in np.flatnonzero(np.isin(sym[:len(sym) - size + 1], np.array([np.frombuffer(h, np.uint64)[0] for h in head], np.uint64))).tolist():
-                        found.update((p, p, k) for k in known.get(sym[p:p + size].tobytes(), ()))
                 best: dict[tuple[int, int], tuple] = {}
                 seen = set()
                 for at, p, k in sorted(found):
@@ -135,14 +167,15 @@ def _search(items: list[tuple[int, np.ndarray]], reps: int, similarity: float):
                     seen.add((row, k, at))
                     if best.get((row, k), (1,))[0] == 0:
                         continue
-                    slack = int(len(item) * (1 - similarity)) + 1
+                    most = allowed(len(item), similarity)
+                    slack = most + 1
                     x, y = max(int(first[row]), at - slack), min(int(first[row + 1]), at + len(item) + slack)
                     # An item of which too few words are there at all is farther away than the bound.
                     there = set(sym[x:y].tolist())
-                    if sum(w in there for w in listed[k]) < similarity * len(item):
+                    if sum(w in there for w in listed[k]) < len(item) - most:
                         continue
                     d, end = distance(item, sym[x:y])
-                    if d <= (1 - similarity) * len(item) and d < best.get((row, k), (1 << 30,))[0]:
+                    if d <= most and d < best.get((row, k), (1 << 30,))[0]:
                         best[row, k] = (d, max(0, x + end - len(item) - int(first[row])))
                 if best:
                     ids = batch.column("doc_id")[lo:hi].to_pylist()

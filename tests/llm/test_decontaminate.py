@@ -59,3 +59,22 @@ def test_empty_tables(spark):
     assert decontaminate.leaks(docs.filter("false"), items).count() == 0
     assert decontaminate.leaks(docs, items.filter("false")).count() == 0
     assert decontaminate.leaks(docs, items).count() == 1
+
+
+def test_recall_at_the_threshold_for_every_length(spark):
+    rng = random.Random(9)
+    lengths = list(range(1, 60))
+    items = [(k, " ".join(f"i{k}n{j}" for j in range(n))) for k, n in enumerate(lengths)]
+    rows, planted = [], set()
+    for d in range(len(lengths) * 4):
+        k = d % len(lengths)
+        w = items[k][1].split()
+        for i in rng.sample(range(len(w)), len(w) // 5):
+            w[i] = rng.choice(["", "new", w[i] + " new"])
+        rows.append((d, " ".join(["before", *w, "after"])))
+        planted.add((d, k))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string").repartition(4),
+                                                              spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got <= planted
+    missed = {(d, k) for d, k in planted - got}
+    assert not [k for _, k in missed if lengths[k] < decontaminate.EXACT] and len(missed) <= 0.05 * 4 * sum(n >= decontaminate.EXACT for n in lengths)
