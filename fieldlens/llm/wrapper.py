@@ -1,8 +1,9 @@
 """Main text of web pages by wrapper induction.
 
-Of every host a bounded number of pages with different content, chosen by a hash, are aligned as DOM trees by simple tree matching. Nodes whose
-text is the same in all of them are the host's template; the others are slots. Every page is aligned with its host's wrapper; what falls on
-template nodes with the template's text goes, and so do elements that by their kind or name are never content (navigation, headers, footers,
+Of every host a bounded number of pages with different content, the smallest by a hash, are aligned as DOM trees by simple tree matching. Nodes
+whose text is the same in all of them are the host's template; the others are slots. Every page is aligned with its host's wrapper; what falls
+on template nodes with the template's text goes. So does a text that is under the same path of keys on ``LEAST`` or more different pages and
+on ``CONSTANT`` of the host's, or of those of its kind, counted over all pages. Pages of a kind have the same parts of the body. So do elements that by their kind or name are never content (navigation, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments). Where a page marks an article or main part, only that part counts.
 
 A host with fewer than ``LEAST`` different pages has no template; the rules on kinds and names work alone. If everything in a page would be
@@ -14,17 +15,21 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
+from hashlib import blake2b
 from html import unescape
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import pieces, saved
+from fieldlens.llm.common import pieces, saved, sized
 
 SEEDS = 4
 LEAST = 3
+#: Share of the different pages on which a text is template.
+CONSTANT = 0.75
 #: Bytes of all wrappers up to which they are broadcast; beyond it they are joined by a shuffle.
 BROADCAST = 32 << 20
 
@@ -202,10 +207,85 @@ def _tree(told: list) -> Node:
     return node
 
 
-def main_text(html: str, wrapper: Node | None) -> str:
+_NUMBER = re.compile(r"\d+")
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def kind(root: Node) -> int:
+    """A number equal for pages whose bodies have parts of the same keys."""
+    body, todo = root, [root]
+    while todo:
+        node = todo.pop()
+        if node.key.split(" ", 1)[0] == "body":
+            body = node
+            break
+        todo += reversed(node.kids)
+    return _hash("\n".join(sorted({_NUMBER.sub("#", k.key) for k in body.kids})))
+
+
+def placed(root: Node):
+    """All nodes that bear text, each with the hash of its path and text."""
+    todo = [(root, "")]
+    while todo:
+        node, path = todo.pop()
+        if node.never:
+            continue
+        path = f"{_hash(path + '/' + _NUMBER.sub('#', node.key)):x}"
+        text = own_text(node) if node.texts else ""
+        if text:
+            yield node, _hash(path + " " + text)
+        todo += [(k, path) for k in node.kids]
+
+
+COUNTS = "host string, kind long, item long, pages double"
+
+
+def _count(batches):
+    """Of each host and kind: pages, as item 0, and pages with a text under a path. A page among n copies counts as one nth."""
+    for batch in batches:
+        for lo, hi in pieces(batch, "html"):
+            found: Counter = Counter()
+            for host, html, copies in zip(*(batch.column(c)[lo:hi].to_pylist() for c in ("host", "html", "copies"))):
+                root = parse(html or "")
+                own = kind(root)
+                for item in {0, *(i for _, i in placed(root))}:
+                    found[host, own, item] += 1 / copies
+            if len(_SHAPES) > 500_000:
+                _SHAPES.clear()
+                _SCORES.clear()
+            if found:
+                hosts, kinds, items = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(kinds, pa.int64()), pa.array(items, pa.int64()),
+                                                  pa.array(list(found.values()), pa.float64())], names=["host", "kind", "item", "pages"])
+
+
+def constants(pages: DataFrame) -> DataFrame:
+    """(host, items): texts under paths that are template by their counts, as structs of kind, 0 for any, and item. Pages are (host, h, html)."""
+    copies = sized(pages.groupBy("host", "h").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"))
+    told = pages.join(copies, ["host", "h"], "left").select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
+    counts = saved(told.mapInArrow(_count, COUNTS).groupBy("host", "kind", "item").agg(F.sum("pages").alias("pages")))
+
+    def often(found: DataFrame, *by: str) -> DataFrame:
+        every = found.filter("item = 0").select(*by, F.col("pages").alias("every"))
+        return found.filter((F.col("item") != 0) & (F.col("pages") > LEAST - 0.01)).join(every, [*by]).filter(
+            F.col("pages") > CONSTANT * F.col("every") - 0.01).select("host", "item", *by[1:])
+
+    anywhere = often(counts.groupBy("host", "item").agg(F.sum("pages").alias("pages")), "host")
+    of_kind = often(counts, "host", "kind").join(anywhere, ["host", "item"], "left_anti").select("host", "item", "kind")
+    return anywhere.select("host", "item", F.lit(0).cast("long").alias("kind")).unionByName(of_kind).groupBy("host").agg(
+        F.collect_list(F.struct("kind", "item")).alias("items"))
+
+
+def main_text(html: str, wrapper: Node | None, items: frozenset = frozenset()) -> str:
     """Blocks of the content slots in page order."""
     root = parse(html)
     fixed = {id(y) for x, y in aligned(wrapper, root) if x.template is not None and x.template == own_text(y)} if wrapper else set()
+    if items:
+        own = kind(root)
+        fixed |= {id(node) for node, item in placed(root) if (0, item) in items or (own, item) in items}
     within, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -257,16 +337,22 @@ def _blocks(roots: list[Node], fixed: set[int]) -> str:
 
 
 def _learn(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    got = induced([h for h in pdf.sort_values("bucket")["html"] if h])
+    got = induced([h for h in pdf.sort_values("h")["html"] if h])
     return pd.DataFrame({"host": [key[0]], "wrapper": [got]})
 
 
 def _extract(batches):
     wrappers: dict[str, Node | None] = {}
+    fixed: dict[str, frozenset] = {}
     for batch in batches:
         for lo, hi in pieces(batch, "html", 1 << 20):
             texts = []
-            for html, told in zip(batch.column("html")[lo:hi].to_pylist(), batch.column("wrapper")[lo:hi].to_pylist()):
+            hosts, lists = batch.column("host")[lo:hi].to_pylist(), batch.column("items")[lo:hi]
+            for k, (html, told) in enumerate(zip(batch.column("html")[lo:hi].to_pylist(), batch.column("wrapper")[lo:hi].to_pylist())):
+                if hosts[k] not in fixed:
+                    if len(fixed) > 500:
+                        fixed.clear()
+                    fixed[hosts[k]] = frozenset((x["kind"], x["item"]) for x in lists[k].as_py() or ())
                 if told is not None and told not in wrappers:
                     if len(wrappers) > 500:
                         wrappers.clear()
@@ -281,7 +367,7 @@ def _extract(batches):
                         node = _tree(json.loads(told))
                         _shape(node)
                         wrappers[told] = node
-                texts.append(main_text(html or "", wrappers.get(told)))
+                texts.append(main_text(html or "", wrappers.get(told), fixed[hosts[k]]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id")[lo:hi], batch.column("url")[lo:hi], pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
@@ -290,12 +376,14 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     pages = pages.select("page_id", "url", "html", host.alias("host"))
-    # A partial aggregate sends at most one page of each bucket, host and task.
-    seeds = pages.groupBy("host", F.pmod(F.xxhash64("html"), F.lit(SEEDS)).alias("bucket")).agg(
-        F.min(F.struct(F.xxhash64("html", F.lit(7)).alias("h"), "html")).alias("m")).select("host", "bucket", "m.html")
-    wrappers = saved(seeds.groupBy("host").applyInPandas(_learn, "host string, wrapper string"))
-    size = wrappers.agg(F.sum(F.octet_length("wrapper") + F.octet_length("host"))).first()[0] or 0
-    return pages.join(F.broadcast(wrappers) if size <= BROADCAST else wrappers, "host", "left").select("page_id", "url", "html", "wrapper").mapInArrow(
+    hashed = pages.filter("html <> ''").select("host", F.xxhash64("html").alias("h"), "html")
+    # Numbering within a host keeps at most SEEDS hashes of each task before its shuffle.
+    first = hashed.select("host", "h").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("host").orderBy("h"))).filter(F.col("nth") <= SEEDS)
+    seeds = hashed.join(sized(first.select("host", "h")), ["host", "h"]).groupBy("host", "h").agg(F.min("html").alias("html"))
+    wrappers = seeds.groupBy("host").applyInPandas(_learn, "host string, wrapper string")
+    wrappers = saved(wrappers.join(constants(hashed), "host", "full"))
+    size = wrappers.agg(F.sum(F.coalesce(F.octet_length("wrapper"), F.lit(0)) + F.octet_length("host") + F.greatest(F.size("items"), F.lit(0)) * 16)).first()[0] or 0
+    return pages.join(F.broadcast(wrappers) if size <= BROADCAST else wrappers, "host", "left").select("page_id", "url", "html", "host", "wrapper", "items").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long")
 
 

@@ -57,3 +57,19 @@ def test_deep_and_broken_pages():
     assert wrapper.main_text("<div>" * 3000 + "x" + "</p></div>" * 10, None) == "x"
     assert wrapper.main_text("<p class='a>b</p><!-- never closed", None) == "b"
     assert wrapper.main_text("<article><p>1<p>2<table><tr><td>3<td>4</table>", None) == "1\n\n2\n\n3\n\n4"
+
+
+def test_small_hosts_and_late_template_parts(spark):
+    rng = random.Random(6)
+    rows, want = [], {}
+    for i in range(3 * 30 + 60):
+        host = f"s{i % 30}.example.com" if i < 90 else "big.example.com"
+        block = " ".join(rng.choices(["alpha", "beta", "gamma"], k=8)) + f" {i}"
+        extra = "<div class=\"zz\">Closed for the holidays</div>" if i >= 90 and i % 3 == 0 else ""
+        body = f"<p>{block}</p>" + ("<p>Quoted twice.</p>" if i in (91, 92, 94, 95) else "")
+        rows.append((i, f"https://{host}/p{i}", page(host, body, extra)))
+        want[i] = block + ("\n\nQuoted twice." if i in (91, 92, 94, 95) else "")
+    rows += [(1000 + k, "https://s0.example.com/copy", rows[0][2]) for k in range(3)]
+    want |= {1000 + k: want[0] for k in range(3)}
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == want
