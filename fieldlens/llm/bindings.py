@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldlens.llm import (decontaminate, fill_middle, ngram_join, packing, periodic_runs, pitman_yor, quality_rules, repair_grammar, secret_forest,
-                           suffix_groups, token_counts, wrapper)
+                           suffix_groups, token_counts, toxicity, wrapper)
 from fieldlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,11 +24,13 @@ QUERIES: dict[str, Query] = {
     "op9_packing": lambda spark, sf: packing.op9(table(spark, sf, "documents")),
     "op10_wrapper_induction": lambda spark, sf: wrapper.op10(table(spark, sf, "pages")),
     "op11_periodic_runs": lambda spark, sf: periodic_runs.op11(table(spark, sf, "documents")),
+    "op12_toxicity": lambda spark, sf: toxicity.op12(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op13_fill_middle": lambda spark, sf: fill_middle.op13(table(spark, sf, "documents")),
 }
 
 ORACLES: dict[str, str] = {
     "op8_quality_rules": quality_rules.SQL,
     "op11_periodic_runs": periodic_runs.SQL,
+    "op12_toxicity": lambda spark, sf: toxicity.op12(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op13_fill_middle": fill_middle.SQL,
 }
