@@ -34,18 +34,22 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet on shared storage and read back, so that every consumer reads the columns it needs."""
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder."""
     import uuid
 
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         durable(spark.range(0))  # sets the folder of a local session
         base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet on shared storage and read back, so that every consumer reads the columns it needs."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _same(left: DataFrame, right: DataFrame, pairs) -> Column:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from fieldlens.functions.steps import spread
 from fieldlens.operators import checks
@@ -42,26 +46,71 @@ def check_arrivals(rows: DataFrame, layer: Layer, settings: Settings, target: st
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def flag_copies(rows: DataFrame, keys: list[str], store: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Append arriving rows to ``store`` and write to ``target`` the keys seen before, in this batch or earlier.
+def counts_per_task(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key and Arrow batch as ``n_rows``, so that a key sent very often reaches its state as a few rows."""
+    def count(batches):
+        for batch in batches:
+            batch = batch.dropna(subset=keys)
+            if len(batch):
+                yield batch.groupby(keys, as_index=False).size().rename(columns={"size": "n_rows"})
+
+    return rows.select(*keys).mapInPandas(count, f"{_types(rows, keys)}, n_rows long")
+
+
+def _types(rows: DataFrame, keys: list[str]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
+
+
+def _counter(keys: list[str], keep_ms: int):
+    def count(key, parts, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        n, last = state.get if state.exists else (0, 0)
+        for part in parts:
+            n, last = n + int(part["n_rows"].sum()), max(last, int(part["arrived_ms"].max()))
+        state.update((n, last))
+        state.setTimeoutTimestamp(last + keep_ms)
+        if n > 1:
+            yield pd.DataFrame([(*key, n)], columns=[*keys, "n"])
+
+    return count
+
 
-    Raw rows are all kept. Copies are found with counts per key, so a key sent very often stays cheap; each
-    batch writes under its own number, which makes a repeated batch overwrite itself.
-    """
-    def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        counts = batch.filter(" and ".join(f"`{k}` is not null" for k in keys)).groupBy(*keys).agg(F.count("*").alias("n"))
-        counts.write.mode("overwrite").parquet(f"{store}/counts/batch={number}")
-        batch.write.mode("overwrite").parquet(f"{store}/rows/batch={number}")
-        seen = spark.read.option("basePath", f"{store}/counts").parquet(f"{store}/counts").filter(F.col("batch") <= number)
-        now = spark.read.parquet(f"{store}/counts/batch={number}").select(*keys)
-        total = seen.join(now, keys, "left_semi").groupBy(*keys).agg(F.sum("n").alias("n")).filter("n > 1")
-        total.write.mode("overwrite").parquet(f"{target}/batch={number}")
+def flag_copies(rows: DataFrame, keys: list[str], target: str, checkpoint: str, keep: timedelta | None = None) -> StreamingQuery:
+    """Write to ``target`` the keys that arrived more than once, with their number so far, each time they arrive again.
 
-    return rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    The numbers are keyed state, so a batch reads its own rows and the state of its own keys, however many batches came before. With ``keep`` a
+    timer forgets a key that has not arrived for that long; that state is a Python function per key, without it the state is a plain streaming
+    aggregate. Rows with a null key are no copies of anything. Every batch writes under its own number, so a repeated batch overwrites itself.
+    State beyond memory needs the RocksDB provider, ``spark.sql.streaming.stateStore.providerClass``."""
+    if keep is None:
+        flags = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    else:
+        # The clock of the timers is the time of arrival, so that no row is ever late.
+        timed = counts_per_task(rows, keys).withColumn("arrived", F.current_timestamp()).withColumn("arrived_ms", F.unix_millis("arrived"))
+        flags = timed.withWatermark("arrived", "0 seconds").groupBy(*keys).applyInPandasWithState(
+            _counter(keys, int(keep.total_seconds() * 1000)), f"{_types(rows, keys)}, n long", "n long, last long", "update",
+            GroupStateTimeout.EventTimeTimeout)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return flags.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def copies(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """The keys flagged so far with the number of their latest batch."""
+    return spark.read.parquet(target).groupBy(*keys).agg(F.max_by("n", "batch").alias("n"))
 
 
 def daily_counts(events: DataFrame, time: str, key: str, lateness: str = "2 days") -> DataFrame:
-    """Rows per day and key with a watermark, so that state of closed days is dropped."""
+    """Rows per day and key with a watermark, so that state of closed days is dropped; rows later than that are left out, and those without time."""
     return events.withWatermark(time, lateness).groupBy(F.window(time, "1 day").alias("w"), key) \
         .agg(F.count("*").alias("entites")).select(F.to_date("w.start").alias("jour"), key, "entites")
+
+
+def write_daily_counts(events: DataFrame, time: str, key: str, target: str, checkpoint: str, lateness: str = "2 days") -> StreamingQuery:
+    """Append each day's counts once, when the watermark has closed the day."""
+    return daily_counts(events, time, key, lateness).writeStream.format("parquet").outputMode("append").option("path", target) \
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -4,8 +4,6 @@ import struct
 import zipfile
 from datetime import date
 
-from pyspark.sql import functions as F
-
 from fieldlens.operators.checks import Settings
 from fieldlens.plans import run as runs
 from fieldlens.sources import archive, kml, shapefile
@@ -109,7 +107,3 @@ def test_streams(spark, tmp_path):
     rows = kml.attribute_columns(features, ["id_fichegare"])
     landing.check_arrivals(rows, GARES, Settings(run_date=date(2024, 6, 1)), str(tmp_path / "issues"), str(tmp_path / "ck1")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "issues")).filter("type = 'geometrie_vide'").count() >= 1
-    spark.range(10).select((F.col("id") % 3).alias("k"), F.lit("v").alias("v")).write.parquet(str(tmp_path / "src"))
-    stream = spark.readStream.schema("k long, v string").parquet(str(tmp_path / "src"))
-    landing.flag_copies(stream, ["k"], str(tmp_path / "store"), str(tmp_path / "flags"), str(tmp_path / "ck2")).awaitTermination()
-    assert {r["k"]: r["n"] for r in spark.read.parquet(str(tmp_path / "flags")).collect()} == {0: 4, 1: 3, 2: 3}
