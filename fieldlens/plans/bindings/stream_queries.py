@@ -1,6 +1,6 @@
-"""Streaming jobs over events that arrive in three parts: copy flags from keyed state, and counts of closed days.
+"""Incremental jobs: copy flags from keyed state and counts of closed days over events that arrive in three parts, and archives opened once.
 
-Each part is written as files and the job is run on what is there, so the second and third run go on from the checkpoint of the first.
+Each part of the events is written as files and the job is run on what is there, so the second and third run go on from the checkpoint of the first.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldlens.operators.distribution import shared_path
 from fieldlens.plans.bindings.registry import query, table
+from fieldlens.sources import archive
 from fieldlens.streaming import landing
 
 
@@ -50,3 +51,40 @@ def daily_counts_streamed(spark, sf):
     rows = spark.sql(PARTS).select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "part")
     base = in_parts(rows, F.col("part"), lambda stream, at: landing.write_daily_counts(stream, "ts", "event_type", f"{at}/days", f"{at}/checkpoint"))
     return spark.read.parquet(f"{base}/days")
+
+
+def zipped(parts: DataFrame) -> DataFrame:
+    """One zip archive per ``path`` and ``modificationTime`` with the texts as members, as a file source gives it."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def pack(key, rows):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as z:
+            for member, text in zip(rows["member"], rows["text"]):
+                z.writestr(zipfile.ZipInfo(member, (2024, 1, 1, 10, 0, 0)), text)
+        return pd.DataFrame([(*key, len(buffer.getvalue()), buffer.getvalue())], columns=["path", "modificationTime", "length", "content"])
+
+    return parts.groupBy("path", "modificationTime").applyInPandas(pack, "path string, modificationTime timestamp, length long, content binary")
+
+
+@query("archives_opened_once", """WITH d AS (SELECT doc_id, doc_id // 25 AS a, coalesce(text, '') AS t FROM documents)
+ SELECT '/in/a' || CAST(a AS VARCHAR) || '.zip' AS archive, 'lot/d' || CAST(doc_id AS VARCHAR) || '.kml' AS member, CAST(octet_length(encode(t)) + CASE WHEN a % 5 = 2 THEN 3 ELSE 0 END AS BIGINT) AS size,
+  CASE WHEN a % 4 = 3 OR a % 5 = 2 THEN 'second' ELSE 'first' END AS opened_in FROM d""")
+def archives_opened_once(spark, sf):
+    number = F.floor(F.col("doc_id") / 25)
+    members = table(spark, sf, "documents").select(
+        number.alias("a"), F.concat(F.lit("/in/a"), number.cast("string"), F.lit(".zip")).alias("path"),
+        F.concat(F.lit("lot/d"), F.col("doc_id").cast("string"), F.lit(".kml")).alias("member"), F.coalesce("text", F.lit("")).alias("text"))
+    store, changed = shared_path(spark, "members"), F.col("a") % 5 == 2
+    # of the second listing every fourth archive is new and every fifth has been sent again with longer texts
+    first = members.filter("a % 4 <> 3").withColumn("modificationTime", F.timestamp_seconds(F.lit(1704103200)))
+    second = members.withColumns({"modificationTime": F.timestamp_seconds(F.when(changed, 1704189600).otherwise(1704103200)),
+                                  "text": F.concat("text", F.when(changed, " v2").otherwise(""))})
+    for listing in (zipped(first), zipped(second)):
+        earlier = archive.stored_members(spark, store).select("update").distinct().withColumnRenamed("update", "_met")
+        now = archive.update_store(listing.select(*archive.KEY), lambda new, files=listing: files.join(new, archive.KEY, "left_semi"), store)
+    return now.join(F.broadcast(earlier), F.col("update") == F.col("_met"), "left").select(  # one row per update
+        "archive", "member", "size", F.when(F.col("_met").isNull(), "second").otherwise("first").alias("opened_in"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.operators import align, report
 from fieldlens.operators.checks import Settings
-from fieldlens.operators.distribution import staged
+from fieldlens.operators.distribution import shared_path, staged
 from fieldlens.plans.layer_qa import LayerCheck, check_layer, unchecked_rows
 from fieldlens.sources import kml, shapefile, sinks
 from fieldlens.sources.archive import archive_errors, member_kind, read_archives
@@ -30,13 +30,13 @@ class RunResult:
     failures: dict[str, str]
 
 
-def read_folder(spark: SparkSession, folder: str) -> DataFrame:
+def read_folder(spark: SparkSession, folder: str, store: str | None = None) -> DataFrame:
     """Features of every KML file, shapefile and zip member below a folder, attributes still as a map.
 
-    A file without features and an archive that can't be read give one row with ``error``."""
+    With a ``store`` an archive is opened only in the first run that meets it. A file without features and an archive that can't be read give one row with ``error``."""
     loose = kml.read_kml(spark, folder, empty=True)
     shapes = shapefile.read_shapefiles(spark, folder)
-    unpacked = staged(read_archives(spark, folder), "members")
+    unpacked = read_archives(spark, folder, store or shared_path(spark, "members"))
     members, broken = member_kind(unpacked), archive_errors(unpacked)
     zipped_kml = members.filter("ext = 'kml'").select(
         F.col("path").alias("_path"), F.col("file_date").alias("_file_date"), kml.decoded(F.col("content")).alias("value"))
@@ -94,9 +94,10 @@ def aligned_layer(features: DataFrame, columns: list[list[str]], layer: Layer) -
     return align.union_layers(frames)
 
 
-def run(spark: SparkSession, folder: str, layers: dict[str, Layer], settings: Settings | None = None) -> RunResult:
+def run(spark: SparkSession, folder: str, layers: dict[str, Layer], settings: Settings | None = None, store: str | None = None) -> RunResult:
+    """Read, recognise, check; ``store`` is the folder of unpacked archives that earlier runs left, if they are to be reused."""
     settings = settings or Settings()
-    features = staged(read_folder(spark, folder), "features")
+    features = staged(read_folder(spark, folder, store), "features")
     schemas = file_schemas(features)
     known = schemas.join(recognise_files(schemas, layers), "_path", "left")
     by_file = known.select("_path", "columns", "layer")

@@ -51,6 +51,25 @@ def test_archives(spark, tmp_path):
     assert small.collect()[0]["error"] == "Archive trop volumineuse"
 
 
+def test_archives_are_opened_once(spark, tmp_path):
+    _write(tmp_path / "in")
+    with zipfile.ZipFile(tmp_path / "in" / "void [1].zip", "w"):
+        pass
+    read = lambda: archive.read_archives(spark, str(tmp_path / "in"), str(tmp_path / "store"))
+    first = {(r["archive"].split("/")[-1], r["update"]) for r in read().collect()}
+    assert len({u for _, u in first}) == 1 and {a for a, _ in first} == {"lot.zip", "broken.zip", "void [1].zip"}
+    assert {(r["archive"].split("/")[-1], r["update"]) for r in read().collect()} == first  # nothing new: no update
+    with zipfile.ZipFile(tmp_path / "in" / "lot.zip", "w") as z:
+        z.writestr("in/Gares_lot3.kml", KML + " ")
+    with zipfile.ZipFile(tmp_path / "in" / "new {a,b}.zip", "w") as z:
+        z.writestr("x.kml", KML)
+    rows = read().collect()
+    now = {r["archive"].split("/")[-1]: r["update"] for r in rows}
+    old = {u for _, u in first}
+    assert {a for a, u in now.items() if u not in old} == {"lot.zip", "new {a,b}.zip"} and len(now) == 4
+    assert [r["member"] for r in rows if r["archive"].endswith("lot.zip")] == ["in/Gares_lot3.kml"]
+
+
 def test_values_names_and_encodings_stay(spark, tmp_path):
     body = ('<kml:Placemark><kml:name><![CDATA[A & B]]> &#233;</kml:name><kml:ExtendedData><kml:Data k:x="1" name="note"><kml:value>voir ref:code=12 xmlns:a="b"</kml:value>'
             '</kml:Data></kml:ExtendedData></kml:Placemark>')
