@@ -152,3 +152,41 @@ def kml_round_trip(spark, sf):
     p = geo.first_point(F.col("geom"))
     return back.select("_path", "placemark_name", F.col("attributes")["segment"].alias("segment"), F.col("attributes")["solde"].alias("solde"),
                        p["x"].alias("x"), p["y"].alias("y"), "_multigeom")
+
+
+@query("kml_files_read", """SELECT '/f' || CAST(c_custkey // 40 AS VARCHAR) AS _path, row_number() OVER (PARTITION BY c_custkey // 40 ORDER BY c_custkey) AS _row_src, c_name AS placemark_name,
+ CASE WHEN (c_custkey // 40) % 3 = 0 THEN 'l’été € ' ELSE 'été ' END || c_mktsegment || ' ref:no="1"' AS note, CASE WHEN c_custkey % 2 = 0 THEN '' || c_custkey END AS k FROM customer""")
+def kml_files_read(spark, sf):
+    """Files of up to 40 placemarks with prefixed names, in three encodings."""
+    k, bytes_of = F.col("c_custkey"), lambda x: F.encode(x, "ISO-8859-1")
+    c = table(spark, sf, "customer").withColumn("f", F.floor(k / 40))
+    note = F.concat(F.lit("été "), "c_mktsegment", F.lit(' ref:no="1"'))
+    # ’ and € of windows-1252 are single bytes that no other encoding here has
+    winding = F.concat(bytes_of(F.lit("l")), F.unhex(F.lit("92")), bytes_of(F.lit("été ")), F.unhex(F.lit("80")), bytes_of(F.concat(F.lit(" "), "c_mktsegment", F.lit(' ref:no="1"'))))
+    kind = F.col("f") % 3
+    body = F.when(kind == 0, winding).when(kind == 1, bytes_of(note)).otherwise(F.encode(note, "UTF-8"))
+    one = F.concat(bytes_of(F.concat(F.when(k % 5 == 0, F.lit('<k:Placemark id="a/b">')).otherwise("<k:Placemark>"), F.lit("<k:name>"), "c_name", F.lit("</k:name><k:ExtendedData>"),
+                                     F.when(k % 2 == 0, F.concat(F.lit('<k:Data name="k"><k:value>'), k.cast("string"), F.lit("</k:value></k:Data>"))).otherwise(""),
+                                     F.lit('<k:Data name="note"><k:value>'))), body, bytes_of(F.lit("</k:value></k:Data></k:ExtendedData></k:Placemark>")))
+    head = F.concat(F.lit('<?xml version="1.0" encoding="'), F.when(F.col("f") % 3 == 0, "windows-1252").when(F.col("f") % 3 == 1, "ISO-8859-1").otherwise("UTF-8"), F.lit('"?><k:kml xmlns:k="u">'))
+    files = c.select("f", k, one.alias("one")).groupBy("f").agg(F.array_sort(F.collect_list(F.struct(k, "one"))).alias("all"))  # at most 40
+    content = F.unhex(F.concat(F.hex(bytes_of(head)), F.array_join(F.transform("all.one", F.hex), ""), F.hex(bytes_of(F.lit("</k:kml>")))))
+    texts = files.select(F.concat(F.lit("/f"), F.col("f").cast("string")).alias("_path"), kml.decoded(content).alias("value"))
+    back = kml.parse_placemarks(kml.placemarks(texts, "value", ["_path"]))
+    return back.select("_path", "_row_src", "placemark_name", F.col("attributes")["note"].alias("note"), F.col("attributes")["k"].alias("k"))
+
+
+@query("kml_export_read_back", """SELECT c_name AS placemark_name, c_mktsegment || ' <é> & "co"' AS segment, CASE WHEN c_custkey % 3 > 0 THEN CAST(c_acctbal AS VARCHAR) END AS solde,
+ CAST(8 + (c_custkey % 90) * 0.125 AS DOUBLE) AS x, CAST(2 + (c_custkey % 70) * 0.125 AS DOUBLE) AS y FROM customer WHERE c_custkey % 11 > 0""")
+def kml_export_read_back(spark, sf):
+    """The KML documents of a layer as files, read back by splits; rows without position are not exported."""
+    from fieldlens.functions import geo
+    from fieldlens.operators.distribution import shared_path
+    k, path = F.col("c_custkey"), shared_path(spark, "kml")
+    rows = table(spark, sf, "customer").select(
+        F.col("c_name").alias("id"), F.concat("c_mktsegment", F.lit(' <é> & "co"')).alias("segment"), F.when(k % 3 > 0, F.col("c_acctbal").cast("string")).alias("solde"),
+        geo.point(F.when(k % 11 > 0, 8 + (k % 90) * 0.125), F.when(k % 11 > 0, 2 + (k % 70) * 0.125)).alias("geom"))
+    kml.write_kml(rows, "Clients", "id", path)
+    p = geo.first_point(F.col("geom"))
+    return kml.read_kml(spark, path, names="*.txt").select("placemark_name", F.col("attributes")["segment"].alias("segment"), F.col("attributes")["solde"].alias("solde"),
+                                                           p["x"].alias("x"), p["y"].alias("y"))

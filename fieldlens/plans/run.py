@@ -40,8 +40,8 @@ def read_folder(spark: SparkSession, folder: str, store: str | None = None) -> D
     members, broken = member_kind(unpacked), archive_errors(unpacked)
     zipped_kml = members.filter("ext = 'kml'").select(
         F.col("path").alias("_path"), F.col("file_date").alias("_file_date"), kml.decoded(F.col("content")).alias("value"))
-    zipped = kml.parse_placemarks(kml.placemarks(zipped_kml, "value", ["_path", "_file_date"], empty=True)) \
-        .withColumns({"_fmt": F.lit("kml"), "_crs_assumed": F.lit(False)})
+    zipped = kml.parse_placemarks(kml.placemarks(zipped_kml.withColumn("_encoding", F.when(F.col("value").isNull(), "")), "value", [
+        "_path", "_file_date", "_encoding"], empty=True)).withColumns({"_fmt": F.lit("kml"), "_crs_assumed": F.lit(False)})
     zipped_shapes = shapefile.to_wgs84(shapefile.decode_groups(members.select("path", "content", "file_date"))) \
         .withColumn("_fmt", F.lit("shp"))
     frames = []
@@ -49,7 +49,8 @@ def read_folder(spark: SparkSession, folder: str, store: str | None = None) -> D
         named = F.map_from_arrays(F.array(F.lit("placemark_name")), F.array("placemark_name"))
         frames.append(df.withColumn("attributes", F.map_concat(
             named, F.map_filter("attributes", lambda k, v: k != "placemark_name"))).withColumn(
-                "error", F.when(F.col("_row_src").isNull(), "Aucun élément")))
+                "error", F.when(F.col("_encoding").isNotNull(), F.concat_ws(" ", F.lit("Encodage inconnu"), F.nullif("_encoding", F.lit(""))))
+                .when(F.col("_row_src").isNull(), "Aucun élément")))
     for df in (shapes, zipped_shapes):
         frames.append(df.withColumn("_multigeom", F.lit(None).cast("string")))
     columns = ["_path", "_file_date", "_row_src", "_fmt", "_multigeom", "_crs_assumed", "geom", "attributes", "error"]

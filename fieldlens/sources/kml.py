@@ -1,38 +1,92 @@
-"""KML in and out. Reading stays in the JVM: placemarks are cut out by regex and parsed with XPath / from_xml."""
+"""KML in and out. Reading stays in the JVM: placemarks are cut out of splits of a file and parsed with regex and from_xml."""
 
 from __future__ import annotations
 
+import codecs
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from fieldlens.functions import geo
 from fieldlens.functions.text import xml_text
+from fieldlens.operators.distribution import staged
 
-PLACEMARK = r"(?s)<Placemark(?:\s[^>]*)?(?:/>|>.*?</Placemark>)"
+# A tag name may have a namespace prefix; "/" ends an opening tag only before ">". Loops are possessive, so long texts need no stack.
+_PREFIX = r"(?:[A-Za-z_][\w.-]*+:)?"
+_INSIDE = r"(?:\s(?:[^>/]|/(?!>))*+)?"
+PLACEMARK = rf"(?s)<Placemark{_INSIDE}(?:/>|>.*?</Placemark>)"
 DATA_SCHEMA = ("struct<Data:array<struct<_name:string,value:string>>,"
                "SchemaData:array<struct<SimpleData:array<struct<_name:string,_VALUE:string>>>>>")
+#: Encodings that need no decoding.
+_UTF8 = ("", "utf-8", "utf8", "us-ascii", "ascii")
+
+
+@F.pandas_udf(T.StringType())
+def _by_codec(content: pd.Series, encoding: pd.Series) -> pd.Series:
+    """Text of bytes in any encoding that Python knows; null for others."""
+    def text(raw, name):
+        try:
+            return None if raw is None else bytes(raw).decode(name, "replace")
+        except LookupError:
+            return None
+
+    return pd.Series([text(c, e) for c, e in zip(content, encoding)], dtype=object)
+
+
+@F.pandas_udf(T.BooleanType())
+def _is_codec(encoding: pd.Series) -> pd.Series:
+    def known(name):
+        try:
+            return codecs.lookup(name) is not None
+        except LookupError:
+            return False
+
+    return pd.Series([known(e) for e in encoding], dtype=object)
+
+
+def _latin(content: Column) -> Column:
+    """Every byte as one character."""
+    return F.decode(content, "ISO-8859-1")
+
 
+def _is_wide(content: Column) -> Column:
+    return F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")
 
-# What follows an attribute up to the end of its tag; text between tags meets "<" first.
-_IN_TAG = r"(?=(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*>)"
+
+def declared_encoding(content: Column) -> Column:
+    """Encoding that the XML declaration at the head of a file names, in lower case; empty without one."""
+    return F.lower(F.regexp_extract(_latin(F.substring(content, 1, 200)), r"^(?:\xEF\xBB\xBF)?\s*<\?xml[^>]*?encoding\s*=\s*[\"']([^\"']+)", 1))
+
+
+def _text(content: Column, encoding: Column) -> Column:
+    plain = F.when(encoding.isin(*_UTF8), content.cast("string"))
+    return F.coalesce(plain, _by_codec(F.when(~encoding.isin(*_UTF8), content), encoding))
 
 
 def decoded(content: Column) -> Column:
-    """Text of a file by the encoding that its XML declaration names, UTF-8 without one."""
-    latin = F.decode(content, "ISO-8859-1")
-    named = F.lower(F.regexp_extract(F.substring(latin, 1, 200), r"<\?xml[^>]*encoding\s*=\s*[\"']([^\"']+)", 1))
-    wide = F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")
-    text = F.when(wide, F.decode(content, "UTF-16")) \
-        .when(named.isin("iso-8859-1", "iso-8859-15", "latin1", "latin-1", "windows-1252", "us-ascii"), latin) \
-        .otherwise(content.cast("string"))
+    """Text of a file by the encoding that it declares, UTF-8 without one; null if no such encoding is known."""
+    text = F.when(_is_wide(content), F.decode(content, "UTF-16")).otherwise(_text(F.when(~_is_wide(content), content), declared_encoding(content)))
     return F.regexp_replace(text, "^\ufeff", "")
 
 
 def _without_prefixes(xml: Column) -> Column:
-    """Drop namespace prefixes and declarations in tags, so that names match whatever the file declares; values stay as they are."""
-    xml = F.regexp_replace(xml, r"(</?)[A-Za-z_][\w.-]*:", "$1")
-    xml = F.regexp_replace(xml, r"\sxmlns(:[\w.-]+)?\s*=\s*(\"[^\"]*\"|'[^']*')" + _IN_TAG, "")
-    return F.regexp_replace(xml, r"(\s)[A-Za-z_][\w.-]*:([\w.-]+\s*=\s*[\"'])" + _IN_TAG.replace("(?=(?:", "(?=[^\"'<>]*[\"'](?:", 1), "$1$2")
+    """Drop namespace prefixes and declarations in tags, so that names match whatever the file declares; values stay as they are.
+
+    The text is looked at tag by tag, from "<" to the ">" outside quotes, so the cost is linear in its length."""
+    quoted = r"\"[^\"]*+\"|'[^']*+'"
+
+    def clean(part: Column) -> Column:
+        tag = F.regexp_extract(part, rf"^(?:[^>\"']|{quoted})*+(?=>)", 0)
+        new = F.regexp_replace(F.regexp_replace(tag, rf"^(/?){_PREFIX}", "$1"),
+                               rf"\sxmlns(?::[\w.-]+)?\s*=\s*(?:{quoted})|({quoted})|(\s)[A-Za-z_][\w.-]*+:(?=[\w.-]+\s*=)", "$1$2")
+        rest = F.substring(part, F.length(tag) + 1, F.length(part))
+        return F.when(F.contains(tag, F.lit(":")) & ~F.startswith(part, F.lit("!")), F.concat(new, rest)).otherwise(part)
+
+    parts = F.split(xml, "<", -1)
+    return F.array_join(F.transform(parts, lambda part, i: F.when(i == 0, part).otherwise(clean(part))), "<")
 
 
 def placemarks(files: DataFrame, text: str = "value", keep: list[str] = (), empty: bool = False) -> DataFrame:
@@ -43,6 +97,53 @@ def placemarks(files: DataFrame, text: str = "value", keep: list[str] = (), empt
     return files.select(*keep, (F.posexplode_outer if empty else F.posexplode)(found).alias("_at", "_xml")).withColumn("_row_src", (F.col("_at") + 1).cast("long")).drop("_at")
 
 
+KML_NAMES = "*.[kK][mM][lL]"
+
+
+def _kml_files(spark: SparkSession, format: str, names: str):
+    return spark.read.format(format).option("recursiveFileLookup", "true").option("pathGlobFilter", names)
+
+
+def split_placemarks(spark: SparkSession, path: str, names: str = KML_NAMES) -> tuple[DataFrame, DataFrame]:
+    """Placemarks of the KML files below a path, files of any size read by many tasks, and the encodings that are not UTF-8.
+
+    The first table has one row per placemark: ``_path``, ``_file_date``, ``_row_src`` (from 1 in document order) and ``_xml``. The second has
+    ``_path``, ``encoding`` and ``known``; files in an unknown encoding have no placemarks.
+
+    A record ends at "Placemark>", so it holds at most one placemark with content, the one that it closes, besides empty ones. What comes first
+    in a split is numbered from the counts of the splits before it. UTF-16 files have no such bytes and are one record. A text that holds
+    "Placemark>" with a bare ">" is cut there."""
+    piece, raw = _latin(F.col("value").cast("binary")), F.col("value").cast("binary")
+    bytes_of = lambda x: F.encode(x, "ISO-8859-1")
+    none = F.array().cast("array<binary>")
+    wide = F.transform(F.regexp_extract_all(_without_prefixes(F.decode(raw, "UTF-16")), F.lit(PLACEMARK), F.lit(0)), lambda x: F.encode(x, "UTF-8"))
+    empty = F.transform(F.regexp_extract_all(piece, F.lit(rf"<{_PREFIX}Placemark{_INSIDE}/>"), F.lit(0)), bytes_of)
+    opened = F.regexp_extract(piece, rf"(?s)^.*(<{_PREFIX}Placemark\s(?:[^>/]|/(?!>))*+>.*)$", 1)
+    closed = F.when(piece.rlike(rf"</{_PREFIX}$"), F.array(bytes_of(F.concat(
+        F.when(opened != "", opened).otherwise(F.concat(F.lit("<Placemark>"), piece)), F.lit("Placemark>"))))).otherwise(none)
+    head = declared_encoding(raw)
+    file = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^file:///", "file:/")
+    records = _kml_files(spark, "text", names).option("lineSep", "Placemark>").load(path).select(
+        file.alias("_path"), F.to_date("_metadata.file_modification_time").alias("_file_date"), F.col("_metadata.file_block_start").alias("_block"),
+        F.when(_is_wide(raw), wide).otherwise(F.concat(empty, closed)).alias("found"),
+        F.when((F.col("_metadata.file_block_start") == 0) & ~_is_wide(raw) & ~head.isin(*_UTF8), head).alias("encoding"))
+    cut = staged(records.withColumn("encoding_row", F.when(F.col("encoding").isNotNull(), F.array(F.lit(None).cast("binary")))).select(
+        "_path", "_file_date", "_block", "encoding",
+        F.posexplode(F.concat(F.coalesce("encoding_row", none), "found")).alias("_k", "data")).select(
+            "_path", "_file_date", "_block", F.when(F.col("data").isNull(), F.col("encoding")).alias("encoding"), "data",
+            F.monotonically_increasing_id().alias("_at")), "placemarks")
+    heads = cut.filter("encoding is not null").select("_path", "encoding").withColumn("known", _is_codec("encoding"))
+    rows = cut.filter("data is not null").drop("encoding")
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split of a file
+    blocks = rows.groupBy("_path", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")) \
+        .select("_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = rows.join(blocks, ["_path", "_block"]).withColumn("_row_src", F.col("_at") - F.col("_first") + F.col("_before") + 1)
+    text = _text(F.col("data"), F.coalesce("encoding", F.lit("")))
+    out = numbered.join(heads.filter("known").drop("known"), "_path", "left") \
+        .join(heads.filter("not known").select("_path"), "_path", "left_anti")
+    return out.select("_path", "_file_date", "_row_src", _without_prefixes(text).alias("_xml")), heads
+
+
 def _element(tag: str, inner: str) -> Column:
     """Inner text of the first ``inner`` element below the first ``tag`` element."""
     return F.regexp_extract("_xml", rf"(?s)<{tag}[\s>].*?<{inner}(?:\s[^>]*)?>(.*?)</{inner}>", 1)
@@ -87,13 +188,18 @@ def parse_placemarks(rows: DataFrame) -> DataFrame:
                        F.when(shapes > 1, "True").otherwise("False").alias("_multigeom"))
 
 
-def read_kml(spark: SparkSession, path: str, empty: bool = False) -> DataFrame:
-    """Placemarks of all KML files below a path with their provenance; values stay in ``attributes``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[kK][mM][lL]").load(path)
-    files = files.select(F.col("path").alias("_path"), F.to_date("modificationTime").alias("_file_date"),
-                         decoded(F.col("content")).alias("value"))
-    return parse_placemarks(placemarks(files, "value", ["_path", "_file_date"], empty)) \
-        .withColumns({"_source": F.element_at(F.split("_path", "/"), -1), "_fmt": F.lit("kml"), "_crs_assumed": F.lit(False)})
+def read_kml(spark: SparkSession, path: str, empty: bool = False, names: str = KML_NAMES) -> DataFrame:
+    """Placemarks of all KML files below a path with their provenance; values stay in ``attributes``. ``names`` is the pattern of file names.
+
+    With ``empty`` a file without placemarks gives one row without number, whose ``_encoding`` is set if that is what can't be read."""
+    found, heads = split_placemarks(spark, path, names)
+    rows = parse_placemarks(found)
+    if empty:
+        files = _kml_files(spark, "binaryFile", names).load(path).select(F.col("path").alias("_path"), F.to_date("modificationTime").alias("_file_date"))
+        rows = rows.withColumn("_encoding", F.lit(None).cast("string")).unionByName(
+            files.join(found.select("_path").distinct(), "_path", "left_anti").join(
+                heads.filter("not known").select("_path", F.col("encoding").alias("_encoding")), "_path", "left"), allowMissingColumns=True)
+    return rows.withColumns({"_source": F.element_at(F.split("_path", "/"), -1), "_fmt": F.lit("kml"), "_crs_assumed": F.lit(False)})
 
 
 def attribute_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -28,7 +28,7 @@ def file_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> Data
 
 def feature_stream(files: DataFrame) -> DataFrame:
     named = files.select(F.col("path").alias("_path"), F.to_date("modificationTime").alias("_file_date"),
-                         F.col("content").cast("string").alias("value"))
+                         kml.decoded(F.col("content")).alias("value"))
     return kml.parse_placemarks(kml.placemarks(named, "value", ["_path", "_file_date"])) \
         .withColumns({"_source": F.element_at(F.split("_path", "/"), -1), "_fmt": F.lit("kml")})
 
