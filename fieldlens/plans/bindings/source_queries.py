@@ -190,3 +190,29 @@ def kml_export_read_back(spark, sf):
     p = geo.first_point(F.col("geom"))
     return kml.read_kml(spark, path, names="*.txt").select("placemark_name", F.col("attributes")["segment"].alias("segment"), F.col("attributes")["solde"].alias("solde"),
                                                            p["x"].alias("x"), p["y"].alias("y"))
+
+
+# Files of 30 orders; each third layout spells the columns in its own way, with a column of its own for each file.
+FEATURES = """SELECT concat('/in/f', CAST(CAST(floor(o_orderkey / 30) AS BIGINT) AS STRING), '.kml') AS _path, CAST(floor(o_orderkey / 30) AS BIGINT) AS f, o_orderkey AS k, o_orderstatus AS s, o_orderpriority AS c FROM orders"""
+
+
+@query("raw_union_of_layouts", f"""SELECT k AS _row_src, CASE WHEN f % 3 = 2 THEN NULL ELSE CAST(k AS VARCHAR) END AS id_fichegare, CASE WHEN f % 3 < 2 THEN c END AS nom_gare_detail, CASE WHEN f % 3 = 0 THEN s END AS obs,
+ CASE WHEN f % 3 = 2 THEN s END AS type_gare, CASE WHEN f = 4 THEN 'v' || CAST(k AS VARCHAR) END AS extra_4, CASE WHEN f % 3 = 1 THEN s END AS id_fichegare_2 FROM ({FEATURES})""")
+def raw_union_of_layouts(spark, sf):
+    """Rows of one layer from as many layouts as files, all in one pass; of the file's own columns one is shown."""
+    from fieldlens.plans import run
+    layer, f = LAYERS[0], F.col("f")
+    own = F.concat(F.lit("Extra_"), f.cast("string"))
+    by_kind = lambda a, b, c: F.when(f % 3 == 0, a).when(f % 3 == 1, b).otherwise(c)
+    listed = lambda *names: F.array(*[F.lit(n) for n in names])
+    rows = derived(spark, sf, FEATURES, "orders").withColumns({
+        "columns": F.concat(by_kind(listed("ID_FicheGare", "Nom de la gare", "Obs"), listed("Identifiant", "nom_gare_detail", "ID_FICHEGARE"), listed("Type de gare", "OBS_x")), F.array(own)),
+        "v": F.concat(by_kind(F.array(F.col("k").cast("string"), "c", "s"), F.array(F.col("k").cast("string"), "c", "s"), F.array("s", "c")),
+                      F.array(F.concat(F.lit("v"), F.col("k").cast("string"))))})
+    features = rows.select("_path", F.map_from_arrays("columns", "v").alias("attributes"), F.col("k").alias("_row_src"), "columns", F.lit(layer.name).alias("layer"),
+                           *[F.lit(None).cast("string").alias(c) for c in run.META if c not in ("_path", "_row_src")])
+    files = features.select("_path", "layer", "columns").distinct()
+    files = files.join(run.layout_table(files, {layer.name: layer}), ["layer", "columns"])
+    tagged = features.drop("columns", "layer").join(files.select("_path", "columns", "keys"), "_path")
+    out = run.aligned_layer(tagged, run.layer_columns(files)[layer.name])
+    return out.select("_row_src", "id_fichegare", "nom_gare_detail", F.col("Obs").alias("obs"), "type_gare", F.col("Extra_4").alias("extra_4"), F.col("id_fichegare_2").alias("id_fichegare_2"))

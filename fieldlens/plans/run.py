@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,18 +82,35 @@ def recognise_files(schemas: DataFrame, layers: dict[str, Layer]) -> DataFrame:
     return align.recognise(files, matches, listed).select(F.col("file").alias("_path"), "layer")
 
 
-def aligned_layer(features: DataFrame, columns: list[list[str]], layer: Layer) -> DataFrame:
-    """Raw rows of one layer as text columns under dictionary names.
+def layout_table(known: DataFrame, layers: dict[str, Layer]) -> DataFrame:
+    """Per layer and list of columns: the aligned names, their keys without regard to case, absent variables and ambiguous columns."""
+    def look_up(batches):
+        for batch in batches:
+            met = [(name, list(columns), align.aligned_names(list(columns), layers[name]), align.absent_variables(list(columns), layers[name]),
+                    align.ambiguous_names(list(columns), layers[name])) for name, columns in zip(batch["layer"], batch["columns"])]
+            yield pd.DataFrame([(n, c, a, [x.lower() for x in a], gone, two) for n, c, a, gone, two in met],
+                               columns=["layer", "columns", "names", "keys", "absent", "ambiguous"])
 
-    Files with the same column list share one select, so the plan grows with the number of different
-    file layouts of the layer, not with the number of files.
-    """
-    frames = []
-    for names in columns:
-        same = features.filter(F.col("columns") == F.array(*[F.lit(n) for n in names]).cast("array<string>"))
-        aligned = align.aligned_names(names, layer)
-        frames.append(same.select(*[F.col("attributes")[n].alias(a) for n, a in zip(names, aligned)], *META))
-    return align.union_layers(frames)
+    return known.filter("layer is not null").select("layer", "columns").distinct().mapInPandas(
+        look_up, "layer string, columns array<string>, names array<string>, keys array<string>, absent array<string>, ambiguous array<string>")
+
+
+def layer_columns(files: DataFrame) -> dict[str, list[str]]:
+    """Column names of every layer, in the order in which files bring them up; one row per column reaches the driver, which the table's schema needs."""
+    met = files.select("layer", "_path", F.posexplode(F.arrays_zip("keys", "names")).alias("at", "n")) \
+        .groupBy("layer", "n.keys").agg(F.min(F.struct("_path", "at", "n.names")).alias("first"))
+    out: dict[str, list[str]] = {}
+    for r in met.orderBy("layer", "first").select("layer", "first.names").collect():
+        out.setdefault(r["layer"], []).append(r["names"])
+    return out
+
+
+def aligned_layer(features: DataFrame, columns: list[str]) -> DataFrame:
+    """Raw rows of one layer as text columns under dictionary names; ``columns`` are all names of the layer.
+
+    The values of a row are looked up by the names that its file's layout gives them, so any number of layouts is one pass over the rows."""
+    renamed = F.map_from_arrays("keys", F.transform("columns", lambda c: F.col("attributes")[c]))
+    return features.withColumn("_renamed", renamed).select(*[F.col("_renamed")[n.lower()].alias(n) for n in columns], *META)
 
 
 def run(spark: SparkSession, folder: str, layers: dict[str, Layer], settings: Settings | None = None, store: str | None = None) -> RunResult:
@@ -101,18 +119,17 @@ def run(spark: SparkSession, folder: str, layers: dict[str, Layer], settings: Se
     features = staged(read_folder(spark, folder, store), "features")
     schemas = file_schemas(features)
     known = schemas.join(recognise_files(schemas, layers), "_path", "left")
-    by_file = known.select("_path", "columns", "layer")
-    tagged = features.filter("error is null").join(by_file, "_path")
-    layouts = known.filter("layer is not null").select("layer", "columns").distinct().collect()
-    journal = file_journal(known, layouts, layers)
+    known = staged(known.join(layout_table(known, layers), ["layer", "columns"], "left"), "files")
+    tagged = features.filter("error is null").join(known.select("_path", "layer", "columns", "keys"), "_path")
+    names = layer_columns(known.filter("layer is not null"))
+    journal = file_journal(known)
     raw, checks, failures, status, issues = {}, {}, {}, [], []
     for name, layer in layers.items():
-        columns = [r["columns"] for r in layouts if r["layer"] == name]
-        if not columns:
+        if name not in names:
             continue
         try:
             # alignment and checks run here, so a layer that fails is reported without stopping the others
-            raw[name] = aligned_layer(tagged.filter(F.col("layer") == name), columns, layer)
+            raw[name] = aligned_layer(tagged.filter(F.col("layer") == name), names[name])
             check = check_layer(raw[name], layer, settings, reuse=True)
             status.append(check.rows)
             issues.append(check.issues)
@@ -125,15 +142,10 @@ def run(spark: SparkSession, folder: str, layers: dict[str, Layer], settings: Se
     return RunResult(raw, checks, journal, union(status), union(issues), failures)
 
 
-def file_journal(known: DataFrame, layouts: list, layers: dict[str, Layer]) -> DataFrame:
-    """Journal of all files; missing and ambiguous columns come from each layout, looked up once."""
-    spark = known.sparkSession
-    notes = [(r["layer"], r["columns"], align.absent_variables(r["columns"], layers[r["layer"]]),
-              align.ambiguous_names(r["columns"], layers[r["layer"]])) for r in layouts]
-    table = spark.createDataFrame(notes, "layer string, columns array<string>, absent array<string>, ambiguous array<string>")
-    joined = known.join(table, ["layer", "columns"], "left")
+def file_journal(known: DataFrame) -> DataFrame:
+    """Journal of all files, with what is missing or ambiguous in their layout."""
     none = F.array().cast("array<string>")
-    return align.journal(joined.select(
+    return align.journal(known.select(
         F.col("_source").alias("fichier"), F.col("error").isNull().alias("readable"), F.col("layer").alias("couche"),
         "n_entites", "columns", F.coalesce("absent", none).alias("absent"), F.coalesce("ambiguous", none).alias("ambiguous"),
         F.coalesce("crs_assumed", F.lit(False)).alias("crs_assumed")))
