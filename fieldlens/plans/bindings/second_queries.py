@@ -140,3 +140,28 @@ def repaired_list_values(spark, sf):
 def contiguous_row_ids(spark, sf):
     rows_ = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("k"))
     return repair.renumber_rows(rows_.withColumn("_rid", F.lit(0)), ["o_custkey", "k"]).select("k", "_rid")
+
+
+# Answers of a list: right, in other case, free, misspelt within and beyond the similarity, and in several choices.
+CHOICES = Layer("Choix", "Point", "id", None, (
+    Variable("segment", "Segment", values=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "Autre (préciser)")),
+    Variable("services", "Services", type="multiselect", values=("Eau potable", "Électricité", "Latrines", "Aucun service"))))
+ANSWERS = """SELECT c_custkey AS _rid, CASE WHEN c_custkey % 9 = 0 THEN concat(c_mktsegment, 'S') WHEN c_custkey % 9 = 1 THEN lower(substring(c_mktsegment, 2, 20)) WHEN c_custkey % 9 = 2 THEN substring(c_mktsegment, 1, 4)
+ WHEN c_custkey % 9 = 3 THEN 'autre: quincaillerie' WHEN c_custkey % 9 = 4 THEN lower(c_mktsegment) WHEN c_custkey % 9 = 5 THEN 'x' WHEN c_custkey % 9 = 6 THEN NULL ELSE c_mktsegment END AS segment, c_mktsegment AS seg,
+ CASE WHEN c_custkey % 5 = 0 THEN 'Eau potable; Electricite' WHEN c_custkey % 5 = 1 THEN 'Eau potabel | Latrine' WHEN c_custkey % 5 = 2 THEN 'Aucun services' WHEN c_custkey % 5 = 3 THEN 'Gaz' END AS services FROM customer"""
+_JUDGED = f"""SELECT _rid, 'segment' AS field, 0 AS place, segment AS token, CASE WHEN _rid % 9 IN (0, 1) THEN 'fuzzy' WHEN _rid % 9 IN (2, 5) THEN 'none' WHEN _rid % 9 = 3 THEN 'free' WHEN _rid % 9 = 4 THEN 'case' ELSE 'ok' END AS status,
+ CASE WHEN _rid % 9 IN (2, 3, 5) THEN segment ELSE seg END AS value FROM ({ANSWERS}) WHERE segment IS NOT NULL
+ UNION ALL SELECT _rid, 'services', place, token, status, value FROM ({ANSWERS}) JOIN (VALUES (0, 0, 'Eau potable', 'ok', 'Eau potable'), (0, 1, 'Electricite', 'case', 'Électricité'), (1, 0, 'Eau potabel', 'fuzzy', 'Eau potable'),
+  (1, 1, 'Latrine', 'fuzzy', 'Latrines'), (2, 0, 'Aucun services', 'fuzzy', 'Aucun service'), (3, 0, 'Gaz', 'none', 'Gaz')) v(r, place, token, status, value) ON _rid % 5 = r"""
+
+
+@query("list_values_judged", _JUDGED)
+def list_values_judged(spark, sf):
+    df = derived(spark, sf, ANSWERS, "customer").drop("seg")
+    return second.token_statuses(df, CHOICES, ["_rid"], second.CLOSE_CUTOFF).select("_rid", "field", F.col("at").cast("int").alias("place"), "token", "status", "value")
+
+
+@query("list_suggestions", f"""SELECT _rid, field, '« ' || token || ' » absent du dictionnaire' AS message, CASE WHEN status = 'fuzzy' THEN 'Proche de : ' || value ELSE '' END AS suggestion FROM ({_JUDGED}) WHERE status IN ('fuzzy', 'none')""")
+def list_suggestions(spark, sf):
+    df = derived(spark, sf, ANSWERS, "customer").drop("seg")
+    return second.unknown_token_issues(df, CHOICES, ["_rid"]).select("_rid", "field", "message", "suggestion")

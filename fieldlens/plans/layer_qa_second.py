@@ -6,10 +6,13 @@ import difflib
 import json
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from fieldlens.functions import geo
 from fieldlens.functions.steps import in_steps, spread
@@ -154,24 +157,49 @@ def value_issues(layer: Layer) -> list[Column]:
     return out
 
 
-def closest_value(layers_values: dict[str, list[str]], cutoff: float):
-    """Pandas UDF (field, token) -> closest list value by similarity ratio, or null."""
-    lookup = {f: {plain_phrase_key(v): v for v in vals} for f, vals in layers_values.items()}
+@F.pandas_udf(T.DoubleType())
+def _similarity(known: pd.Series, token: pd.Series) -> pd.Series:
+    return pd.Series([difflib.SequenceMatcher(None, k, t).ratio() for k, t in zip(known, token)], dtype="float64")
 
-    @F.pandas_udf(T.StringType())
-    def close(field: pd.Series, token: pd.Series) -> pd.Series:
-        def one(f, t):
-            keys = lookup.get(f, {})
-            hit = difflib.get_close_matches(t, list(keys), n=1, cutoff=cutoff)
-            return keys[hit[0]] if hit else None
-        return pd.Series([one(f, t) for f, t in zip(field, token)], dtype="object")
-    return close
+
+def _pairs_of(c: Column) -> Column:
+    """The distinct pairs of neighbouring characters, with a mark before the first and behind the last."""
+    marked = F.concat(F.lit("\u0001"), c, F.lit("\u0001"))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(marked) - 1), lambda i: F.substring(marked, i, F.lit(2))))
+
+
+def _common_characters(a: Column, b: Column) -> Column:
+    """Characters that both have, with their number; never less than a matching of the two can use."""
+    times = lambda t, x: F.length(t) - F.length(F.replace(t, x, F.lit("")))
+    return F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, x: n + F.when(x == "", 0).otherwise(F.least(times(a, x), times(b, x))))
+
+
+def closest_values(tokens: DataFrame, lists: dict[str, list[str]], cutoff: float) -> DataFrame:
+    """``tokens`` (field, token, …) that have a value of similarity ``cutoff`` or more in the list of their field, with the closest as ``_close``.
+
+    Texts of a ratio above 2/3 have two neighbouring characters, their first or their last in common, so tokens meet the values they share such a pair with, and of those only the ones
+    whose lengths and characters allow the ratio; the ratio itself is computed for what is left. Of equally close values the greatest key counts."""
+    if cutoff <= 2 / 3:
+        raise ValueError("pairs of characters find values of similarity above 2/3")
+    spark = tokens.sparkSession
+    keys = {(f, plain_phrase_key(v)): v for f, values in lists.items() for v in values}
+    index = spark.createDataFrame([(f, k, v) for (f, k), v in keys.items()] or [], "field string, known string, value string")
+    index = index.withColumn("pair", F.explode(_pairs_of(F.col("known"))))
+    asked = tokens.withColumn("key", phrase_key(F.col("token")))
+    total = F.length("key") + F.length("known")
+    met = asked.select("field", "token", "key", F.explode(_pairs_of(F.col("key"))).alias("pair")) \
+        .join(F.broadcast(index), ["field", "pair"]).filter(2 * F.least(F.length("key"), F.length("known")) >= cutoff * total - 1e-9) \
+        .select("field", "token", "key", "known", "value").distinct()  # the index is the user's dictionary
+    met = met.filter(2 * _common_characters(F.col("key"), F.col("known")) >= cutoff * total - 1e-9)
+    close = met.withColumn("ratio", _similarity("known", "key")).filter(F.col("ratio") >= cutoff) \
+        .groupBy("field", "token").agg(F.max_by("value", F.struct("ratio", "known")).alias("_close"))
+    return tokens.join(close, ["field", "token"])
 
 
 def token_statuses(df: DataFrame, layer: Layer, key: list[str], cutoff: float) -> DataFrame:
     """Every list token of every row: key, field, position, token, status and canonical value.
 
-    Only tokens that no rule settles go to Python, each distinct one once.
+    Only tokens that no rule settles are compared, each distinct one once.
     """
     fields = [v for v in layer.variables if v.values and v.type in ("text", "multiselect")]
     if not fields:
@@ -184,8 +212,7 @@ def token_statuses(df: DataFrame, layer: Layer, key: list[str], cutoff: float) -
         return tokens
     tokens = durable(tokens)
     unknown = tokens.filter("status = 'none'").groupBy("field", "token").agg(F.count("*").alias("_times"))
-    close = closest_value({v.name: list(v.values) for v in fields}, cutoff)
-    settled = unknown.withColumn("_close", close("field", phrase_key(F.col("token")))).filter("_close is not null")
+    settled = closest_values(unknown, {v.name: list(v.values) for v in fields}, cutoff)
     joined = attach(tokens, settled, ["field", "token"], "_times")
     fuzzy = (F.col("status") == "none") & F.col("_close").isNotNull()
     return joined.select(*key, "field", "at", "token", F.when(fuzzy, "fuzzy").otherwise(F.col("status")).alias("status"),
@@ -228,27 +255,55 @@ def id_gaps(rows: DataFrame, layer: Layer, id_col: str = "_id", shown: int = 15)
     return sequence_gaps(nums, "zone", "n", shown)
 
 
-BLOCK = 65536
+def _runs(shown: int):
+    """Of sorted (zone, n): per zone the first and last number of the partition, how many are missing between them, and the first of those."""
+    def run(batches):
+        held = None
+
+        def row():
+            zone, first, last, missing, head = held
+            return pa.RecordBatch.from_arrays([pa.array([zone]), *(pa.array([v], pa.int64()) for v in (first, last, missing)),
+                                               pa.array([head], pa.list_(pa.int64()))], ["zone", "first", "last", "missing", "head"])
+
+        for batch in batches:
+            zones, n = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(zones[1:] != zones[:-1]) + 1
+            for a, b in zip(np.append(0, cuts), np.append(cuts, len(n))):
+                if a == b:
+                    continue
+                if held is None or held[0] != zones[a]:
+                    if held is not None:
+                        yield row()
+                    held = [zones[a], int(n[a]), int(n[a]), 0, []]
+                before = np.append(held[2], n[a:b - 1])
+                gap = np.maximum(n[a:b] - before - 1, 0)
+                for k in np.flatnonzero(gap)[:shown]:
+                    if len(held[4]) < shown:
+                        held[4] += range(int(before[k]) + 1, int(before[k]) + 1 + min(int(gap[k]), shown - len(held[4])))
+                held[2], held[3] = int(n[b - 1]), held[3] + int(gap.sum())
+        if held is not None:
+            yield row()
+
+    return run
 
 
 def sequence_gaps(nums: DataFrame, per: str, n: str, shown: int = 15) -> DataFrame:
-    """(per, n_missing, first_missing) for distinct positive numbers ``n`` of each ``per`` value."""
-    from pyspark.sql.window import Window
-    blocks = nums.select(per, F.col(n).alias("n"), F.floor(F.col(n) / BLOCK).alias("b"))
-    edges = blocks.groupBy(per, "b").agg(F.max("n").alias("top"))
-    before = edges.select(per, "b", F.lag("top").over(Window.partitionBy(per).orderBy("b")).alias("prev_top"))
-    inner = Window.partitionBy(per, "b").orderBy("n")
-    lagged = blocks.withColumn("prev", F.lag("n").over(inner)).join(before, [per, "b"]) \
-        .select(per, F.coalesce("prev", "prev_top", F.lit(0)).alias("prev"), "n")
-    gaps = lagged.filter("n - prev > 1").select(per, (F.col("prev") + 1).alias("lo"), (F.col("n") - 1).alias("hi"))
-    counted = gaps.groupBy(per).agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("n_missing"))
-    # the first numbers are in the first ranges: rank ranges per block, then per zone
-    gaps = gaps.withColumn("b", F.floor(F.col("lo") / BLOCK))
-    first = gaps.withColumn("r", F.row_number().over(Window.partitionBy(per, "b").orderBy("lo"))).filter(F.col("r") <= shown) \
-        .withColumn("r", F.sum(F.lit(1)).over(Window.partitionBy(per).orderBy("b", "lo"))).filter(F.col("r") <= shown)
-    listed = first.withColumn("m", F.explode(F.sequence("lo", F.least("hi", F.col("lo") + shown - 1)))) \
-        .groupBy(per).agg(F.slice(F.array_sort(F.collect_list("m")), 1, shown).alias("first_missing"))
-    return counted.join(listed, per)
+    """(per, n_missing, first_missing) for distinct positive numbers ``n`` of each ``per`` value, null values of it aside.
+
+    Numbers are sorted in ranges, so that one crowded value is handled by many tasks. A range hands on one row per value; between two ranges lies
+    the gap from the last number of the one to the first of the next, and that window has as many rows as ranges."""
+    kind = nums.schema[per].dataType.simpleString()
+    sorted_ = nums.filter(F.col(per).isNotNull()).select(F.col(per).alias("zone"), F.col(n).cast("long").alias("n"))
+    runs = sorted_.repartitionByRange("zone", "n").sortWithinPartitions("zone", "n") \
+        .mapInArrow(_runs(shown), f"zone {kind}, first long, last long, missing long, head array<long>")
+    before = F.coalesce(F.lag("last").over(Window.partitionBy("zone").orderBy("first")), F.lit(0))
+    joined = runs.withColumn("prev", before).withColumn("border", F.col("first") - F.col("prev") - 1).select(
+        "zone", (F.col("missing") + F.col("border")).alias("missing"),
+        F.concat(F.when(F.col("border") > 0, F.sequence(F.col("prev") + 1, F.least(F.col("first") - 1, F.col("prev") + shown)))
+                 .otherwise(F.array().cast("array<long>")), "head").alias("head"))
+    return joined.groupBy(F.col("zone").alias(per)).agg(
+        F.sum("missing").alias("n_missing"), F.slice(F.array_sort(F.flatten(F.collect_list("head"))), 1, shown).alias("first_missing")) \
+        .filter("n_missing > 0")
 
 
 def gap_issues(rows: DataFrame, layer: Layer, shown: int = 15) -> DataFrame:
