@@ -71,11 +71,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
 
 
+#: Powers of a base that a process keeps; longer tables are made for one text and forgotten.
+_KEPT = 4 << 20
+_TABLES: dict[int, np.ndarray] = {}
+
+
 def _powers(n: int, base: int) -> np.ndarray:
-    out = np.ones(n + 1, np.uint64)
-    out[1:] = np.uint64(base)
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
+    """Powers 0 to n."""
+    table = _TABLES.get(base)
+    if table is None or len(table) <= n:
+        table = np.full(max(n, 1 << 20) + 1, np.uint64(base))
+        table[0] = 1
+        with np.errstate(over="ignore"):
+            np.multiply.accumulate(table, out=table)
+        if len(table) <= _KEPT + 1:
+            _TABLES[base] = table
+    return table[:n + 1]
 
 
 BASE = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
@@ -88,7 +99,10 @@ class Prefix:
     def __init__(self, raw: np.ndarray):
         self.back = _powers(len(raw), INVERSE)
         self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[raw] * _powers(len(raw), BASE)[:-1], out=self.sums[1:])
+        inner = self.sums[1:]
+        np.take(_BYTE, raw, out=inner)
+        inner *= _powers(len(raw), BASE)[:-1]
+        np.cumsum(inner, out=inner)
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
