@@ -51,7 +51,27 @@ def headline_metrics(spark, sf):
     return report.headline(report.quality_summary(rows(spark, sf), DAY))
 
 
-_ACTIONS = " UNION ALL ".join("SELECT '{}' AS type, '{}' AS equipe, '{}' AS action".format(*(x.replace("'", "''") for x in a)) for a in report.ACTIONS)
+# Team and recommended action of each issue type, as they must come out.
+_TEXTS = (
+    ("champ_obligatoire_vide", "Terrain", "Renseigner le champ (retour à l'agent ou nouvelle visite)"),
+    ("valeur_hors_liste", "Traitement", "Remplacer la valeur par l'une des valeurs de la liste"),
+    ("id_format", "Traitement", "Renommer l'identifiant au format ZONE<n><2 lettres de la couche><n> (ex. ZONE4IN1)"),
+    ("id_duplique", "Traitement", "Un même ID est utilisé pour des positions différentes : attribuer des ID uniques"),
+    ("doublon_exact", "Traitement", "Copie identique : ne garder qu'une ligne après validation (aucune suppression automatique)"),
+    ("doublon_conflit", "Traitement", "Mêmes ID/position mais valeurs différentes : choisir la bonne version avec l'agent"),
+    ("doublon_spatial", "Traitement", "Deux points quasi confondus portant le même ID/nom : vérifier s'il s'agit du même objet"),
+    ("geometrie_vide", "Terrain", "Position absente ou illisible : récupérer le point (GPS non capté) ou re-lever"),
+    ("geometrie_type", "Traitement", "Type de géométrie inattendu pour cette couche : vérifier la couche d'origine"),
+    ("geometrie_invalide", "Traitement", "Réparer la géométrie (auto-intersection, anneau non fermé)"),
+    ("hors_emprise", "Traitement", "Position hors du corridor : coordonnées inversées ou erronées ? Corriger ou re-lever"),
+    ("hors_plage", "Terrain", "Valeur numérique hors plage plausible : vérifier avec l'agent"),
+    ("type_invalide", "Traitement", "Valeur de mauvais type (ex. texte à la place d'un nombre ou Oui/Non) : corriger"),
+    ("tronçon_court", "Traitement", "Tronçon très court : vérifier qu'il ne s'agit pas d'un doublon ou d'un clic parasite"),
+    ("incoherence", "Terrain", "Champs contradictoires entre eux : confirmer la bonne réponse avec l'agent"),
+    ("date_future", "Traitement", "Date dans le futur (horloge du terminal mal réglée) : corriger la date"),
+    ("date_anterieure", "Traitement", "Date antérieure au début de la collecte : vérifier le fichier"),
+)
+_ACTIONS = " UNION ALL ".join("SELECT '{}' AS type, '{}' AS equipe, '{}' AS action".format(*(x.replace("'", "''") for x in a)) for a in _TEXTS)
 
 
 @query("action_plan", f"""SELECT row_number() OVER (ORDER BY severity, n DESC, layer, type) AS priorite, layer AS couche,

@@ -93,21 +93,98 @@ SECOND_SQL = {
 }
 
 
-def _register(tag: str, pack: dict, layer: str, predicates: list[str]) -> None:
-    rules = pack[layer]
+# Severity, variable and message of each rule of the first pack, as they must come out.
+FIRST_TEXTS = {
+    "Gares": [
+        ("error", "type_magasin", "Présence de magasin = Oui mais type de magasin non renseigné"),
+        ("warning", "type_magasin", "Présence de magasin = Non mais un type de magasin est renseigné"),
+        ("warning", "capacite_stockage_gare", "Pas de magasin mais capacité de stockage renseignée (autre que « Non applicable »)"),
+    ],
+    "Points_Vente_Marches": [
+        ("warning", "capacite_stockage", "Pas de magasin de stockage mais capacité renseignée (autre que « Non applicable »)"),
+        ("error", "capacite_stockage", "Magasin de stockage présent mais capacité absente"),
+        ("error", "type_aire_chargement", "Aire de chargement présente mais type non renseigné"),
+        ("warning", "type_aire_chargement", "Pas d'aire de chargement mais un type est renseigné"),
+    ],
+    "Reseau_Routier_Pistes": [
+        ("error", "type_blocage", "Point critique = Oui mais aucun type de blocage"),
+        ("warning", "type_blocage", "Point critique = Non mais un blocage est indiqué"),
+        ("warning", "duree_coupure_jours", "Praticable toute l'année mais durée de coupure > 0"),
+    ],
+    "Services_Sociaux_Bases": [
+        ("error", "type_equipement", "Le type d'équipement ne correspond pas au domaine d'activité"),
+    ],
+    "Activites_autour_gare": [
+        ("warning", "type_culture", "Type de culture renseigné alors que l'activité n'est pas agricole"),
+        ("warning", "type_elevage", "Type d'élevage renseigné alors que l'activité n'est pas pastorale"),
+    ],
+    "Ouvrage_franchissement": [
+        ("warning", "presence_gardien", "Passage à niveau gardé mais gardien-barrières = Non"),
+        ("warning", "dispositif_securite", "Passage à niveau non gardé/informel avec « gardien-barrières présent »"),
+        ("warning", "etat_ouvrage", "Ouvrage « Impraticable » mais réhabilitation jugée non nécessaire"),
+    ],
+    "Gouvernance_Services_Securite": [
+        ("warning", "moyens_mobilite", "« Aucun moyen propre » combiné avec d'autres moyens de mobilité"),
+        ("warning", "source_energie_securite", "« Aucune » combinée avec d'autres sources d'énergie"),
+    ],
+}
+# Code and message of each rule of the second pack; all are warnings without a variable.
+SECOND_TEXTS = {
+    "Gares": [
+        ("L_MAG1", "Aucun magasin déclaré mais un type de magasin est renseigné"),
+        ("L_MAG2", "Aucun magasin déclaré mais une capacité de stockage est renseignée"),
+        ("L_MAG3", "Magasin présent sans type de magasin"),
+        ("L_TEL", "« Aucune couverture » mais un opérateur est renseigné"),
+    ],
+    "Infrastructures_Ferroviaires": [
+        ("L_PN", "Un passage à niveau ne devrait pas avoir de quai d'embarquement"),
+    ],
+    "Points_Vente_Marches": [
+        ("L_STK1", "Pas de magasin de stockage mais capacité renseignée"),
+        ("L_AIRE1", "Pas d'aire de chargement mais un type d'aire est renseigné"),
+        ("L_AIRE2", "Aire de chargement présente sans type"),
+    ],
+    "Reseau_Routier_Pistes": [
+        ("L_CRIT1", "Point critique = oui mais aucun blocage / obstacle indiqué"),
+        ("L_CRIT2", "Blocage indiqué alors que point critique = non"),
+        ("L_PRAT", "Accessible toute l'année mais coupures > 0 jour/an"),
+        ("L_SURF", "Route nationale/régionale avec revêtement en terre/sable"),
+    ],
+    "Activites_autour_gare": [
+        ("L_CULT", "Type de culture renseigné hors activité agricole"),
+        ("L_ELEV", "Type d'élevage renseigné hors activité pastorale"),
+        ("L_BETAIL", "Traversée de bétail déclarée mais pas de point de traversée informelle"),
+        ("L_EMPRISE", "Localisation « dans l'emprise » incohérente avec la distance à la voie"),
+    ],
+    "Ouvrage_franchissement": [
+        ("L_GARD1", "Gardien-barrières présent dans les dispositifs mais « Présence de gardien » = Non"),
+        ("L_GARD2", "Gardien présent mais dispositif = « Aucun dispositif »"),
+        ("L_PNG", "PN gardé sans gardien-barrières"),
+        ("L_SAUV", "Traversée sauvage : le type d'ouvrage devrait être « Passage informel »"),
+    ],
+    "Ground_Truthing_LandCover": [
+        ("L_FOR", "Forêt dense avec densité de couvert < 40 %"),
+        ("L_SOL", "Sol nu avec densité de couvert > 30 %"),
+    ],
+    "Services_Sociaux_Bases": [
+        ("L_EQ", "Type d'équipement incohérent avec le domaine d'activité"),
+    ],
+}
+
+
+def _register(tag: str, pack: dict, layer: str, predicates: list[str], texts: list[tuple[str, str, str, str]]) -> None:
     quote = lambda t: t.replace("'", "''")
     oracle = " UNION ALL ".join(
-        f"SELECT k, n, p, '{r.severity}' AS severity, '{r.code}' AS code, '{r.variable}' AS variable, '{quote(r.message)}' AS message FROM ({answers(layer)}) WHERE {p}"
-        for r, p in zip(rules, predicates, strict=True))
+        f"SELECT k, n, p, '{severity}' AS severity, '{code}' AS code, '{variable}' AS variable, '{quote(message)}' AS message FROM ({answers(layer)}) WHERE {p}"
+        for (severity, code, variable, message), p in zip(texts, predicates, strict=True))
 
     @query(f"rules_{tag}_{layer.lower()}", oracle)
     def run(spark, sf):
         rows = derived(spark, sf, answers(layer), "lineitem")
-        return evaluate_rules(rows, rules, ["k", "n", "p"])
+        return evaluate_rules(rows, pack[layer], ["k", "n", "p"])
 
 
 for _layer, _p in FIRST_SQL.items():
-    _register("first", FIRST_PACK, _layer, _p)
+    _register("first", FIRST_PACK, _layer, _p, [(severity, "incoherence", variable, message) for severity, variable, message in FIRST_TEXTS[_layer]])
 for _layer, _p in SECOND_SQL.items():
-    _register("second", SECOND_PACK, _layer, _p)
-
+    _register("second", SECOND_PACK, _layer, _p, [("WARNING", code, "", message) for code, message in SECOND_TEXTS[_layer]])
