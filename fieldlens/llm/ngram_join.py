@@ -5,9 +5,11 @@ With at most D n-grams in which two linked documents can differ, D + 1 fragments
 agree on a fragment are candidates. Their overlaps are counted fragment by fragment and summed per pair.
 
 A hash of the order stands for an n-gram; the chance that two n-grams of a comparison share one is about 2**-50 for a million n-grams.
-Documents of equal sets are one class from the start. All pairs of classes of a fragment group meet in a join over blocks of the group, whose
-condition holds an exact lower bound of their difference: each n-gram flips one of 512 parity bits, and sets that differ in d n-grams differ
-in at most d bits. Pairs that pass are verified once each. Links are counted in full, so the work in a group of k linked classes grows with k * k.
+Documents of equal sets are one class from the start. Classes that fragment groups tie together, directly or by others, are a cluster, and only
+classes of one cluster are compared. A cluster is dealt into blocks of bounded size; a block is one row with the packed sets of its members, and all
+pairs of blocks meet. There the overlaps of all members of two blocks are counted at once, fragment by fragment of the order as a product of two
+incidence matrices, and summed over the fragments. What leaves the task is per member the number of its links and one edge to the smallest member
+that it reaches, so rows grow with members, not with pairs, while every pair of a cluster is counted.
 
 Texts without words, null and empty ones, have an empty set, no link, and are components of their own. Repeated rows are one class, and rows
 of one doc_id are linked only if their texts are. A null id counts as the largest. Other columns are not read. An empty table gives no rows.
@@ -15,17 +17,23 @@ of one doc_id are linked only if their texts are. A null id counts as the larges
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.llm.common import mixed, pieces, row_key, saved, sized, word_hashes
 
-#: Fragments a document of any size is cut into for counting overlaps.
+#: Fragments of the order in which overlaps are counted and then summed.
 COUNTED = 8
-#: Expected members of a block of a fragment group; blocks meet pair by pair.
+#: Expected members of a block of a cluster, and n-grams that they have together; blocks meet pair by pair.
 BLOCK = 500
+BLOCK_GRAMS = 1 << 20
+#: Columns of an incidence matrix.
+WIDE = 8192
 
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -79,7 +87,6 @@ def fragments_of(cls: int, percent: int) -> int:
 
 
 KEYED = "key long, node long"
-PARITY = 8
 
 
 def class_of(s: np.ndarray) -> np.int64:
@@ -89,26 +96,22 @@ def class_of(s: np.ndarray) -> np.int64:
 
 
 def _measured(n: int):
-    """Per document: its class, the size of its set and the parity bits."""
+    """Per document: its class and the size of its set."""
     def run(batches):
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
                 sets = shingle_sets(batch.column("text")[lo:hi], n)
-                bits = np.zeros((len(sets), PARITY), np.int64)
-                for row, s in zip(bits, sets):
-                    odd = np.bincount((s & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY).astype(np.uint8) & 1
-                    row[:] = np.packbits(odd).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id")[lo:hi], pa.array([class_of(s) if len(s) else 0 for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel()), PARITY).cast(pa.list_(pa.int64()))], names=["doc_id", "node", "size", "bits"])
+                    pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "node", "size"])
 
     return run
 
 
 def _keyed(n: int, percent: int):
-    """A key for each fragment of each set, registered in the class of its size and in the next."""
+    """A key for each fragment of each set, registered in the class of its size and in the next; once per task for copies."""
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
                 keys, nodes = [], []
@@ -116,6 +119,9 @@ def _keyed(n: int, percent: int):
                     if not len(s):
                         continue
                     node, own = class_of(s), size_class(len(s), percent)
+                    if int(node) in seen:
+                        continue
+                    seen.add(int(node))
                     with np.errstate(over="ignore"):
                         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(s, dtype=np.uint64)])
                         for cls in (own, own + 1):
@@ -132,35 +138,148 @@ def _keyed(n: int, percent: int):
     return run
 
 
-def _parts(n: int):
-    """The set of each document, cut into the fragments in which overlaps are counted."""
+def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key and node, an edge from every class of a key with several to the key's smallest."""
+    key, low = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, nodes = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        new = np.append(keys[:1] != key if key is not None else [True], keys[1:] != keys[:-1])
+        first = np.flatnonzero(new)
+        lows = np.append(low, nodes[first])[np.cumsum(new)]
+        other = lows != nodes
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(lows[other])], ["a", "b"])
+        key, low = keys[-1], lows[-1]
+
+
+def _sets(n: int):
+    """The packed set of each document."""
     def run(batches):
-        cut = np.array([k << 61 for k in range(1, COUNTED)], np.uint64)
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
-                nodes, part, grams = [], [], []
-                for s in shingle_sets(batch.column("text")[lo:hi], n):
-                    nodes += [class_of(s) if len(s) else 0] * COUNTED
-                    part += range(COUNTED)
-                    grams += np.split(s.view(np.int64), np.searchsorted(s, cut))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(part, pa.int32()), pa.array(grams, pa.list_(pa.int64()))],
-                                                 names=["node", "part", "grams"])
+                sets = [s for s in shingle_sets(batch.column("text")[lo:hi], n) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "grams"])
+
+    return run
+
+
+def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``x`` with all of ``y``, counted per fragment of the order and summed."""
+    out = np.zeros((len(x), len(y)), np.int64)
+    if len(x) * len(y) <= 4:
+        for i, a in enumerate(x):
+            out[i] = [len(np.intersect1d(a, b, assume_unique=True)) for b in y]
+        return out
+    cut = np.array([k << 61 for k in range(1, COUNTED)], np.uint64)
+    parts_x, parts_y = ([np.split(s, np.searchsorted(s, cut)) for s in side] for side in (x, y))
+    for f in range(COUNTED):
+        gx, gy = (np.concatenate([p[f] for p in side]) for side in (parts_x, parts_y))
+        rx, ry = (np.repeat(np.arange(len(side)), [len(p[f]) for p in side]) for side in (parts_x, parts_y))
+        both = np.intersect1d(gx, gy)
+        if not len(both):
+            continue
+        cx, cy = np.searchsorted(both, gx), np.searchsorted(both, gy)
+        in_x, in_y = (both[np.minimum(c, len(both) - 1)] == g for c, g in ((cx, gx), (cy, gy)))
+        for start in range(0, len(both), WIDE):
+            a, b = (np.zeros((len(side), min(WIDE, len(both) - start)), np.float32) for side in (x, y))
+            for matrix, r, c, known in ((a, rx, cx, in_x), (b, ry, cy, in_y)):
+                k = known & (c >= start) & (c < start + WIDE)
+                matrix[r[k], c[k] - start] = 1
+            out += (a @ b.T).astype(np.int64)  # sums of at most WIDE ones are exact
+    return out
+
+
+def linked(x: tuple, y: tuple | None, percent: int) -> pa.RecordBatch:
+    """Per member of one or two blocks (nodes, copies, sets): rows of linked classes, and the smallest class reached by links; others give no row."""
+    same = y is None
+    y = x if same else y
+    shared = overlaps(x[2], y[2])
+    sizes = [np.array([len(s) for s in side[2]], np.int64) for side in (x, y)]
+    link = shared * 100 >= (sizes[0][:, None] + sizes[1][None, :] - shared) * percent
+    if same:
+        np.fill_diagonal(link, False)
+    nodes = x[0] if same else np.concatenate([x[0], y[0]])
+    others = link @ y[1] if same else np.concatenate([link @ y[1], link.T @ x[1]])
+    label, old = nodes.copy(), None
+    big = np.iinfo(np.int64).max
+    while old is None or (label != old).any():  # the smallest label of the neighbours, until nothing moves
+        old = label
+        lx, ly = (label, label) if same else (label[:len(x[0])], label[len(x[0]):])
+        down = np.minimum(lx, np.where(link, ly[None, :], big).min(1, initial=big))
+        label = down if same else np.concatenate([down, np.minimum(ly, np.where(link, down[:, None], big).min(0, initial=big))])
+    k = np.flatnonzero(others)
+    return pa.RecordBatch.from_arrays([pa.array(nodes[k]), pa.array(label[k]), pa.array(others[k].astype(np.int64))], ["node", "low", "others"])
+
+
+#: Rows of links of a member, or of a packed block, with nulls in the columns of the other.
+FOUND = {"node": pa.int64(), "low": pa.int64(), "others": pa.int64()}
+PACKED = {"cluster": pa.int64(), "own": pa.int32(), "blocks": pa.int32(), "nodes": pa.binary(), "copies": pa.binary(), "sizes": pa.binary(), "grams": pa.binary()}
+_FOUND = "node long, low long, others long"
+_EITHER = f"{_FOUND}, cluster long, own int, blocks int, nodes binary, copies binary, sizes binary, grams binary"
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Runs of rows of one (cluster, own), sorted by node: (cluster, own, blocks, nodes, copies, sets), each class once."""
+    held, rows = None, []
+
+    def done():
+        return (*held, np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), [np.frombuffer(r[2], np.uint64) for r in rows])
+
+    for batch in batches:
+        for cluster, own, blocks, node, copies, grams in zip(*(batch.column(c) for c in ("cluster", "own", "blocks", "node", "copies", "grams"))):
+            at = (cluster.as_py(), own.as_py(), blocks.as_py())
+            if at != held:
+                if rows:
+                    yield done()
+                held, rows = at, []
+            node = node.as_py()
+            if not rows or rows[-1][0] != node:
+                rows.append((node, copies.as_py(), grams.as_py()))
+    if rows:
+        yield done()
+
+
+def _compared(percent: int):
+    """The links of a cluster of one block; of other clusters each block as one row. Sets of near copies repeat each other, which packs well."""
+    def run(batches):
+        for cluster, own, blocks, nodes, copies, sets in _members(batches):
+            if blocks == 1:
+                if len(nodes) > 1:
+                    found = linked((nodes, copies, sets), None, percent)
+                    yield pa.RecordBatch.from_arrays([*found.columns, *(pa.nulls(found.num_rows, t) for t in PACKED.values())], [*FOUND, *PACKED])
+                continue
+            grams = zstandard.ZstdCompressor().compress(np.concatenate(sets).tobytes())
+            row = (cluster, own, blocks, nodes.tobytes(), copies.tobytes(), np.array([len(s) for s in sets], np.int64).tobytes(), grams)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in FOUND.values()), *(pa.array([v], t) for v, t in zip(row, PACKED.values()))], [*FOUND, *PACKED])
+
+    return run
+
+
+def _between(percent: int):
+    def block(row, side):
+        nodes, copies, sizes = (np.frombuffer(row[f"{side}_{c}"], np.int64) for c in ("nodes", "copies", "sizes"))
+        flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(row[f"{side}_grams"]), np.uint64)
+        return nodes, copies, np.split(flat, np.cumsum(sizes)[:-1])
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                yield linked(block(row, "x"), None if row["p"] == row["q"] else block(row, "y"), percent)
 
     return run
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, shared): overlaps counted per fragment of the order and summed per pair. Sets are (node, part, grams)."""
-    asked = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(COUNTED - 1))).alias("part"))
-    left = sets.select(F.col("node").alias("a"), "part", F.col("grams").alias("x"))
-    right = sets.select(F.col("node").alias("b"), "part", F.col("grams").alias("y"))
-    counted = asked.join(right, ["b", "part"]).join(left, ["a", "part"]).select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"))
-    return counted.groupBy("a", "b").agg(F.sum("n").alias("shared"))
+def _state(edges: DataFrame) -> tuple:
+    """Number of edges and the sum of their hashes; equal sets of edges have equal ones."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable. Stars are drawn to the smallest neighbour until nothing moves."""
     edges = saved(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
+    state = _state(edges)
     while True:
         # Large stars: every larger neighbour of a node moves to the smallest in its neighbourhood. Small stars: so do the others.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -171,9 +290,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         new = saved(small.filter("u > v").distinct())
-        done = new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty()
+        old, state = state, _state(new)
         edges = new
-        if done:
+        if state == old:
             break
     roots = edges.groupBy("u").agg(F.min("v").alias("comp")).withColumnRenamed("u", "node")
     return nodes.join(roots, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
@@ -184,44 +303,28 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
 
     ``n_links_found`` is the number of other rows whose sets are linked to the document's own, rows of an equal set among them."""
     docs = docs.select("doc_id", "text")
-    rows = saved(docs.mapInArrow(_measured(n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size long, bits array<long>"))
-    classes = saved(rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bits").alias("bits"),
-                                                               F.count(F.lit(1)).alias("copies")))
-    keyed = docs.mapInArrow(_keyed(n, percent), KEYED)
-    # Only groups of two or more classes matter; copies of one class never make a group.
-    groups = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
-    member = saved(keyed.join(groups, "key", "left_semi").groupBy("key", "node").agg(F.count(F.lit(1)).alias("copies")).select("key", "node"))
-    size = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    known = saved(member.select("node").distinct().join(classes, "node").select("node", "low", "size", "bits"))
-    reps = known.select(F.col("low").alias("rep"))
-    texts = docs.join(sized(reps.distinct()), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
-    sets = texts.mapInArrow(_parts(n), "node long, part int, grams array<long>").join(known.select("node"), "node", "left_semi")
-    sets = saved(sets.groupBy("node", "part").agg(F.first("grams").alias("grams")))
-
-    def fits(a: str, b: str):
-        """Exact bounds: sizes, and bits in which the parities differ against n-grams in which linked sets can differ."""
-        both = F.col(f"{a}.size") + F.col(f"{b}.size")
-        apart = sum((F.bit_count(F.col(f"{a}.bits")[k].bitwiseXOR(F.col(f"{b}.bits")[k])) for k in range(PARITY)), F.lit(0))
-        return ((F.least(f"{a}.size", f"{b}.size") * 100 >= F.greatest(f"{a}.size", f"{b}.size") * percent)
-                & (apart * (100 + percent) <= both * (100 - percent)))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = saved(pairs.distinct())
-        got = overlaps(pairs, sets).join(pairs, ["a", "b"])
-        return saved(got.filter(F.col("shared") * 100 >= (F.col("sum") - F.col("shared")) * percent).select("a", "b"))
-
-    # Members of a group are dealt into blocks, and all pairs of blocks meet: a hot group is spread over many tasks, and no pair is left out.
-    block = member.join(size, "key").join(known.select("node", F.struct("node", "size", "bits").alias("me")), "node").select(
-        "key", "me", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).withColumn("own", F.pmod(F.xxhash64("me.node"), F.col("blocks")).cast("int"))
-    x = block.select("key", F.col("own").alias("p"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("q"), F.col("me").alias("x"))
-    y = block.select("key", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("p"), F.col("own").alias("q"), F.col("me").alias("y"))
-    met = x.join(y, ["key", "p", "q"]).filter(((F.col("p") < F.col("q")) | (F.col("x.node") < F.col("y.node"))) & fits("x", "y"))
-    links = verified(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
-                                (F.col("x.size") + F.col("y.size")).alias("sum")))
+    rows = saved(docs.mapInArrow(_measured(n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size long"))
+    classes = saved(rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.count(F.lit(1)).alias("copies")))
+    keyed = docs.mapInArrow(_keyed(n, percent), KEYED).repartition("key").sortWithinPartitions("key", "node")
+    ties = saved(keyed.mapInArrow(_ties, "a long, b long").distinct())
+    ends = ties.select(F.col("a").alias("node")).unionByName(ties.select(F.col("b").alias("node"))).distinct()
+    known = saved(components(ends, ties).withColumnRenamed("comp", "cluster").join(classes, "node"))
+    extent = known.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    placed = sized(known.join(extent, "cluster").select("node", "cluster", "blocks", "copies", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")))
+    texts = docs.join(sized(known.select(F.col("low").alias("rep")).distinct()), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
+    sets = texts.mapInArrow(_sets(n), "node long, grams binary").join(placed, "node")
+
+    met = saved(sets.repartition("cluster", "own").sortWithinPartitions("cluster", "own", "node").mapInArrow(_compared(percent), _EITHER))
+    one, blocks = met.filter("node is not null").select(*FOUND), met.filter("cluster is not null").select(*PACKED)
+    # All pairs of blocks of a cluster meet, one row each: a hot cluster is spread over many tasks, and no pair is left out.
+    side = lambda name: F.struct("nodes", "copies", "sizes", "grams").alias(name)
+    x = blocks.select("cluster", F.col("own").alias("p"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("q"), side("x"))
+    y = blocks.select("cluster", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("p"), F.col("own").alias("q"), side("y"))
+    pairs = x.join(y, ["cluster", "p", "q"]).select("p", "q", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("nodes", "copies", "sizes", "grams")])
+    links = saved(one.unionByName(pairs.repartition("p", "q", "x_nodes", "y_nodes").mapInArrow(_between(percent), _FOUND)))
+    found = links.groupBy("node").agg(F.sum("others").alias("others"))
+    links = links.select(F.col("node").alias("a"), F.col("low").alias("b"))
     nodes = known.select("node")
-    ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    found = (ends.join(classes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node"))
-             .agg(F.sum("copies").alias("others")))
     state = components(nodes, links).join(known.select("node", "low"), "node")
     named = state.groupBy("comp").agg(F.min("low").alias("component_id"))
     state = state.join(named, "comp").join(found, "node", "left").select("node", "component_id", "others")
