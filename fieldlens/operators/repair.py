@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,27 +139,52 @@ def add_coordinates(df: DataFrame, layer: Layer, zone: int) -> DataFrame:
     return df.withColumn("longueur_m", F.bround(geo.length_m(g, zone), 1))
 
 
-def repair_layer(df: DataFrame, layer: Layer, options: RepairOptions = RepairOptions(), zone: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(repaired rows, rejected rows with ``reject_reason``). ``df`` needs ``_rid``, ``zone``, ``geom`` and the variables."""
+@dataclass
+class Repaired:
+    """Repaired rows, rejected rows with ``reject_reason``, and what was done as rows (couche, mesure, nombre)."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: DataFrame
+
+
+EMPTY = "Géométrie vide"
+COPY = "Doublon strict (mêmes attributs et géométrie)"
+
+
+def _count(df: DataFrame, layer: Layer, **measures: Column | None) -> DataFrame:
+    """One row per measure: the sum of its column over ``df``, or the number of rows for None."""
+    sums = df.agg(*[(F.count(F.lit(1)) if c is None else F.coalesce(F.sum(c.cast("long")), F.lit(0))).alias(m) for m, c in measures.items()])
+    return sums.select(F.explode(F.array(*[F.struct(F.lit(layer.name).alias("couche"), F.lit(m).alias("mesure"), F.col(m).cast("long").alias("nombre"))
+                                           for m in measures])).alias("_c")).select("_c.*")
+
+
+def repair_layer(df: DataFrame, layer: Layer, options: RepairOptions = RepairOptions(), zone: int | None = None) -> Repaired:
+    """Repair one layer. ``df`` needs ``_rid``, ``zone``, ``geom`` and the variables."""
     o = options
+    counts = [_count(df, layer, recues=None)]
     out = clean_texts(df, layer) if o.clean_text else df
     out = repair_geometry(out) if o.fix_geometry else out.withColumn("_part", F.lit(0))
     if o.fix_swapped and layer.geometry == "Point":
         out = out.withColumn("geom", geo.swap_if_outside(F.col("geom"), second.BOX))
-    out = out.withColumn("reject_reason", F.when(geo.is_empty(F.col("geom")), "Géométrie vide") if o.drop_empty
+    out = out.withColumn("reject_reason", F.when(geo.is_empty(F.col("geom")), EMPTY) if o.drop_empty
                          else F.lit(None).cast("string"))
     rejected = [out.filter("reject_reason is not null")]
     out = out.filter("reject_reason is null")
     out = coerce_types(out, layer) if o.coerce_types else out
     out = durable(out)  # the cleaned rows are read several times by the steps below
-    out = repair_domains(out, layer, o.fuzzy_cutoff).drop("_fixed") if o.fix_domains else out
+    if o.fix_domains:
+        out = durable(repair_domains(out, layer, o.fuzzy_cutoff))
+        counts.append(_count(out, layer, valeurs_normalisees=F.col("_fixed")))
+        out = out.drop("_fixed")
     if o.drop_copies:
-        out = keep_first(out, [*layer.names, "geom", "zone"], [*ORDER, "_part"])
-        rejected.append(out.filter("is_copy").drop("is_copy").withColumn(
-            "reject_reason", F.lit("Doublon strict (mêmes attributs et géométrie)")))
+        out = durable(keep_first(out, [*layer.names, "geom", "zone"], [*ORDER, "_part"]))
+        rejected.append(out.filter("is_copy").drop("is_copy").withColumn("reject_reason", F.lit(COPY)))
         out = out.filter("not is_copy").drop("is_copy")
     if o.harmonise_ids:
-        out = harmonise_ids(out, layer, [*ORDER, "_part"]).drop("_renumbered", "_id_changed")
+        out = durable(harmonise_ids(out, layer, [*ORDER, "_part"]))
+        counts.append(_count(out, layer, identifiants_changes=F.col("_id_changed"), renumerotations=F.col("_renumbered")))
+        out = out.drop("_renumbered", "_id_changed")
     if o.add_coordinates:
         if layer.geometry != "Point" and zone is None:
             centre = df.select(geo.centroid(F.col("geom")).alias("c"))
@@ -168,7 +194,18 @@ def repair_layer(df: DataFrame, layer: Layer, options: RepairOptions = RepairOpt
     for r in rejected[1:]:
         rejects = rejects.unionByName(r.select(*[F.col(c).cast(t) if c in r.columns else F.lit(None).cast(t).alias(c)
                                                  for c, t in rejects.dtypes]), allowMissingColumns=True)
-    return out.drop("reject_reason"), rejects
+    reason = F.col("reject_reason")
+    counts += [_count(rejects, layer, sans_geometrie=reason == EMPTY, doublons_stricts=reason == COPY), _count(out, layer, conservees=None)]
+    return Repaired(out.drop("reject_reason"), rejects, reduce(lambda a, b: a.unionByName(b), counts))
+
+
+def repair_layers(frames: dict[str, DataFrame], layers: dict[str, Layer], options: RepairOptions = RepairOptions()) -> dict[str, Repaired]:
+    """Repair of all layers; rows get new ``_rid`` from 0 in their order, as rows have been split and removed."""
+    out = {}
+    for name, df in frames.items():
+        done = repair_layer(df, layers[name], options)
+        out[name] = Repaired(renumber_rows(done.rows, [*ORDER, "_part"]), done.rejects, done.counts)
+    return out
 
 
 def renumber_rows(df: DataFrame, order: list[str]) -> DataFrame:

@@ -67,9 +67,11 @@ def test_second_pack_and_status(spark):
 
 
 def test_repair(spark):
-    done, rejects = repair.repair_layer(_raw(spark), GARES)
-    rows = {r._rid: r for r in done.collect()}
-    assert {(r._rid, r.reject_reason[:7]) for r in rejects.collect()} == {(7, "Géométr"), (2, "Doublon")}
+    done = repair.repair_layer(_raw(spark), GARES)
+    rows = {r._rid: r for r in done.rows.collect()}
+    counts = {r.mesure: r.nombre for r in done.counts.collect()}
+    assert counts == {"recues": 7, "valeurs_normalisees": 5, "identifiants_changes": 2, "renumerotations": 1, "sans_geometrie": 1, "doublons_stricts": 1, "conservees": 5}
+    assert {(r._rid, r.reject_reason[:7]) for r in done.rejects.collect()} == {(7, "Géométr"), (2, "Doublon")}
     assert (rows[4].lon, rows[4].lat) == (10.0, 5.0)              # exchanged back
     assert rows[3].type_gare == "Halte" and rows[5].presence_magasin_gare is True
     assert rows[4].id_fichegare == "ZONE1GA4" and rows[6].id_fichegare == "ZONE1GA6" and rows[6].id_orig == "ZONE2GA5"
