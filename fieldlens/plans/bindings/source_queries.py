@@ -216,3 +216,41 @@ def raw_union_of_layouts(spark, sf):
     tagged = features.drop("columns", "layer").join(files.select("_path", "columns", "keys"), "_path")
     out = run.aligned_layer(tagged, run.layer_columns(files)[layer.name])
     return out.select("_row_src", "id_fichegare", "nom_gare_detail", F.col("Obs").alias("obs"), "type_gare", F.col("Extra_4").alias("extra_4"), F.col("id_fichegare_2").alias("id_fichegare_2"))
+
+
+@query("shapefile_rows", """SELECT '/s' || CAST(c_custkey // 50 AS VARCHAR) || '.shp' AS _path, row_number() OVER (PARTITION BY c_custkey // 50 ORDER BY c_custkey) AS _row_src, c_name || ' é' AS nom,
+ CASE WHEN c_custkey % 7 > 0 THEN printf('%.2f', c_acctbal) END AS solde, CASE c_custkey % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'False' END AS actif, CASE WHEN c_custkey % 4 = 3 THEN 'MultiLineString' WHEN c_custkey % 4 = 2 THEN 'LineString' ELSE 'Point' END AS gtype,
+ CASE c_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 4 END AS points, CASE WHEN c_custkey % 4 <> 1 THEN CAST(8 + (c_custkey % 90) * 0.125 AS DOUBLE) END AS x, (c_custkey // 50) % 2 = 1 AS assumed FROM customer""")
+def shapefile_rows(spark, sf):
+    """Shapefiles of up to 50 records: points, empty shapes, lines of one and two parts; every second file has no projection."""
+    import struct
+
+    import pandas as pd
+
+    from fieldlens.functions import geo
+    from fieldlens.sources import shapefile
+
+    def pack(key, rows):
+        stem, shp, table = f"/s{key[0]}", b"", b""
+        fields = [(b"nom", b"C", 24), (b"solde", b"N", 12), (b"actif", b"L", 1)]
+        for i, r in enumerate(rows.sort_values("c_custkey").itertuples()):
+            x, kind = 8 + r.c_custkey % 90 * 0.125, r.c_custkey % 4
+            parts = {2: [2], 3: [2, 2]}.get(kind)
+            points = [(x + 0.01 * j, 3.0) for j in range(sum(parts))] if parts else []
+            body = struct.pack("<i2d", 1, x, 3.0) if kind == 0 else struct.pack("<i", 0) if kind == 1 else \
+                struct.pack("<i4d2i", 3, 0, 0, 0, 0, len(parts), len(points)) + struct.pack(f"<{len(parts)}i", *range(0, 2 * len(parts), 2)) + b"".join(struct.pack("<2d", *p) for p in points)
+            shp += struct.pack(">2i", i + 1, len(body) // 2) + body
+            amount = b"%.2f" % r.c_acctbal if r.c_custkey % 7 else b""
+            table += b" " + f"{r.c_name} é".encode().ljust(24) + amount.rjust(12) + b"TF?"[r.c_custkey % 3:r.c_custkey % 3 + 1]
+        head = struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + len(shp)) // 2) + bytes(72)
+        described = b"".join(n.ljust(11, b"\0") + k + bytes(4) + bytes([s]) + bytes(15) for n, k, s in fields)
+        dbf = struct.pack("<4BiHH", 3, 24, 1, 1, len(rows), 32 + len(described) + 1, 38) + bytes(20) + described + b"\r" + table
+        files = [(f"{stem}.shp", head + shp), (f"{stem}.dbf", dbf)] + [(f"{stem}.prj", b'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984"]]')] * int(key[0] % 2 == 0)
+        return pd.DataFrame(files, columns=["path", "content"])
+
+    c = table(spark, sf, "customer").select(F.floor(F.col("c_custkey") / 50).alias("f"), "c_custkey", "c_name", "c_acctbal")
+    files = c.groupBy("f").applyInPandas(pack, "path string, content binary").withColumn("file_date", F.lit("2024-01-01").cast("date"))
+    rows = shapefile.to_wgs84(shapefile.decode_groups(files))
+    a = F.col("attributes")
+    return rows.select("_path", "_row_src", a["nom"].alias("nom"), a["solde"].alias("solde"), a["actif"].alias("actif"), F.col("geom.gtype").alias("gtype"),
+                       F.size(F.flatten("geom.parts")).alias("points"), geo.first_point(F.col("geom"))["x"].alias("x"), F.col("_crs_assumed").alias("assumed"))
