@@ -254,3 +254,26 @@ def shapefile_rows(spark, sf):
     a = F.col("attributes")
     return rows.select("_path", "_row_src", a["nom"].alias("nom"), a["solde"].alias("solde"), a["actif"].alias("actif"), F.col("geom.gtype").alias("gtype"),
                        F.size(F.flatten("geom.parts")).alias("points"), geo.first_point(F.col("geom"))["x"].alias("x"), F.col("_crs_assumed").alias("assumed"))
+
+
+MARKETS = Layer("Marches", "Point", "id_marche", None, (Variable("id_marche", "Identifiant"), Variable("type_marche", "Type"), Variable("type_marchandise", "Marchandise")))
+KNOWN = """SELECT concat('/in/', CAST(o_orderkey AS STRING), '.kml') AS _path, o_orderkey AS k, CAST(o_custkey + 1 AS BIGINT) AS n_entites FROM orders"""
+
+
+@query("file_journal_rows", f"""SELECT k || '.kml' AS fichier, CASE WHEN k % 5 IN (2, 3) THEN 'Gares' WHEN k % 5 = 4 THEN 'Marches' END AS couche, CASE WHEN k % 5 = 0 THEN 0 ELSE n_entites END AS n_entites,
+ CASE k % 5 WHEN 0 THEN 'ERREUR' WHEN 1 THEN 'NON RECONNU' WHEN 2 THEN 'OK' ELSE 'OK (avertissements)' END AS statut,
+ CASE k % 5 WHEN 0 THEN 'Fichier illisible ou vide' WHEN 1 THEN 'Colonnes : c1, c2, c3, c4, c5, c6, c7, c8, c9, c10, c11, c12' WHEN 2 THEN ''
+  WHEN 3 THEN 'colonnes absentes : type_gare, quai_embarquement | CRS absent : WGS84 supposé' ELSE 'colonnes absentes : type_marche, type_marchandise | colonnes ambiguës (noms tronqués) : type_march' END AS detail FROM ({KNOWN})""")
+def file_journal_rows(spark, sf):
+    """Journal of files: unreadable, unknown, complete, with missing columns and assumed projection, and with names cut to an ambiguous length."""
+    from fieldlens.plans import run
+    k = F.col("k")
+    listed = lambda *names: F.array(*[F.lit(n) for n in names])
+    columns = F.when(k % 5 == 1, listed(*[f"c{i}" for i in range(1, 15)])).when(k % 5 == 2, listed("ID_FicheGare", "Nom de la gare", "TYPE_GARE", "Quai", "autre")) \
+        .when(k % 5 == 3, listed("id_fichegare", "nom_gare_detail")).when(k % 5 == 4, listed("id_marche", "type_march")).otherwise(listed())
+    files = derived(spark, sf, KNOWN, "orders").withColumns({
+        "columns": columns, "layer": F.when((k % 5).isin(2, 3), "Gares").when(k % 5 == 4, "Marches"), "error": F.when(k % 5 == 0, "Lecture impossible"),
+        "crs_assumed": k % 5 == 3, "_source": F.concat(k.cast("string"), F.lit(".kml"))})
+    layers = {"Gares": LAYERS[0], "Marches": MARKETS}
+    known = files.join(run.layout_table(files, layers), ["layer", "columns"], "left")
+    return run.file_journal(known)
