@@ -31,6 +31,5 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op8_quality_rules": quality_rules.SQL,
     "op11_periodic_runs": periodic_runs.SQL,
-    "op12_toxicity": lambda spark, sf: toxicity.op12(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op13_fill_middle": fill_middle.SQL,
 }
