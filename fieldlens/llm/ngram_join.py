@@ -5,8 +5,9 @@ With at most D n-grams in which two linked documents can differ, D + 1 fragments
 agree on a fragment are candidates. Their overlaps are counted fragment by fragment and summed per pair.
 
 A hash of the order stands for an n-gram; the chance that two n-grams of a comparison share one is about 2**-50 for a million n-grams.
-Documents of equal sets are one class from the start. Classes that fragment groups tie together, directly or by others, are a cluster, and only
-classes of one cluster are compared. A cluster is dealt into blocks of bounded size; a block is one row with the packed sets of its members, and all
+Documents of equal sets are one class from the start. Of the classes of a fragment group, pairs are candidates unless an exact bound rules them
+out: each n-gram flips one of 512 parity bits, so sets that differ in d n-grams differ in at most d bits. Classes that candidates tie together,
+directly or by others, are a cluster, and only classes of one cluster are compared. A cluster is dealt into blocks of bounded size; a block is one row with the packed sets of its members, and all
 pairs of blocks meet. There the overlaps of all members of two blocks are counted at once, fragment by fragment of the order as a product of two
 incidence matrices, and summed over the fragments. What leaves the task is per member the number of its links and one edge to the smallest member
 that it reaches, so rows grow with members, not with pairs, while every pair of a cluster is counted.
@@ -76,17 +77,29 @@ def _edges(percent: int, size: int) -> list[int]:
     return edges
 
 
-def fragments_of(cls: int, percent: int) -> int:
-    """Fragments for the pair of classes cls - 1 and cls: more by one than n-grams in which linked sets of these sizes can differ."""
+def differences(cls: int, percent: int) -> int:
+    """The most n-grams in which linked sets of the classes cls - 1 and cls can differ."""
     edges = _edges(percent, 1)
     while len(edges) <= cls + 1:
         _edges(percent, edges[-1])
     most = edges[cls + 1] - 1
     # Overlap is at least percent / (100 + percent) of both sizes together, so the rest of both is what can differ.
-    return int((2 * most) * (100 - percent) // (100 + percent)) + 1
+    return (2 * most) * (100 - percent) // (100 + percent)
+
+
+def fragments_of(cls: int, percent: int) -> int:
+    """Fragments for that pair of classes: more than linked sets can differ in n-grams, by one and a twentieth.
+
+    Linked sets agree on as many fragments as there are more. A set with fewer empty fragments than that agrees on one with n-grams, so it need
+    not be found by its empty ones, which sets have in common by chance."""
+    most = differences(cls, percent) + 1
+    return most + most // 20
 
 
 KEYED = "key long, node long"
+PARITY = 8
+#: Members of a fragment group up to which its pairs are looked at by their parity bits; a larger group is tied together whole.
+LOOKED = 4096
 
 
 def class_of(s: np.ndarray) -> np.int64:
@@ -96,14 +109,15 @@ def class_of(s: np.ndarray) -> np.int64:
 
 
 def _measured(n: int):
-    """Per document: its class and the size of its set."""
+    """Per document: its class, the size of its set and the parity bits."""
     def run(batches):
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
                 sets = shingle_sets(batch.column("text")[lo:hi], n)
+                odd = (np.bincount((s & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY).astype(np.uint8) & 1 for s in sets)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id")[lo:hi], pa.array([class_of(s) if len(s) else 0 for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "node", "size"])
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array([np.packbits(o).tobytes() for o in odd], pa.binary())], names=["doc_id", "node", "size", "bits"])
 
     return run
 
@@ -129,9 +143,12 @@ def _keyed(n: int, percent: int):
                             number = np.arange(parts + 1, dtype=np.uint64)
                             cut = np.searchsorted(s, np.ceil(number[:-1] * (2.0 ** 64 / parts)).astype(np.uint64)).tolist() + [len(s)]
                             cut = np.array(cut)
+                            full = np.diff(cut) > 0
+                            if parts - np.count_nonzero(full) >= parts - differences(cls, percent):
+                                full[:] = True
                             keys.append(mixed((sums[cut[1:]] - sums[cut[:-1]]) + np.diff(cut).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-                                              + mixed(number[:-1] + np.uint64(cls << 32))).view(np.int64))
-                            nodes.append(np.full(parts, node, np.int64))
+                                              + mixed(number[:-1] + np.uint64(cls << 32))).view(np.int64)[full])
+                            nodes.append(np.full(np.count_nonzero(full), node, np.int64))
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["key", "node"])
 
@@ -139,7 +156,7 @@ def _keyed(n: int, percent: int):
 
 
 def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and node, an edge from every class of a key with several to the key's smallest."""
+    """Of rows sorted by key and node: (key, class, smallest class of the key) for every other class of a key with several."""
     key, low = None, 0
     for batch in batches:
         if not batch.num_rows:
@@ -149,10 +166,45 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(new)
         lows = np.append(low, nodes[first])[np.cumsum(new)]
         other = lows != nodes
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(lows[other])], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys[other]), pa.array(nodes[other]), pa.array(lows[other])], ["key", "a", "b"])
         key, low = keys[-1], lows[-1]
 
 
+def _likely(percent: int):
+    """Of rows sorted by key, an edge from each class to the smallest that pairs within the bound lead to; others are ruled out for this key."""
+    def tied(rows: list[tuple]) -> list[tuple[int, int]]:
+        nodes = [rows[0][1]] + [r[0] for r in rows]
+        if len(nodes) > LOOKED:
+            return [(a, nodes[0]) for a in nodes[1:]]
+        size = np.array([rows[0][3]] + [r[2] for r in rows], np.int64)
+        bits = np.frombuffer(b"".join([rows[0][5]] + [r[4] for r in rows]), np.uint64).reshape(-1, PARITY)
+        near = np.zeros((len(nodes), len(nodes)), bool)
+        for i in range(len(nodes)):
+            apart = np.bitwise_count(bits ^ bits[i]).sum(1, dtype=np.int64)
+            near[i] = (apart * (100 + percent) <= (size + size[i]) * (100 - percent)) & (np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * percent)
+        label, old = np.arange(len(nodes)), None
+        while old is None or (label != old).any():
+            old = label
+            label = np.where(near, label[None, :], len(nodes)).min(1)
+        return [(nodes[i], nodes[k]) for i, k in enumerate(label.tolist()) if i != k]
+
+    def run(batches):
+        key, rows = None, []
+        for batch in batches:
+            edges = []
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "a", "b", "a_size", "b_size", "a_bits", "b_bits"))):
+                if k != key and rows:
+                    edges += tied(rows)
+                    rows = []
+                key = k
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([e[j] for e in edges], pa.int64()) for j in (0, 1)], ["a", "b"])
+        edges = tied(rows) if rows else []
+        yield pa.RecordBatch.from_arrays([pa.array([e[j] for e in edges], pa.int64()) for j in (0, 1)], ["a", "b"])
+
+    return run
+
+
 def _sets(n: int):
     """The packed set of each document."""
     def run(batches):
@@ -303,12 +355,16 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
 
     ``n_links_found`` is the number of other rows whose sets are linked to the document's own, rows of an equal set among them."""
     docs = docs.select("doc_id", "text")
-    rows = saved(docs.mapInArrow(_measured(n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size long"))
-    classes = saved(rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.count(F.lit(1)).alias("copies")))
+    rows = saved(docs.mapInArrow(_measured(n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size long, bits binary"))
+    classes = saved(rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bits").alias("bits"),
+                                                               F.count(F.lit(1)).alias("copies")))
     keyed = docs.mapInArrow(_keyed(n, percent), KEYED).repartition("key").sortWithinPartitions("key", "node")
-    ties = saved(keyed.mapInArrow(_ties, "a long, b long").distinct())
+    met = keyed.mapInArrow(_ties, "key long, a long, b long").distinct()
+    for end in ("a", "b"):
+        met = met.join(classes.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("bits").alias(f"{end}_bits")), end)
+    ties = saved(met.repartition("key").sortWithinPartitions("key", "a").mapInArrow(_likely(percent), "a long, b long").distinct())
     ends = ties.select(F.col("a").alias("node")).unionByName(ties.select(F.col("b").alias("node"))).distinct()
-    known = saved(components(ends, ties).withColumnRenamed("comp", "cluster").join(classes, "node"))
+    known = saved(components(ends, ties).withColumnRenamed("comp", "cluster").join(classes.drop("bits"), "node"))
     extent = known.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     placed = sized(known.join(extent, "cluster").select("node", "cluster", "blocks", "copies", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")))
     texts = docs.join(sized(known.select(F.col("low").alias("rep")).distinct()), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
@@ -321,7 +377,7 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
     x = blocks.select("cluster", F.col("own").alias("p"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("q"), side("x"))
     y = blocks.select("cluster", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("p"), F.col("own").alias("q"), side("y"))
     pairs = x.join(y, ["cluster", "p", "q"]).select("p", "q", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("nodes", "copies", "sizes", "grams")])
-    links = saved(one.unionByName(pairs.repartition("p", "q", "x_nodes", "y_nodes").mapInArrow(_between(percent), _FOUND)))
+    links = saved(one.unionByName(pairs.mapInArrow(_between(percent), _FOUND)))
     found = links.groupBy("node").agg(F.sum("others").alias("others"))
     links = links.select(F.col("node").alias("a"), F.col("low").alias("b"))
     nodes = known.select("node")

@@ -83,3 +83,36 @@ def test_links_are_counted_in_full(spark, monkeypatch):
     want = sorted((d, sum(bool(a) and i != j and 100 * len(a & b) >= 90 * len(a | b) for j, (_, b) in enumerate(sets))) for i, (d, a) in enumerate(sets))
     got = ngram_join.link_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), n=3, percent=90).collect()
     assert sorted((r.doc_id, r.n_links_found) for r in got) == want and max(n for _, n in want) == 23
+
+
+@pytest.mark.parametrize("n,percent", [(3, 90), (5, 80)])
+def test_linked_sets_share_a_key_and_stay_candidates(n, percent):
+    """Without empty fragments every linked pair still meets, and the bound by parity bits rules none out."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(percent)
+    texts = []
+    for size in (3, 6, 9, 14, 25, 60, 150, 400, 1000, 2500):
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(size)]
+        for _ in range(12):
+            w = list(base)
+            for _ in range(rng.randint(0, 1 + size * (100 - percent) // (220 * n) * 2)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+            texts.append(" ".join(w[:len(w) - rng.randint(0, size // 12)]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    sets = ngram_join.shingle_sets(batch.column("text"), n)
+    keys, linked = {}, 0
+    for out in ngram_join._keyed(n, percent)([batch]):
+        for k, node in zip(*(c.to_pylist() for c in out.columns)):
+            keys.setdefault(node, set()).add(k)
+    bits = [np.frombuffer(b, np.uint64) for out in ngram_join._measured(n)([batch]) for b in out.column("bits").to_pylist()]
+    for i, a in enumerate(sets):
+        for j in range(i):
+            shared = len(np.intersect1d(a, sets[j]))
+            if shared * 100 >= (len(a) + len(sets[j]) - shared) * percent:
+                x, y = (int(ngram_join.class_of(s)) for s in (a, sets[j]))
+                linked += x != y
+                assert x == y or keys[x] & keys[y]
+                assert int(np.bitwise_count(bits[i] ^ bits[j]).sum()) * (100 + percent) <= (len(a) + len(sets[j])) * (100 - percent)
+    assert linked > 50
