@@ -16,11 +16,15 @@ Step = Callable[[Column], Column]
 
 
 def compose(steps: list[Step]) -> Step:
-    """The steps as one expression, for plain columns and small uses."""
+    """The steps as one expression, for lambdas, plain columns and small uses.
+
+    Each step reads the result of the one before through the variable of a transform over a one-element array. The expression so grows by the
+    sum of its steps; put into each other as they are, steps that mention their argument four times would multiply it."""
     def apply(c: Column) -> Column:
+        one = F.array(c)
         for step in steps:
-            c = step(c)
-        return c
+            one = F.transform(one, step)
+        return F.get(one, F.lit(0))
     return apply
 
 
