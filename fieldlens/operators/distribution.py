@@ -52,6 +52,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast. Spark's estimate does not know how many rows ``explode`` makes of one or how far a file
+    is compressed, so a table that grows with the rows would pass through the driver as long as its source is small."""
+    return df.hint("merge")
+
+
 def _same(left: DataFrame, right: DataFrame, pairs) -> Column:
     condition = F.lit(True)
     for a, b in pairs:

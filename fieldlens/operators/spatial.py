@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.operators.distribution import attach, durable
+from fieldlens.operators.distribution import attach, durable, shuffled
 
 OFFSETS = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if (i, j) != (0, 0)]
 
@@ -27,7 +27,7 @@ def _around(cells: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     reach = cells.select(*keys, "_i", "_j", F.explode(steps).alias("s")) \
         .select(*keys, "_i", "_j", (F.col("_i") + F.col("s.i")).alias("_ni"), (F.col("_j") + F.col("s.j")).alias("_nj"))
     target = others.select(*keys, F.col("_i").alias("_ni"), F.col("_j").alias("_nj")).distinct()
-    return reach.join(target, [*keys, "_ni", "_nj"])
+    return reach.join(shuffled(target), [*keys, "_ni", "_nj"])
 
 
 def _close(distance: float) -> Column:
@@ -52,12 +52,12 @@ def same_object_nearby(points: DataFrame, distance: float, key: str = "_same", g
     crowded = (F.col("loose") >= 2) | ((F.col("loose") >= 1) & F.col("g0").isNotNull()) | (F.col("g0") != F.col("g1"))
     cells = cells.select(key, "_i", "_j", F.coalesce(crowded, F.lit(False)).alias("crowded"))
     pairs = _around(cells.filter("not crowded"), cells, [key])
-    near_cells = spots.join(pairs, [key, "_i", "_j"])
+    near_cells = spots.join(shuffled(pairs), [key, "_i", "_j"])
     other = spots.select(key, F.col("_i").alias("_ni"), F.col("_j").alias("_nj"), F.col("_e").alias("_oe"),
                          F.col("_n").alias("_on"), F.col("_g").alias("_og"))
-    across = near_cells.join(other, [key, "_ni", "_nj"]) \
+    across = near_cells.join(shuffled(other), [key, "_ni", "_nj"]) \
         .filter(_close(distance) & ((F.col("_g") < 0) | (F.col("_g") != F.col("_og"))))
-    inside = spots.join(cells.filter("crowded").select(key, "_i", "_j"), [key, "_i", "_j"])
+    inside = spots.join(shuffled(cells.filter("crowded").select(key, "_i", "_j")), [key, "_i", "_j"])
     spot = [key, "_e", "_n", "_g"]
     found = inside.select(*spot, "_w").unionByName(across.select(*spot, "_w")) \
         .groupBy(*spot).agg(F.max("_w").alias("_w"))
@@ -80,9 +80,9 @@ def neighbours(points: DataFrame, distance: float, order: list[str], label: str)
     pairs = _around(cells, cells, [])
     other = spots.select(F.col("_i").alias("_ni"), F.col("_j").alias("_nj"), F.col("_e").alias("_oe"),
                          F.col("_n").alias("_on"), F.col("_w").alias("ow"), F.col("lo").alias("olo"), F.col("hi").alias("ohi"))
-    across = spots.join(pairs, ["_i", "_j"]).join(other, ["_ni", "_nj"]).filter(_close(distance)) \
+    across = spots.join(shuffled(pairs), ["_i", "_j"]).join(shuffled(other), ["_ni", "_nj"]).filter(_close(distance)) \
         .groupBy("_e", "_n").agg(F.sum("ow").alias("ow"), F.min("olo").alias("olo"), F.max("ohi").alias("ohi"))
-    reach = spots.join(cells, ["_i", "_j"]).join(across, ["_e", "_n"], "left").select(
+    reach = spots.join(shuffled(cells), ["_i", "_j"]).join(shuffled(across), ["_e", "_n"], "left").select(
         "_e", "_n", "_w", (F.col("cw") + F.coalesce("ow", F.lit(0)) - 1).alias("n_near"),
         F.least("clo", "olo").alias("lo"), F.greatest("chi", "ohi").alias("hi")).filter("n_near > 0")
     marked = attach(points, reach, ["_e", "_n"], "_w", "inner")
@@ -101,12 +101,12 @@ def without_neighbour(source: DataFrame, target: DataFrame, distance: float) ->
     goals = target.select(F.col("_e").alias("_oe"), F.col("_n").alias("_on")).distinct() \
         .withColumns(cell_of(F.col("_oe"), F.col("_on"), side))
     goal_cells = goals.select("_i", "_j").distinct()
-    lone = spots.join(goal_cells, ["_i", "_j"], "left_anti")
+    lone = spots.join(shuffled(goal_cells), ["_i", "_j"], "left_anti")
     pairs = _around(lone.select("_i", "_j").distinct(), goal_cells, [])
-    near = lone.join(pairs, ["_i", "_j"]) \
-        .join(goals.select(F.col("_i").alias("_ni"), F.col("_j").alias("_nj"), "_oe", "_on"), ["_ni", "_nj"]) \
+    near = lone.join(shuffled(pairs), ["_i", "_j"]) \
+        .join(shuffled(goals.select(F.col("_i").alias("_ni"), F.col("_j").alias("_nj"), "_oe", "_on")), ["_ni", "_nj"]) \
         .filter(_close(distance)).select("_e", "_n").distinct()
-    alone = lone.join(near, ["_e", "_n"], "left_anti").select("_e", "_n", "_w")
+    alone = lone.join(shuffled(near), ["_e", "_n"], "left_anti").select("_e", "_n", "_w")
     return attach(source, alone.withColumn("_alone", F.lit(True)), ["_e", "_n"], "_w", "inner").select(*source.columns)
 
 
@@ -135,7 +135,7 @@ def _beatable(pairs: DataFrame, base: float) -> DataFrame:
                   F.greatest(F.col("y1") - low, low + base - F.col("y0")))
     measured = pairs.select("_i", "_j", "ta", "tb", gap.alias("gap"), far.alias("far"))
     limit = measured.groupBy("_i", "_j").agg(F.min("far").alias("limit"))
-    return measured.join(limit, ["_i", "_j"]).filter("gap <= limit + 0.001").select("_i", "_j", "ta", "tb")
+    return measured.join(shuffled(limit), ["_i", "_j"]).filter("gap <= limit + 0.001").select("_i", "_j", "ta", "tb")
 
 
 def nearest_distance(source: DataFrame, target: DataFrame, base: float = 1000.0, levels: int = 16) -> DataFrame:
@@ -165,7 +165,7 @@ def nearest_distance(source: DataFrame, target: DataFrame, base: float = 1000.0,
     tried = spots.select("_i", "_j").distinct().select("_i", "_j", scale).select(
         "_i", "_j", "k", _block(1).alias("s")).select(
         "_i", "_j", "k", (_shift("_i", "k") + F.col("s.i")).alias("a"), (_shift("_j", "k") + F.col("s.j")).alias("b"))
-    level = tried.join(occupied, ["k", "a", "b"], "left_semi").groupBy("_i", "_j").agg(F.min("k").alias("k"))
+    level = tried.join(shuffled(occupied), ["k", "a", "b"], "left_semi").groupBy("_i", "_j").agg(F.min("k").alias("k"))
     # a point of the centre cell reaches every point of its 3x3 block within 2*sqrt(2) cell sides, so its
     # nearest target lies in the 7x7 block of that level
     level = durable(level)
@@ -177,15 +177,15 @@ def nearest_distance(source: DataFrame, target: DataFrame, base: float = 1000.0,
         own = F.explode(F.sequence(F.lit(low), F.lit(low + STEP - 1))).alias("k")
         cells = grid[low].select("*", own).withColumns(
             {"a": F.expr(f"shiftright(ta, k - {low})"), "b": F.expr(f"shiftright(tb, k - {low})")})
-        pairs = search.filter(F.col("k").between(low, low + STEP - 1)).join(cells, ["k", "a", "b"]) \
+        pairs = search.filter(F.col("k").between(low, low + STEP - 1)).join(shuffled(cells), ["k", "a", "b"]) \
             .select("_i", "_j", "ta", "tb", "x0", "x1", "y0", "y1")
         if kept is not None:
             parents = kept.select("_i", "_j", F.col("ta").alias("pa"), F.col("tb").alias("pb"))
             children = grid[low].withColumns({"pa": _shift("ta", STEP), "pb": _shift("tb", STEP)})
-            pairs = pairs.unionByName(parents.join(children, ["pa", "pb"]).select(*pairs.columns))
+            pairs = pairs.unionByName(parents.join(shuffled(children), ["pa", "pb"]).select(*pairs.columns))
         kept = durable(_beatable(pairs, base))
-    final = spots.join(kept, ["_i", "_j"]).join(
-        goals.select(F.col("_i").alias("ta"), F.col("_j").alias("tb"), "_oe", "_on"), ["ta", "tb"])
+    final = spots.join(shuffled(kept), ["_i", "_j"]).join(
+        shuffled(goals.select(F.col("_i").alias("ta"), F.col("_j").alias("tb"), "_oe", "_on")), ["ta", "tb"])
     nearest = final.groupBy("_e", "_n").agg(
         F.min(F.hypot(F.col("_e") - F.col("_oe"), F.col("_n") - F.col("_on"))).alias("distance_m"),
         F.max("_w").alias("_w"))
