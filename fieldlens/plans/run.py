@@ -95,10 +95,14 @@ def layout_table(known: DataFrame, layers: dict[str, Layer]) -> DataFrame:
         look_up, "layer string, columns array<string>, names array<string>, keys array<string>, absent array<string>, ambiguous array<string>")
 
 
-def layer_columns(files: DataFrame) -> dict[str, list[str]]:
-    """Column names of every layer, in the order in which files bring them up; one row per column reaches the driver, which the table's schema needs."""
-    met = files.select("layer", "_path", F.posexplode(F.arrays_zip("keys", "names")).alias("at", "n")) \
-        .groupBy("layer", "n.keys").agg(F.min(F.struct("_path", "at", "n.names")).alias("first"))
+def layer_columns(files: DataFrame, only: list[str] | None = None) -> dict[str, list[str]]:
+    """Column names of every layer, in the order in which files bring them up; one row per column reaches the driver, which the table's schema needs.
+
+    With ``only`` the names of these columns, without regard to case: as many rows as are asked for, however many columns files have of their own."""
+    met = files.select("layer", "_path", F.posexplode(F.arrays_zip("keys", "names")).alias("at", "n"))
+    if only is not None:
+        met = met.filter(F.col("n.keys").isin([n.lower() for n in only]))
+    met = met.groupBy("layer", "n.keys").agg(F.min(F.struct("_path", "at", "n.names")).alias("first"))
     out: dict[str, list[str]] = {}
     for r in met.orderBy("layer", "first").select("layer", "first.names").collect():
         out.setdefault(r["layer"], []).append(r["names"])
@@ -106,7 +110,7 @@ def layer_columns(files: DataFrame) -> dict[str, list[str]]:
 
 
 def aligned_layer(features: DataFrame, columns: list[str]) -> DataFrame:
-    """Raw rows of one layer as text columns under dictionary names; ``columns`` are all names of the layer.
+    """Raw rows of one layer as text columns under dictionary names; ``columns`` are all names of the layer, or those to show.
 
     The values of a row are looked up by the names that its file's layout gives them, so any number of layouts is one pass over the rows."""
     renamed = F.map_from_arrays("keys", F.transform("columns", lambda c: F.col("attributes")[c]))
