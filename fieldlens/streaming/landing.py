@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -61,18 +62,39 @@ def _types(rows: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
 
 
+#: Keys share their state with those of the same hash; the number holds for all runs of a checkpoint, so it is no setting.
+BUCKETS = 1024
+
+
 def _counter(keys: list[str], keep_ms: int):
+    """State of a bucket: its keys with their number so far and last arrival, as an Arrow table. All keys of a bucket are counted at once."""
+    def stored(table: pd.DataFrame) -> bytes:
+        sink = pa.BufferOutputStream()
+        arrow = pa.Table.from_pandas(table, preserve_index=False)
+        with pa.ipc.new_stream(sink, arrow.schema) as out:
+            out.write_table(arrow)
+        return sink.getvalue().to_pybytes()
+
     def count(key, parts, state):
-        if state.hasTimedOut:
+        held = pa.ipc.open_stream(state.get[0]).read_all().to_pandas() if state.exists else None
+        if not state.hasTimedOut:
+            new = pd.concat([p[[*keys, "n_rows", "arrived_ms"]] for p in parts]).rename(columns={"n_rows": "n", "arrived_ms": "_last"})
+            new = new.groupby(keys, as_index=False, sort=False).agg({"n": "sum", "_last": "max"})
+            arrived = new[keys].assign(_now=True)
+            if held is not None:
+                new = pd.concat([held, new]).groupby(keys, as_index=False, sort=False).agg({"n": "sum", "_last": "max"})
+                flags = new[new["n"] > 1].merge(arrived, on=keys)
+            else:
+                flags = new[new["n"] > 1]
+            held = new
+            if len(flags):
+                yield flags[[*keys, "n"]]
+        held = held[held["_last"] + keep_ms > state.getCurrentWatermarkMs()]
+        if len(held):
+            state.update((stored(held),))
+            state.setTimeoutTimestamp(int(held["_last"].min()) + keep_ms)
+        elif state.exists:
             state.remove()
-            return
-        n, last = state.get if state.exists else (0, 0)
-        for part in parts:
-            n, last = n + int(part["n_rows"].sum()), max(last, int(part["arrived_ms"].max()))
-        state.update((n, last))
-        state.setTimeoutTimestamp(last + keep_ms)
-        if n > 1:
-            yield pd.DataFrame([(*key, n)], columns=[*keys, "n"])
 
     return count
 
@@ -81,16 +103,17 @@ def flag_copies(rows: DataFrame, keys: list[str], target: str, checkpoint: str,
     """Write to ``target`` the keys that arrived more than once, with their number so far, each time they arrive again.
 
     The numbers are keyed state, so a batch reads its own rows and the state of its own keys, however many batches came before. With ``keep`` a
-    timer forgets a key that has not arrived for that long; that state is a Python function per key, without it the state is a plain streaming
-    aggregate. Rows with a null key are no copies of anything. Every batch writes under its own number, so a repeated batch overwrites itself.
+    timer forgets a key that has not arrived for that long; that state is held for ``BUCKETS`` groups of keys, so that Python is called for groups
+    and not for every key, and a batch reads the groups of its keys. Without it the state is a plain streaming aggregate. Rows with a null key are no copies of anything. Every batch writes under its own number, so a repeated batch overwrites itself.
     State beyond memory needs the RocksDB provider, ``spark.sql.streaming.stateStore.providerClass``."""
     if keep is None:
         flags = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
     else:
         # The clock of the timers is the time of arrival, so that no row is ever late.
         timed = counts_per_task(rows, keys).withColumn("arrived", F.current_timestamp()).withColumn("arrived_ms", F.unix_millis("arrived"))
-        flags = timed.withWatermark("arrived", "0 seconds").groupBy(*keys).applyInPandasWithState(
-            _counter(keys, int(keep.total_seconds() * 1000)), f"{_types(rows, keys)}, n long", "n long, last long", "update",
+        timed = timed.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)))
+        flags = timed.withWatermark("arrived", "0 seconds").groupBy("_bucket").applyInPandasWithState(
+            _counter(keys, int(keep.total_seconds() * 1000)), f"{_types(rows, keys)}, n long", "counts binary", "update",
             GroupStateTimeout.EventTimeTimeout)
 
     def write(batch: DataFrame, number: int) -> None:
