@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def dealt_out(rows: DataFrame) -> DataFrame:
+    """Rows in as many partitions as shuffles have. A file of one row group, a million rows, is read by one task, and all work on its rows up to the
+    next shuffle would stay in it."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def derived(spark: SparkSession, sf: str, sql: str, *tables: str) -> DataFrame:
     """Rows of a shared derivation over the given tables."""
     return spark.sql(sql, **{t: table(spark, sf, t) for t in tables}) if "{" in sql else _with_views(spark, sf, sql, tables)
