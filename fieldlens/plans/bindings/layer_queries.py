@@ -12,7 +12,7 @@ from fieldlens.functions.steps import spread
 from fieldlens.operators import align, checks, duplicates, report
 from fieldlens.operators.checks import Settings
 from fieldlens.operators.distribution import attach
-from fieldlens.plans.bindings.registry import (SURVEY, derived, query, sql_clean, sql_number, sql_utm, sql_value_key)
+from fieldlens.plans.bindings.registry import (SURVEY, dealt_out, derived, query, sql_clean, sql_number, sql_utm, sql_value_key)
 from fieldlens.plans.layer_qa import LayerCheck, check_layer, ordered_issues
 from fieldlens.sources.dictionary import Layer, Variable
 
@@ -29,7 +29,7 @@ SETTINGS = Settings(run_date=date(2024, 6, 1), start_date=date(2024, 1, 15))
 
 
 def survey(spark: SparkSession, sf: str) -> DataFrame:
-    rows = derived(spark, sf, SURVEY, "customer")
+    rows = dealt_out(derived(spark, sf, SURVEY, "customer"))
     return rows.withColumn("geom", geo.point(F.col("x"), F.col("y"))).drop("x", "y", "k")
 
 
