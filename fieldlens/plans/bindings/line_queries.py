@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import geo
 from fieldlens.operators import repair
 from fieldlens.plans import layer_qa_second as second
-from fieldlens.plans.bindings.registry import derived, query
+from fieldlens.plans.bindings.registry import dealt_out, derived, query
 from fieldlens.sources.dictionary import Layer, Variable
 
 SERVICES = ("Eau potable", "Électricité", "Latrines", "Aucun service")
@@ -45,7 +45,7 @@ _ISSUES = f"""SELECT _rid, 'geometry' AS field, 'GEOM_NULL' AS rule, 'ERROR' AS
 @query("second_pack_lines", _ISSUES)
 def second_pack_lines(spark, sf):
     """All issues of a line layer but gaps; rules whose columns are missing are told once each."""
-    out = second.check_layer_second(shaped(derived(spark, sf, LINES, "customer")), ROADS)
+    out = second.check_layer_second(shaped(dealt_out(derived(spark, sf, LINES, "customer"))), ROADS)
     return out.filter("rule <> 'ID_GAP'").select("_rid", "field", "rule", "severity")
 
 
@@ -70,7 +70,7 @@ _PARTS = f"""SELECT _rid, unnest(range(CASE WHEN g = 1 THEN 2 ELSE 1 END)) AS pa
  CASE WHEN g = 6 THEN 3 WHEN g = 0 THEN 1 ELSE 2 END AS points FROM ({_PARTS})""")
 def repaired_lines(spark, sf):
     """Lines merged, split and renumbered; the second part of a row gets a new identifier."""
-    done = repair.repair_layers({ROADS.name: shaped(derived(spark, sf, LINES, "customer"))}, {ROADS.name: ROADS})[ROADS.name].rows
+    done = repair.repair_layers({ROADS.name: shaped(dealt_out(derived(spark, sf, LINES, "customer")))}, {ROADS.name: ROADS})[ROADS.name].rows
     return done.select("_rid", "id_orig", F.when(F.col("id_troncon") == F.col("id_orig"), F.col("id_troncon")).alias("kept_id"), F.col("geom.gtype").alias("gtype"),
                        "type_surface", "services", F.size(F.flatten("geom.parts")).alias("points"))
 
@@ -79,7 +79,7 @@ def repaired_lines(spark, sf):
  UNION ALL SELECT 'valeurs_normalisees', count(*) FILTER (type_surface = 'bitume') + count(*) FILTER (_rid % 6 IN (2, 3)) FROM ({_PARTS}) UNION ALL SELECT 'identifiants_changes', count(*) FROM ({_PARTS}) WHERE part = 1
  UNION ALL SELECT 'renumerotations', count(*) FROM ({_PARTS}) WHERE part = 1 UNION ALL SELECT 'doublons_stricts', 0 UNION ALL SELECT 'conservees', count(*) FROM ({_PARTS}))""")
 def repair_counts(spark, sf):
-    return repair.repair_layers({ROADS.name: shaped(derived(spark, sf, LINES, "customer"))}, {ROADS.name: ROADS})[ROADS.name].counts
+    return repair.repair_layers({ROADS.name: shaped(dealt_out(derived(spark, sf, LINES, "customer")))}, {ROADS.name: ROADS})[ROADS.name].counts
 
 
 # A triangle, a square with a bow tie, or an L of three squares, at a place given by the customer.
