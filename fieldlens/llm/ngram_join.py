@@ -6,7 +6,8 @@ agree on a fragment are candidates. Their overlaps are counted fragment by fragm
 
 A hash of the order stands for an n-gram; the chance that two n-grams of a comparison share one is about 2**-50 for a million n-grams.
 Documents of equal sets are one class from the start. Of the classes of a fragment group, pairs are candidates unless an exact bound rules them
-out: each n-gram flips one of 512 parity bits, so sets that differ in d n-grams differ in at most d bits. Classes that candidates tie together,
+out: each n-gram flips one of 512 parity bits, of as many as n-grams in larger sets, so sets that differ in d n-grams differ in at most d bits.
+Classes that candidates tie together,
 directly or by others, are a cluster, and only classes of one cluster are compared. A cluster is dealt into blocks of bounded size; a block is one row with the packed sets of its members, and all
 pairs of blocks meet. There the overlaps of all members of two blocks are counted at once, fragment by fragment of the order as a product of two
 incidence matrices, and summed over the fragments. What leaves the task is per member the number of its links and one edge to the smallest member
@@ -88,12 +89,12 @@ def differences(cls: int, percent: int) -> int:
 
 
 def fragments_of(cls: int, percent: int) -> int:
-    """Fragments for that pair of classes: more than linked sets can differ in n-grams, by one and a twentieth.
+    """Fragments for that pair of classes: more than linked sets can differ in n-grams, by one and a quarter.
 
-    Linked sets agree on as many fragments as there are more. A set with fewer empty fragments than that agrees on one with n-grams, so it need
-    not be found by its empty ones, which sets have in common by chance."""
+    Linked sets agree on as many fragments as there are more. In any order of all fragments, as many less one can be left out at the low end of
+    both sets, and the highest on which they agree stays. Those of the fewest n-grams are low, which sets have in common by chance."""
     most = differences(cls, percent) + 1
-    return most + most // 20
+    return most + most // 4
 
 
 KEYED = "key long, node long"
@@ -108,16 +109,35 @@ def class_of(s: np.ndarray) -> np.int64:
         return mixed(np.array([np.add.reduce(mixed(s + np.uint64(1)), dtype=np.uint64) + np.uint64(len(s))])).view(np.int64)[0]
 
 
+def parity(s: np.ndarray, width: int) -> bytes:
+    """Of each of ``width`` residues, a power of two, whether an odd number of n-grams has it."""
+    return np.packbits(np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1).tobytes()
+
+
+def width_of(size: int) -> int:
+    """Parity bits for a set: at least its n-grams, as bits fewer than two sets' differences say little about them."""
+    return max(64 * PARITY, 1 << (size - 1).bit_length())
+
+
+def folded(bits: bytes, width: int) -> np.ndarray:
+    """Parity bits of fewer residues: those that become equal are added."""
+    out = np.frombuffer(bits, np.uint64)
+    while 64 * len(out) > width:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out
+
+
 def _measured(n: int):
-    """Per document: its class, the size of its set and the parity bits."""
+    """Per document: its class, the size of its set and the parity bits; for a set of more n-grams than those also bits in its own width."""
     def run(batches):
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
                 sets = shingle_sets(batch.column("text")[lo:hi], n)
-                odd = (np.bincount((s & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY).astype(np.uint8) & 1 for s in sets)
+                wide = [parity(s, width_of(len(s))) if len(s) > 64 * PARITY else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id")[lo:hi], pa.array([class_of(s) if len(s) else 0 for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()), pa.array([np.packbits(o).tobytes() for o in odd], pa.binary())], names=["doc_id", "node", "size", "bits"])
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array([parity(s, 64 * PARITY) for s in sets], pa.binary()), pa.array(wide, pa.binary())],
+                    names=["doc_id", "node", "size", "bits", "wide"])
 
     return run
 
@@ -142,13 +162,14 @@ def _keyed(n: int, percent: int):
                             parts = fragments_of(cls, percent)
                             number = np.arange(parts + 1, dtype=np.uint64)
                             cut = np.searchsorted(s, np.ceil(number[:-1] * (2.0 ** 64 / parts)).astype(np.uint64)).tolist() + [len(s)]
-                            cut = np.array(cut)
-                            full = np.diff(cut) > 0
-                            if parts - np.count_nonzero(full) >= parts - differences(cls, percent):
-                                full[:] = True
-                            keys.append(mixed((sums[cut[1:]] - sums[cut[:-1]]) + np.diff(cut).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-                                              + mixed(number[:-1] + np.uint64(cls << 32))).view(np.int64)[full])
-                            nodes.append(np.full(np.count_nonzero(full), node, np.int64))
+                            grams = np.diff(cut)
+                            key = mixed((sums[cut[1:]] - sums[cut[:-1]]) + grams.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+                                        + mixed(number[:-1] + np.uint64(cls << 32))).view(np.int64)
+                            kept = differences(cls, percent) + 1
+                            if kept < parts:
+                                key = key[np.lexsort((key, grams))[parts - kept:]]
+                            keys.append(key)
+                            nodes.append(np.full(len(key), node, np.int64))
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["key", "node"])
 
@@ -177,7 +198,10 @@ def _likely(percent: int):
         if len(nodes) > LOOKED:
             return [(a, nodes[0]) for a in nodes[1:]]
         size = np.array([rows[0][3]] + [r[2] for r in rows], np.int64)
-        bits = np.frombuffer(b"".join([rows[0][5]] + [r[4] for r in rows]), np.uint64).reshape(-1, PARITY)
+        # Sizes of a key are of two neighbouring classes, so the narrowest bits suit all.
+        own = [rows[0][7] or rows[0][5]] + [r[6] or r[4] for r in rows]
+        width = 8 * min(map(len, own))
+        bits = np.array([folded(b, width) for b in own])
         near = np.zeros((len(nodes), len(nodes)), bool)
         for i in range(len(nodes)):
             apart = np.bitwise_count(bits ^ bits[i]).sum(1, dtype=np.int64)
@@ -192,7 +216,7 @@ def _likely(percent: int):
         key, rows = None, []
         for batch in batches:
             edges = []
-            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "a", "b", "a_size", "b_size", "a_bits", "b_bits"))):
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "a", "b", "a_size", "b_size", "a_bits", "b_bits", "a_wide", "b_wide"))):
                 if k != key and rows:
                     edges += tied(rows)
                     rows = []
@@ -355,16 +379,16 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
 
     ``n_links_found`` is the number of other rows whose sets are linked to the document's own, rows of an equal set among them."""
     docs = docs.select("doc_id", "text")
-    rows = saved(docs.mapInArrow(_measured(n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size long, bits binary"))
+    rows = saved(docs.mapInArrow(_measured(n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, size long, bits binary, wide binary"))
     classes = saved(rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bits").alias("bits"),
-                                                               F.count(F.lit(1)).alias("copies")))
+                                                               F.first("wide").alias("wide"), F.count(F.lit(1)).alias("copies")))
     keyed = docs.mapInArrow(_keyed(n, percent), KEYED).repartition("key").sortWithinPartitions("key", "node")
     met = keyed.mapInArrow(_ties, "key long, a long, b long").distinct()
     for end in ("a", "b"):
-        met = met.join(classes.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("bits").alias(f"{end}_bits")), end)
+        met = met.join(classes.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in ("size", "bits", "wide")]), end)
     ties = saved(met.repartition("key").sortWithinPartitions("key", "a").mapInArrow(_likely(percent), "a long, b long").distinct())
     ends = ties.select(F.col("a").alias("node")).unionByName(ties.select(F.col("b").alias("node"))).distinct()
-    known = saved(components(ends, ties).withColumnRenamed("comp", "cluster").join(classes.drop("bits"), "node"))
+    known = saved(components(ends, ties).withColumnRenamed("comp", "cluster").join(classes.drop("bits", "wide"), "node"))
     extent = known.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     placed = sized(known.join(extent, "cluster").select("node", "cluster", "blocks", "copies", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")))
     texts = docs.join(sized(known.select(F.col("low").alias("rep")).distinct()), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
@@ -387,7 +411,7 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
     alone = classes.select("node", "low", "copies").join(state, "node", "left").select(
         "node", F.coalesce("component_id", "low").alias("component_id"),
         (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links_found"))
-    out = rows.join(alone, "node", "left")
+    out = rows.drop("bits", "wide").join(alone, "node", "left")
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
                       .alias("component_id"), F.coalesce("n_links_found", F.lit(0)).cast("long").alias("n_links_found"))
 

@@ -116,3 +116,24 @@ def test_linked_sets_share_a_key_and_stay_candidates(n, percent):
                 assert x == y or keys[x] & keys[y]
                 assert int(np.bitwise_count(bits[i] ^ bits[j]).sum()) * (100 + percent) <= (len(a) + len(sets[j])) * (100 - percent)
     assert linked > 50
+
+
+def test_large_sets_with_common_phrases_are_no_candidates():
+    """Texts that share phrases but little else: few keys in common, and parity bits in their own width rule them out where they meet."""
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    phrases = [" ".join(f"p{rng.randrange(10 ** 6)}" for _ in range(9)) for _ in range(20)]
+    texts = [" ".join(phrases + [f"w{rng.randrange(10 ** 6)}" for _ in range(size)]) for size in (1800, 1900, 2000, 2100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    measured = [r for out in ngram_join._measured(5)([batch]) for r in out.to_pylist()]
+    keys = {}
+    for out in ngram_join._keyed(5, 80)([batch]):
+        for k, node in zip(*(c.to_pylist() for c in out.columns)):
+            keys.setdefault(node, set()).add(k)
+    own = [ngram_join.size_class(r["size"], 80) for r in measured]
+    assert [len(keys[r["node"]]) for r in measured] == [sum(ngram_join.differences(c, 80) + 1 for c in (k, k + 1)) for k in own]
+    columns = [c for c in measured[0] if c not in ("doc_id", "node")]
+    met = pa.RecordBatch.from_pylist([{"key": 1, "a": r["node"], "b": measured[0]["node"]} | {f"{e}_{c}": x[c] for e, x in (("a", r), ("b", measured[0])) for c in columns}
+                                      for r in measured[1:]])
+    assert sum(out.num_rows for out in ngram_join._likely(80)([met])) == 0
