@@ -55,3 +55,17 @@ def test_removed_bytes(spark, length):
 
 def test_empty(spark):
     assert suffix_groups.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_tasks_look_at_little_text_together(spark, monkeypatch):
+    """The arrays of a task grow with the bytes looked at together, whatever a batch holds."""
+    import pyarrow as pa
+
+    seen, anchors = [], suffix_groups.Anchors
+    monkeypatch.setattr(suffix_groups, "Anchors", lambda column, length: seen.append(column.nbytes) or anchors(column, length))
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("abcdefgh ", k=100_000)) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts)], ["h", "text"])
+    for task in (suffix_groups._counted, suffix_groups._anchored):
+        assert sum(out.num_rows for out in task(400)([batch]))
+    assert max(seen) < 1_200_000 and len(seen) >= 8
