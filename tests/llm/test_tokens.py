@@ -109,3 +109,23 @@ def test_groups_stay_bounded(spark, length, each):
         bins.setdefault(r.sequence_id, []).append(r.offset)
     assert sorted(r.uid for r in rows) == list(range(1500)) and max(groups.values()) < 200
     assert all(sorted(o) == [length * k for k in range(len(o))] and len(o) <= each for o in bins.values()) and len(bins) <= 1500 / each + 24
+
+
+def test_texts_are_encoded_together():
+    """Each distinct pre-token of a call goes to the library once, whatever texts and words it stands in."""
+    import pyarrow as pa
+
+    from fieldlens.llm.tokens import WordEncoder
+    name = "byte_bpe_50k.json"
+    enc, asked = WordEncoder(name), []
+    tokenize = enc.tokenize
+    enc.tokenize = lambda s: asked.append(s) or tokenize(s)
+    texts = [*ODD, *(f"The erst{k} ing, of\nthe {'erst ' * (k % 3)}end." for k in range(200)), "Straße ÷ übermäßig naïve’s", "tail\x85", "a\x0bb  c", "don't\tgo 12 345"]
+    got, n = enc.listed(pa.array(["skipped", *texts]).slice(1))
+    want = [ids(name, t) for t in texts]
+    assert n.tolist() == [len(w) for w in want] and got.tolist() == [i for w in want for i in w]
+    asked.clear()
+    enc.parts.clear()
+    enc.parts.old = {}
+    enc.listed(pa.array([f"word end{k % 7}, word" for k in range(500)]))
+    assert len(asked) == len(set(asked)) < 15
