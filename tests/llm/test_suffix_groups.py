@@ -69,3 +69,25 @@ def test_tasks_look_at_little_text_together(spark, monkeypatch):
     for task in (suffix_groups._counted, suffix_groups._anchored):
         assert sum(out.num_rows for out in task(400)([batch]))
     assert max(seen) < 1_200_000 and len(seen) >= 8
+
+
+def test_spans_are_joined_together():
+    import pyarrow as pa
+    lists = [[{"a": 5, "b": 9}, {"a": 0, "b": 5}, {"a": 2, "b": 3}, {"a": 11, "b": 12}], [{"a": 0, "b": 1}], [{"a": 3, "b": 30}, {"a": 4, "b": 6}, {"a": 31, "b": 40}]]
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    whole = pa.RecordBatch.from_arrays([pa.array([9, 7, 8, 6]), pa.array([[{"a": 1, "b": 2}], *lists], kind)], names=["h", "spans"])
+    batch = whole.slice(1)  # a slice keeps the lists of the rows before it
+    row, a, b = suffix_groups.joined(*suffix_groups._listed(batch.column("spans")))
+    assert list(zip(row.tolist(), a.tolist(), b.tolist())) == [(0, 0, 9), (0, 11, 12), (1, 0, 1), (2, 3, 30), (2, 31, 40)]
+    out = next(suffix_groups._merged([batch])).to_pydict()
+    assert out == {"h": [7, 8, 6], "spans": [[{"a": 0, "b": 9}, {"a": 11, "b": 12}], [{"a": 0, "b": 1}], [{"a": 3, "b": 30}, {"a": 31, "b": 40}]]}
+
+
+def test_anchors_are_told_once(spark, monkeypatch):
+    """The hashes of windows are written, not made again by each job that reads them."""
+    stored, names = suffix_groups.stored, []
+    monkeypatch.setattr(suffix_groups, "stored", lambda df, name: names.append(name) or stored(df, name))
+    text = "".join(chr(97 + i * i % 23) for i in range(900))
+    df = spark.createDataFrame([(1, text), (2, "x" + text[100:800] + "y")], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in suffix_groups.remove_repeats(df).collect()}
+    assert names[0] == "tests" and got[2] >= 700
