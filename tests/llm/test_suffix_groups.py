@@ -91,3 +91,22 @@ def test_anchors_are_told_once(spark, monkeypatch):
     df = spark.createDataFrame([(1, text), (2, "x" + text[100:800] + "y")], "doc_id long, text string")
     got = {r.doc_id: r.n_removed for r in suffix_groups.remove_repeats(df).collect()}
     assert names[0] == "tests" and got[2] >= 700
+
+
+def test_anchors_found_once_stay_out_of_the_string(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 300, 9000]))) for _ in range(30)]
+    texts += [texts[k][100:2000] + texts[k + 1] for k in range(6)] + ["ab" * 700]
+    sort, sizes = suffix_groups.grouped_suffixes, []
+    monkeypatch.setattr(suffix_groups, "grouped_suffixes", lambda s: sizes.append(len(s)) or sort(s))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    got = Counter()
+    for out in suffix_groups._counted(400)([batch]):
+        for k, n in zip(out.column("key").to_pylist(), out.column("n").to_pylist()):
+            assert k not in got
+            got[k] = n
+    a = suffix_groups.Anchors(pa.array(texts), 400)
+    assert got == Counter(a.prints().view(np.int64).tolist()) and max(got.values()) > 1
+    assert sizes[0] < 0.8 * len(a.anchor)
