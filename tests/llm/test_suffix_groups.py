@@ -110,3 +110,29 @@ def test_anchors_found_once_stay_out_of_the_string(monkeypatch):
     a = suffix_groups.Anchors(pa.array(texts), 400)
     assert got == Counter(a.prints().view(np.int64).tolist()) and max(got.values()) > 1
     assert sizes[0] < 0.8 * len(a.anchor)
+
+
+def test_hashes_of_all_grams_come_from_slices(monkeypatch):
+    """Every place of a text has a gram, so these are not gathered place by place; anchors are those of plain search."""
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(5)
+    texts = [None, "".join(rng.choice("abcdé ") for _ in range(2500)), "", "ab" * 300, "x" * 119, "".join(rng.choice("abc") for _ in range(120)), ""]
+    gathered, call = [], suffix_groups.Prefix.__call__
+    monkeypatch.setattr(suffix_groups.Prefix, "__call__", lambda self, start, end: gathered.append(len(start)) or call(self, start, end))
+    length, gram = 120, 30
+    a = suffix_groups.Anchors(pa.array(texts), length)
+    assert not gathered
+    start = np.arange(len(a.raw) - gram + 1)
+    hashes = call(a.hash, start, start + gram)
+    assert np.array_equal(a.hash.windows(gram), hashes) and np.array_equal(a.hash.windows(gram, 7), hashes)
+    assert len(a.hash.windows(len(a.raw) + 1)) == 0
+    want = []
+    for row in range(len(texts)):
+        for w in range(a.at[row], a.at[row + 1] - length + 1):
+            best = min(range(w, w + length - gram + 1), key=lambda i: (int(hashes[i]) >> 31, -i))
+            if want and want[-1][0] == best:
+                want[-1][2] = w
+            else:
+                want.append([best, w, w, row])
+    assert [list(x) for x in zip(a.anchor.tolist(), a.low.tolist(), a.high.tolist(), a.row.tolist())] == want
