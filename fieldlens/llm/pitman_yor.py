@@ -1,13 +1,16 @@
 """A hierarchical Pitman-Yor language model over words, with Chinese-restaurant seating sampled by Gibbs.
 
-Restaurants of the first level are the contexts of a word: classes of the ends of the word before it. They share one parent, the restaurant of
-all words, whose base is a model of the word's bytes: restaurants of a byte's three predecessors (the farther two hashed), whose parents are
-those of one predecessor, whose parent has none. Sampling goes dish by dish: the customers of a dish are seated anew given the probability
-that the parent has for it, and a dish's tables are its customers in the parent. Seating is exact for the first twenty customers and goes
-in blocks of a tenth of those seated beyond. Predictive probabilities are averages over the samples.
-
-Counts cover all training documents and are Spark aggregates by word. What the driver holds has fixed bounds: ``CONTEXTS`` totals per sample,
-the byte model's cells, and at most ``FREQUENT`` words that are scored where they are read; all others meet the model in a join by word.
+Every word before another is a restaurant, as is the start of a text. They share one parent, the restaurant of all words, whose base is a model
+of the word's bytes: restaurants of a byte's three predecessors (the farther two hashed), whose parents are those of one predecessor, whose parent
+has none. Several chains are sampled at once. In a sweep the customers of each dish in each restaurant are seated anew, given the restaurant's
+tables and the parent's probability of the dish after the sweep before; a dish's tables are its customers in the parent, where they are seated
+likewise. A dish with one customer has one table. Seating is exact for the first twenty customers and goes in blocks of a tenth of those seated
+beyond. Predictive probabilities are averages over the last states of the chains.
+
+Counts cover all training documents and are Spark aggregates by word and by pair of words, told by 64-bit hashes of the words. A pair that is there
+once and in no other document follows from its words, so only other pairs are kept. Figures of at most ``FREQUENT`` words are broadcast, those of
+others are joined, so that no frequent word is a hot key; at most ``FREQUENT`` pairs are scored where they are read, all others meet the model in a
+join by pair. The driver holds these, the byte model's cells and sums per chain.
 
 A null text is empty: one end token. A null id hashes as the empty text. Repeated rows count and are scored each. Other columns are not read.
 An empty table gives no rows. Without training documents every word is unknown.
@@ -20,40 +23,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import Prefix, mixed, pieces, saved, words
+from fieldlens.llm.common import Prefix, mixed, pieces, stored, words
 
-CONTEXTS = 64
-START = CONTEXTS - 1
-FREQUENT = 30_000
+FREQUENT = 300_000
 SAMPLES = 3
+SWEEPS = 2
 END = b"\n"
+START = b" "
 STRENGTH = 1.0
 DISCOUNT = {"context": 0.8, "word": 0.6, "bytes": 0.5}
 STOP = 256
 FAR = 16
 CELLS = (257 * FAR, 257)
+CHAINS = range(SAMPLES)
 
 
-def context_of(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Classes of words by their last two bytes."""
-    if not len(s):
-        return np.zeros(0, np.int64)
-    last = raw[e - 1].astype(np.uint64)
-    before = np.where(e - s > 1, raw[np.maximum(e - 2, 0)], 0).astype(np.uint64)
-    return (mixed(last << np.uint64(8) | before) % np.uint64(START)).astype(np.int64)
+def id_of(word: bytes) -> np.uint64:
+    """The number that stands for a word."""
+    return Prefix(np.frombuffer(word, np.uint8))(np.array([0]), np.array([len(word)]))[0]
+
+
+class Tokens:
+    """Of all tokens of some texts: their ids, those of the tokens before them, their rows; and the words' bytes, spans and places."""
+
+    def __init__(self, column: pa.Array):
+        self.raw, self.s, self.e, first = words(column)
+        rows = np.arange(len(first) - 1)
+        self.n = np.diff(first) + 1
+        self.row = np.repeat(rows, self.n)
+        self.place = np.arange(len(self.s)) + np.repeat(rows, self.n - 1)
+        self.id = np.full(len(self.row), id_of(END))
+        if len(self.s):
+            self.id[self.place] = Prefix(self.raw)(self.s, self.e)
+        self.before = np.empty_like(self.id)
+        self.before[1:] = self.id[:-1]
+        self.before[first[:-1] + rows] = id_of(START)
+
 
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(before * np.uint64(0x9E3779B97F4A7C15) + word)
 
-def read_tokens(column: pa.Array):
-    """Bytes, starts, ends, contexts, rows of all word tokens; then per row the context of its end token and the number of words."""
-    raw, s, e, first = words(column)
-    own = context_of(raw, s, e)
-    n = np.diff(first)
-    context = np.empty(len(s), np.int64)
-    context[1:] = own[:-1]
-    context[first[:-1][n > 0]] = START
-    closing = np.full(len(n), START, np.int64)
-    closing[n > 0] = own[first[1:][n > 0] - 1]
-    return raw, s, e, context, np.repeat(np.arange(len(n)), n), closing, n
+
+def signed(ids: np.ndarray) -> pa.Array:
+    return pa.array(ids.view(np.int64))
 
 
 def gathered(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.Array:
@@ -64,16 +76,26 @@ def gathered(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(s), [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(flat.tobytes())]).cast(pa.binary())
 
 
-def _count(batches):
+def _words(batches):
+    for batch in batches:
+        for lo, hi in pieces(batch, "text", 2 << 20):
+            t = Tokens(batch.column("text")[lo:hi])
+            _, at, n = np.unique(t.id[t.place], return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([gathered(t.raw, t.s[at], t.e[at]), pa.array(n, pa.int64())], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([END, START], pa.binary()), pa.array([hi - lo, hi - lo], pa.int64())], names=["word", "n"])
+
+
+def _pairs(batches):
+    """Pairs of tokens of a piece with their number; 0 for those of held-out texts."""
     for batch in batches:
         for lo, hi in pieces(batch, "text", 2 << 20):
-            raw, s, e, context, _, closing, _ = read_tokens(batch.column("text")[lo:hi])
-            key = Prefix(raw)(s, e) * np.uint64(CONTEXTS) + context.astype(np.uint64) if len(s) else np.zeros(0, np.uint64)
-            _, at, n = np.unique(key, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([gathered(raw, s[at], e[at]), pa.array(context[at], pa.int32()), pa.array(n, pa.int64())], names=["word", "context", "n"])
-            ends = np.bincount(closing, minlength=CONTEXTS)
-            k = np.flatnonzero(ends)
-            yield pa.RecordBatch.from_arrays([pa.array([END] * len(k), pa.binary()), pa.array(k, pa.int32()), pa.array(ends[k], pa.int64())], names=["word", "context", "n"])
+            t = Tokens(batch.column("text")[lo:hi])
+            held = batch.column("held")[lo:hi].to_numpy(zero_copy_only=False)[t.row]
+            _, at, n = np.unique(pair_keys(t.before, t.id) << np.uint64(1) | held, return_index=True, return_counts=True)
+            # Rows of one context together take less in a shuffle.
+            order = np.argsort(t.before[at])
+            at, n = at[order], n[order]
+            yield pa.RecordBatch.from_arrays([signed(t.before[at]), signed(t.id[at]), pa.array(np.where(held[at], 0, n))], names=["u", "w", "n"])
 
 
 def seated(n: np.ndarray, mass: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -153,133 +175,201 @@ def byte_model(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def spelled(raw: np.ndarray, s: np.ndarray, e: np.ndarray, model: np.ndarray) -> np.ndarray:
     """Probability of each word under the byte model."""
+    return 10.0 ** spelled_log(raw, s, e, model)
+
+
+def spelled_log(raw: np.ndarray, s: np.ndarray, e: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """The same as log10, which long words do not take to zero."""
     if not len(s):
         return np.zeros(0)
     word, room, dish = byte_cells(raw, s, e)
-    return 10.0 ** np.bincount(word, model[room, dish], minlength=len(s))
-
+    return np.bincount(word, model[room, dish], minlength=len(s))
 
-class Seating:
-    """Gibbs samples of the seating of some words (all contexts of each), given totals over all words."""
 
-    def __init__(self, batch, model: np.ndarray, totals: dict):
-        raw, s, e = _spans(batch.column("word"))
-        lists = batch.column("seen")
-        at = lists.offsets.to_numpy()
-        flat = lists.values.slice(at[0], at[-1] - at[0])
-        self.word = np.repeat(np.arange(len(s)), np.diff(at))
-        self.context = flat.field("context").to_numpy(zero_copy_only=False).astype(np.int64)
-        self.n = flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
-        self.base, self.totals, self.size = spelled(raw, s, e, model), totals, len(s)
-        self.seed = int(np.add.reduce(Prefix(raw)(s, e), dtype=np.uint64)) if len(s) else 0
-
-    def samples(self):
-        """(tables per context and word, customers of the words in the parent, their tables, probability of the words) per sample."""
-        rng, t, d1, d0 = np.random.default_rng(self.seed), self.totals, DISCOUNT["context"], DISCOUNT["word"]
-        customers = np.bincount(self.word, minlength=self.size).astype(np.float64)
-        tables = np.minimum(customers, 1)
-        for sweep in range(SAMPLES + 1):
-            p = (customers - d0 * tables + (STRENGTH + d0 * t["tables"]) * self.base) / (STRENGTH + t["customers"])
-            seats = seated(self.n, (STRENGTH + d1 * t["by_context"][self.context]) * p[self.word], d1, rng)
-            customers = np.bincount(self.word, seats, minlength=self.size)
-            tables = seated(customers, (STRENGTH + d0 * t["tables"]) * self.base, d0, rng)
-            if sweep:
-                yield seats, customers, tables
-
-
-def _totals(model, start: dict):
+def _based(model):
+    """Words' ids, counts, customers and base probabilities; the start of a text is no dish."""
     def run(batches):
-        own = np.zeros((SAMPLES, CONTEXTS + 1))
         for batch in batches:
-            for k, (seats, customers, tables) in enumerate((x := Seating(batch, model.value, start)).samples()):
-                own[k, :CONTEXTS] += np.bincount(x.context, seats, minlength=CONTEXTS)
-                own[k, CONTEXTS] += tables.sum()
-        k, c = np.nonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(c, pa.int32()), pa.array(own[k, c])], names=["sample", "slot", "n"])
+            raw, s, e = _spans(batch.column("word"))
+            ids = Prefix(raw)(s, e) if len(s) else np.zeros(0, np.uint64)
+            dish, c = ids != id_of(START), batch.column("c").to_numpy()
+            yield pa.RecordBatch.from_arrays([signed(ids), pa.array(c), pa.array(c * dish), pa.array(spelled(raw, s, e, model.value) * dish)], names=["id", "c", "dish", "base"])
 
     return run
 
 
-def backoff(of: list[dict], sizes: np.ndarray) -> np.ndarray:
-    """Weight of the parent per sample and context."""
-    return np.array([(STRENGTH + DISCOUNT["context"] * t["by_context"]) / (STRENGTH + sizes) for t in of])
+def chains(name: str) -> list[str]:
+    return [f"{name}{k}" for k in CHAINS]
+
+
+def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(x).to_numpy(zero_copy_only=False) for x in names]
+
+
+def _rng(batch: pa.RecordBatch, *names: str) -> np.random.Generator:
+    return np.random.default_rng(int(sum(np.add.reduce(x.view(np.uint64), dtype=np.uint64) >> np.uint64(1) for x in _numbers(batch, *names))))
+
+
+SEATED = "u long, w long, n long, " + ", ".join(f"t{k} int" for k in CHAINS)
 
 
-def _predict(model, start: dict, of: list[dict], sizes: np.ndarray):
-    """Per word: its probability in the parent per sample, and the averaged probabilities in the contexts where it was seen."""
+def _seat(batches):
+    """Tables of the dishes of contexts, per chain."""
+    for batch in batches:
+        rng, n = _rng(batch, "u", "w"), batch.column("n").to_numpy()
+        seats = [seated(n, np.multiply(*_numbers(batch, f"u_mass{k}", f"w_p{k}")), DISCOUNT["context"], rng) for k in CHAINS]
+        yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("w"), batch.column("n"), *[pa.array(t.astype(np.int32)) for t in seats]],
+                                         names=["u", "w", "n", *chains("t")])
+
+
+GUESTS = "id long, c long, base double, " + ", ".join(f"{x}{k} double" for x in ("own", "guests", "tables") for k in CHAINS)
+
+
+def _seat_words(tables: list[float]):
+    """Tables of the words in the parent, per chain, given all tables there."""
     def run(batches):
-        weight, d0 = backoff(of, sizes), DISCOUNT["word"]
         for batch in batches:
-            x = Seating(batch, model.value, start)
-            plain, seen = np.zeros((SAMPLES, x.size)), np.zeros(len(x.n))
-            for k, (seats, customers, tables) in enumerate(x.samples()):
-                t = of[k]
-                plain[k] = (customers - d0 * tables + (STRENGTH + d0 * t["tables"]) * x.base) / (STRENGTH + t["customers"])
-                seen += ((x.n - DISCOUNT["context"] * seats) / (STRENGTH + sizes[x.context]) + weight[k, x.context] * plain[k, x.word]) / SAMPLES
-            cut = np.concatenate([[0], np.cumsum(np.bincount(x.word, minlength=x.size))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("word"), batch.column("c"), pa.FixedSizeListArray.from_arrays(pa.array(plain.T.ravel()), SAMPLES).cast(pa.list_(pa.float64())),
-                pa.ListArray.from_arrays(pa.array(cut), pa.array(x.context.astype(np.int32))),
-                pa.ListArray.from_arrays(pa.array(cut), pa.array(np.log10(seen).astype(np.float32)))], names=["word", "c", "plain", "contexts", "logs"])
+            rng, base = _rng(batch, "id"), batch.column("base").to_numpy()
+            seats = [seated(batch.column(f"guests{k}").to_numpy(), (STRENGTH + DISCOUNT["word"] * tables[k]) * base, DISCOUNT["word"], rng) for k in CHAINS]
+            yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in ("id", "c", "base", *chains("own"), *chains("guests"))], *map(pa.array, seats)],
+                                             names=[x.split()[0] for x in GUESTS.split(", ")])
 
     return run
 
 
-PREDICTED = "word binary, c long, plain array<double>, contexts array<int>, logs array<float>"
-READ = "uid long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, context int, n long"
+class Parent:
+    """The restaurant of all words after a sweep, and each word's figures: count, tables as a context with the strength, probability as a dish.
+
+    ``moved`` has the pairs of several customers with their tables; all other customers of a word have a table each.
+    """
+
+    def __init__(self, vocabulary: DataFrame, moved: DataFrame, tables: list[float]):
+        # One aggregate by word, of its own row and of what its pairs tell on either side.
+        zero = F.lit(0).cast("long")
+        told = [f"{name}{k}" for name in ("own", "guests") for k in CHAINS]
+        rows = vocabulary.select("id", "c", "dish", "base", *[zero.alias(x) for x in told])
+        for side, name in (("u", "own"), ("w", "guests")):
+            more = {f"{name}{k}": F.col(f"t{k}") - F.col("n") for k in CHAINS}
+            rows = rows.unionByName(moved.select(F.col(side).alias("id"), zero.alias("c"), zero.alias("dish"), F.lit(0.0).alias("base"), *[more.get(x, zero).cast("long").alias(x) for x in told]))
+        rows = rows.groupBy("id").agg(*[F.sum(x).alias(x) for x in ("c", "dish", "base", *told)])
+        words_now = rows.select("id", "c", "base", *[(F.col(total) + F.col(f"{name}{k}")).cast("double").alias(f"{name}{k}") for name, total in (("own", "c"), ("guests", "dish")) for k in CHAINS])
+        seats = stored(words_now.mapInArrow(_seat_words(tables), GUESTS), "words")
+        sums = seats.agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in (*chains("guests"), *chains("tables"))]).first()
+        self.tables, guests = [sums[x] for x in chains("tables")], [sums[x] for x in chains("guests")]
+        d = DISCOUNT["word"]
+        self.fresh = [(STRENGTH + d * self.tables[k]) / (STRENGTH + guests[k]) for k in CHAINS]
+        figures = seats.select("id", "c", *[(STRENGTH + DISCOUNT["context"] * F.col(f"own{k}")).alias(f"mass{k}") for k in CHAINS],
+                               *[((F.col(f"guests{k}") - d * F.col(f"tables{k}")) / (STRENGTH + guests[k]) + self.fresh[k] * F.col("base")).alias(f"p{k}") for k in CHAINS])
+        often = frequent(figures, "c")
+        self.often, self.rare = F.broadcast(figures.filter(often)), figures.filter(~often)
+
+    def told(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with the figures of both words, null where a word is unknown."""
+        for side, columns in (("u", ["c", *chains("mass")]), ("w", ["c", *chains("p")])):
+            def named(df):
+                return df.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
+
+            found = pairs.join(named(self.often), side, "left")
+            there = F.col(f"{side}_c").isNotNull()
+            pairs = found.filter(there).unionByName(found.filter(~there).select(pairs.columns).join(named(self.rare), side, "left"))
+        return pairs
+
+
+def frequent(df: DataFrame, count: str):
+    """Condition on a count that at most ``FREQUENT`` rows meet; steps of a tenth."""
+    step = F.floor(F.log(count) * 10)
+    least, so_far = None, 0
+    for k, n in sorted(((r["k"], r["n"]) for r in df.groupBy(step.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True):
+        so_far += n
+        if so_far > FREQUENT:
+            break
+        least = k
+    return step >= least if least is not None else F.lit(False)
+
+
+def seen(parent: Parent, pairs: DataFrame) -> DataFrame:
+    """(u, w, n, log) of pairs with customers ``n`` and their mean tables ``t``: the averaged probability of the word in the context."""
+    p = (F.col("n") - DISCOUNT["context"] * F.col("t") + sum(F.col(f"u_mass{k}") * F.col(f"w_p{k}") for k in CHAINS) / SAMPLES) / (STRENGTH + F.col("u_c"))
+    return parent.told(pairs).select("u", "w", "n", F.log10(p).alias("log"))
+
+
+READ = "uid long, doc_id long, n_tokens long, n_known long, base double, score double, u long, w long, n long, alone float"
+LOOSE = "uid long, u long, w long, n long, owed long, first double, spelt double"
 
 
-def _read(known, n_all: int, kinds: int):
-    """Frequent words are scored at once; each of the others gives a row with its context, and each document a row with its sums."""
+class Figures:
+    """Of the tokens of some texts: which pairs are known by heart, and the figures of frequent words."""
+
+    def __init__(self, t: Tokens, known: tuple):
+        self.pairs, self.logs, self.ids, self.base, self.room, self.mass, self.p = known
+        place, there = self.found(self.ids, t.id)
+        start, start_there = self.found(self.ids, np.array([id_of(START)]))
+        first = t.before == id_of(START)
+        self.word, self.context = place, np.where(first, start, np.roll(place, 1))
+        self.there = there
+        self.sure = there & np.where(first, start_there, np.roll(there, 1))
+
+    @staticmethod
+    def found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(table, keys), max(len(table) - 1, 0))
+        return at, (table[at] == keys if len(table) else np.zeros(len(keys), bool))
+
+
+def counted_rows(t: Tokens, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs at some places one place per text, and how often it is there."""
+    _, pick, times = np.unique(mixed(pair_keys(t.before[which], t.id[which])) + t.row[which].astype(np.uint64), return_index=True, return_counts=True)
+    return which[pick], times
+
+
+def _read(known):
+    """Frequent pairs are scored at once. Each other pair of frequent words gives a row with its score if no other text has it, and each document a row with its sums."""
+    names = [x.split()[0] for x in READ.split(", ")]
+
     def run(batches):
-        hashes, base, logs, end_base, end_logs, end_known = known.value
         for batch in batches:
             for lo, hi in pieces(batch, "text"):
-                raw, s, e, context, row, closing, n = read_tokens(batch.column("text")[lo:hi])
-                docs = len(n)
-                h = Prefix(raw)(s, e) if len(s) else np.zeros(0, np.uint64)
-                at = np.minimum(np.searchsorted(hashes, h), max(len(hashes) - 1, 0))
-                hit = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
-                weight = np.zeros((3, docs))
-                weight[0] = np.bincount(row[hit], minlength=docs) + end_known
-                weight[1] = np.bincount(row[hit], base[at[hit]], minlength=docs) + end_base
-                weight[2] = np.bincount(row[hit], logs[at[hit], context[hit]], minlength=docs) + end_logs[closing]
-                rest = np.flatnonzero(~hit)
-                _, pick, times = np.unique(mixed(h[rest] * np.uint64(CONTEXTS) + context[rest].astype(np.uint64)) + row[rest].astype(np.uint64), return_index=True, return_counts=True)
-                rest = rest[pick]
-                uid, ids = batch.column("uid")[lo:hi], batch.column("doc_id")[lo:hi]
-                zero = np.zeros(len(rest))
-                # A document's own row joins with nothing, and nothing else has its key.
-                own = pa.array([END + int(u).to_bytes(8, "big", signed=True) for u in uid.to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([uid, ids, pa.array(n + 1, pa.int64()), pa.array(weight[0].astype(np.int64)), pa.array(weight[1]), pa.array(weight[2]), own,
-                                                  pa.array(np.zeros(docs, np.int32)), pa.array(np.zeros(docs, np.int64))], names=[x.split()[0] for x in READ.split(", ")])
-                yield pa.RecordBatch.from_arrays([uid.take(pa.array(row[rest])), ids.take(pa.array(row[rest])), pa.array(zero.astype(np.int64)), pa.array(zero.astype(np.int64)),
-                                                  pa.array(zero), pa.array(zero), gathered(raw, s[rest], e[rest]), pa.array(context[rest].astype(np.int32)), pa.array(times.astype(np.int64))],
-                                                 names=[x.split()[0] for x in READ.split(", ")])
+                t = Tokens(batch.column("text")[lo:hi])
+                x, docs = Figures(t, known.value), len(t.n)
+                at, hit = x.found(x.pairs, pair_keys(t.before, t.id))
+                hit &= x.sure
+                uid, zero = batch.column("uid")[lo:hi], pa.array(np.zeros(docs, np.int64))
+                # A document's own row joins with nothing, as no word has the id 0.
+                yield pa.RecordBatch.from_arrays([
+                    uid, batch.column("doc_id")[lo:hi], pa.array(t.n), pa.array(np.bincount(t.row[x.there], minlength=docs)),
+                    pa.array(np.bincount(t.row[x.there], x.base[x.word[x.there]], minlength=docs) * 1.0), pa.array(np.bincount(t.row[hit], x.logs[at[hit]], minlength=docs) * 1.0),
+                    uid, zero, zero, pa.array(np.zeros(docs, np.float32))], names=names)
+                rest, times = counted_rows(t, np.flatnonzero(x.sure & ~hit))
+                held = batch.column("held")[lo:hi].to_numpy(zero_copy_only=False)[t.row[rest]]
+                c, w = x.context[rest], x.word[rest]
+                alone = np.log10((np.where(held, 0, 1 - DISCOUNT["context"]) + (x.mass[c] * x.p[w]).mean(axis=1)) / x.room[c]) if len(rest) else np.zeros(0)
+                none = pa.array(np.zeros(len(rest), np.int64))
+                yield pa.RecordBatch.from_arrays([
+                    uid.take(pa.array(t.row[rest])), pa.nulls(len(rest), pa.int64()), none, none, pa.array(np.zeros(len(rest))), pa.array(np.zeros(len(rest))),
+                    signed(t.before[rest]), signed(t.id[rest]), pa.array(times.astype(np.int64)), pa.array(alone.astype(np.float32))], names=names)
 
     return run
 
 
-def _score(model, of: list[dict], sizes: np.ndarray, n_all: int, kinds: int):
+def _read_loose(known, letters):
+    """The pairs with a word that is not frequent; ``owed`` counts those where it is the second."""
     def run(batches):
-        weight, d0 = backoff(of, sizes), DISCOUNT["word"]
-        fresh = np.array([(STRENGTH + d0 * t["tables"]) / (STRENGTH + t["customers"]) for t in of])
         for batch in batches:
-            raw, s, e = _spans(batch.column("word"))
-            n = batch.column("n").to_numpy(zero_copy_only=False)
-            context = batch.column("context").to_numpy(zero_copy_only=False).astype(np.int64)
-            c = batch.column("c").fill_null(0).to_numpy(zero_copy_only=False)
-            log = batch.column("log").to_numpy(zero_copy_only=False).astype(np.float64).copy()
-            log[n == 0] = 0
-            for unseen, plain in ((np.isnan(log) & (c > 0), True), (np.isnan(log) & (c == 0), False)):
-                k = np.flatnonzero(unseen)
-                if len(k):
-                    p = np.array(batch.column("plain").take(pa.array(k)).to_pylist()).T if plain else fresh[:, None] * spelled(raw, s[k], e[k], model.value)[None, :]
-                    log[k] = np.log10((weight[:, context[k]] * p).mean(axis=0))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("uid"), batch.column("doc_id"), batch.column("n_tokens"), pa.array(batch.column("n_known").to_numpy() + n * (c > 0)),
-                pa.array(batch.column("base").to_numpy() + n * np.log10((c + 1) / (n_all + kinds + 1))), pa.array(batch.column("score").to_numpy() + n * log)],
-                names=["uid", "doc_id", "n_tokens", "n_known", "base", "score"])
+            for lo, hi in pieces(batch, "text"):
+                t = Tokens(batch.column("text")[lo:hi])
+                x = Figures(t, known.value)
+                rest, times = counted_rows(t, np.flatnonzero(~x.sure))
+                held = batch.column("held")[lo:hi].to_numpy(zero_copy_only=False)[t.row[rest]]
+                spelt, ends = np.zeros(len(t.id)), np.ones(len(t.id), bool)
+                ends[t.place] = False
+                spelt[ends] = spelled_log(np.frombuffer(END, np.uint8), np.array([0]), np.array([1]), letters.value)[0]
+                unknown = np.zeros(len(t.id), bool)  # of held-out texts alone
+                unknown[rest[held & ~x.there[rest]]] = True
+                k = np.flatnonzero(unknown[t.place])
+                spelt[t.place[k]] = spelled_log(t.raw, t.s[k], t.e[k], letters.value)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("uid")[lo:hi].take(pa.array(t.row[rest])), signed(t.before[rest]), signed(t.id[rest]), pa.array(times.astype(np.int64)),
+                    pa.array(np.where(x.there[rest], 0, times)), pa.array(np.where(held, 0, 1 - DISCOUNT["context"])), pa.array(spelt[rest])],
+                    names=[f.split()[0] for f in LOOSE.split(", ")])
 
     return run
 
@@ -288,69 +378,51 @@ def score_documents(docs: DataFrame, *, folds: int = 7, held: int = 2) -> DataFr
     """Scores of all documents under a model of those whose crc32(doc_id as text) mod ``folds`` is not ``held``."""
     spark = docs.sparkSession
     out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == held
-    docs = docs.select("doc_id", "text")
-    counted = docs.filter(~out).select("text").mapInArrow(_count, "word binary, context int, n long")
-    pairs = counted.groupBy("word", "context").agg(F.sum("n").alias("n"))
-    # At most one entry for each context, so no list grows with the data.
-    model = saved(pairs.groupBy("word").agg(F.sum("n").alias("c"), F.collect_list(F.struct("context", "n")).alias("seen")))
-    seen = model.select(F.explode("seen").alias("x")).groupBy("x.context").agg(F.sum("x.n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
-    sizes, by_context = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    for r in seen:
-        sizes[r["context"]], by_context[r["context"]] = r["n"], r["kinds"]
-    kinds, n_all = model.count(), int(sizes.sum())
-    cells = model.select("word").mapInArrow(_cells, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    docs = docs.select("doc_id", "text", out.alias("held"))
+    counted = stored(docs.filter(~F.col("held")).select("text").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "counts")
+    dishes = counted.filter(F.col("word") != F.lit(bytearray(START)))
+    kinds, n_all = dishes.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
+    cells = dishes.select("word").mapInArrow(_cells, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     letters = spark.sparkContext.broadcast(byte_model(cells.column("cell").to_numpy(), cells.column("n").to_numpy()))
-    start = {"by_context": by_context, "customers": float(by_context.sum()), "tables": float(kinds)}
-    for _ in range(2):  # totals settle before the samples that count
-        rows = model.mapInArrow(_totals(letters, start), "sample int, slot int, n double").groupBy("sample", "slot").agg(F.sum("n").alias("n")).collect()
-        of = [{"by_context": np.zeros(CONTEXTS), "tables": 0.0, "customers": 0.0} for _ in range(SAMPLES)]
-        for r in rows:
-            if r["slot"] < CONTEXTS:
-                of[r["sample"]]["by_context"][r["slot"]] = r["n"]
-            else:
-                of[r["sample"]]["tables"] = r["n"]
-        for t in of:
-            t["customers"] = float(t["by_context"].sum())
-        used, start = start, of[-1]
-    start = used
-    predicted = model.mapInArrow(_predict(letters, start, of, sizes), PREDICTED)
-    # The count from which at most FREQUENT words are on the spot; steps of a tenth.
-    steps = sorted(((r["k"], r["n"]) for r in model.groupBy(F.floor(F.log("c") * 10).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    least, held_so_far = None, 0
-    for k, n in steps:
-        held_so_far += n
-        if held_so_far > FREQUENT:
-            break
-        least = k
-    often = (F.floor(F.log("c") * 10) >= least) if least is not None else F.lit(False)
-    top = predicted.filter(often | (F.col("word") == F.lit(bytearray(END)))).toArrow().combine_chunks()
-    weight = backoff(of, sizes)
-
-    def dense(r):
-        p = np.log10((weight * np.array(r["plain"])[:, None]).mean(axis=0))
-        p[r["contexts"]] = r["logs"]
-        return p.astype(np.float32)
-
-    table = sorted(((r["word"], r["c"], dense(r)) for r in top.to_pylist()), key=lambda r: r[0])
-    fresh = np.array([(STRENGTH + DISCOUNT["word"] * t["tables"]) / (STRENGTH + t["customers"]) for t in of])
-    raw = np.frombuffer(END, np.uint8)
-    unknown_end = np.log10((weight * (fresh * spelled(raw, np.array([0]), np.array([1]), letters.value)[0])[:, None]).mean(axis=0))
-    end = next(((c, p) for w, c, p in table if w == END), (0, unknown_end))
-    table = [r for r in table if r[0] != END]
-    flat = np.frombuffer(b"".join(r[0] for r in table), np.uint8)
-    at = np.concatenate([[0], np.cumsum([len(r[0]) for r in table])]).astype(np.int64)
-    hashes = Prefix(flat)(at[:-1], at[1:]) if table else np.zeros(0, np.uint64)
-    order = np.argsort(hashes)
-    base = np.log10((np.array([r[1] for r in table], np.float64) + 1) / (n_all + kinds + 1))
-    known = spark.sparkContext.broadcast((hashes[order], base[order] if table else base, np.array([r[2] for r in table], np.float32).reshape(-1, CONTEXTS)[order],
-                                          float(np.log10((end[0] + 1) / (n_all + kinds + 1))), end[1], int(end[0] > 0)))
-    read = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text").mapInArrow(_read(known, n_all, kinds), READ)
-    rare = predicted.filter(~often & (F.col("word") != F.lit(bytearray(END))))
-    joined = read.join(rare, "word", "left").select(
-        "uid", "doc_id", "n_tokens", "n_known", "base", "score", "word", "context", "n", "c", "plain",
-        F.get("logs", (F.array_position("contexts", F.col("context")) - 1).cast("int")).alias("log"))
-    done = joined.mapInArrow(_score(letters, of, sizes, n_all, kinds), "uid long, doc_id long, n_tokens long, n_known long, base double, score double")
-    done = done.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+    vocabulary = stored(counted.mapInArrow(_based(letters), "id long, c long, dish long, base double"), "vocabulary")
+    # Pairs that training texts have once are looked up by held-out texts alone.
+    pairs = docs.select("text", "held").mapInArrow(_pairs, "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
+    pairs = stored(pairs.filter("n > 1 or n = 1 and least = 0").drop("least"), "pairs")
+    moved = pairs.filter("n > 1").select("u", "w", "n", *[F.lit(1).alias(f"t{k}") for k in CHAINS])
+    parent = Parent(vocabulary, moved, [float(kinds)] * SAMPLES)
+    for _ in range(SWEEPS):  # the first is burnt
+        moved = stored(parent.told(moved.select("u", "w", "n")).mapInArrow(_seat, SEATED), "seats")
+        parent = Parent(vocabulary, moved, parent.tables)
+    moved = moved.select("u", "w", "n", (sum(F.col(x) for x in chains("t")) / SAMPLES).alias("t"))
+    model = stored(seen(parent, moved.unionByName(pairs.filter("n = 1").withColumn("t", F.lit(1.0)))), "model")
+    often = frequent(model.filter("n > 1"), "n")
+    top = model.filter(often & (F.col("n") > 1)).select("u", "w", "log").toArrow()
+    keys = pair_keys(*[top.column(x).to_numpy().view(np.uint64) for x in "uw"])
+    order = np.argsort(keys)
+    heart = parent.often.toArrow()
+    ids = heart.column("id").to_numpy().view(np.uint64)
+    rank, c = np.argsort(ids), heart.column("c").to_numpy()
+    known = spark.sparkContext.broadcast((
+        keys[order], top.column("log").to_numpy()[order], ids[rank], np.log10((c[rank] + 1) / (n_all + kinds + 1)), STRENGTH + c[rank],
+        *[np.stack([heart.column(x).to_numpy()[rank] for x in chains(name)], axis=1) for name in ("mass", "p")]))
+    key = F.xxhash64("u", "w").alias("key")
+    # Read twice in one order, so a row has one number.
+    docs = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", "held")
+    sure = docs.mapInArrow(_read(known), READ).select(key, "uid", "doc_id", "n_tokens", "n_known", "base", "score", "n", "alone").join(model.filter(~often | (F.col("n") == 1)).select(key, "log"), "key", "left")
+    sure = sure.select("uid", "doc_id", "n_tokens", "n_known", "base", (F.col("score") + F.col("n") * F.coalesce("log", "alone")).alias("score"))
+    loose = stored(docs.drop("doc_id").mapInArrow(_read_loose(known, letters), LOOSE).select("*", key).join(model.select(key, "log"), "key", "left").drop("key"), "loose")
+    room = F.coalesce("u_c", F.lit(0)) + STRENGTH
+
+    def mean(p):
+        return sum(F.coalesce(f"u_mass{k}", F.lit(STRENGTH)) * p(k) for k in CHAINS) / SAMPLES
+
+    unknown = F.log10(mean(lambda k: F.lit(parent.fresh[k])) / room) + F.col("spelt")
+    log = F.coalesce("log", F.when(F.col("w_c").isNull(), unknown).otherwise(F.log10((F.col("first") + mean(lambda k: F.col(f"w_p{k}"))) / room)))
+    nothing = F.lit(0).cast("long")
+    loose = parent.told(loose).select("uid", F.lit(None).cast("long").alias("doc_id"), nothing.alias("n_tokens"), F.when(F.col("w_c") > 0, F.col("owed")).otherwise(0).alias("n_known"),
+                                      (F.col("owed") * F.log10((F.coalesce("w_c", F.lit(0)) + 1) / F.lit(float(n_all + kinds + 1)))).alias("base"), (F.col("n") * log).alias("score"))
+    # Only a document's own row has its id.
+    done = sure.unionByName(loose).groupBy("uid").agg(F.max("doc_id").alias("doc_id"), *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")])
     return done.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"),
                        F.col("base").alias("base_score"), "score")
 

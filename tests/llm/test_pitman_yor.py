@@ -67,3 +67,43 @@ def test_seating_has_the_mean_of_a_restaurant():
 
 def test_empty(spark, docs):
     assert py.score_documents(docs.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("frequent", [300_000, 2])
+def test_every_word_before_is_a_restaurant(spark, frequent, monkeypatch):
+    """Words before that end alike predict as differently as what follows them does."""
+    monkeypatch.setattr(py, "FREQUENT", frequent)
+    ids = [d for d in range(2000) if zlib.crc32(str(d).encode()) % 7 != 2]
+    tests = [d for d in range(2000, 3000) if zlib.crc32(str(d).encode()) % 7 == 2]
+    rows = [(d, "banana red x" if k % 2 else "havana blue x") for k, d in enumerate(ids[:400])]
+    probes = ["banana red", "banana blue", "havana blue", "havana red", "new red", "banana qqq", "banana " + "qwertz" * 200]
+    rows += list(zip(tests, probes))
+    got = {r.doc_id: r for r in py.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    score = dict(zip(probes, (got[d].score for d in tests)))
+    assert score["banana red"] > score["banana blue"] + 1 and score["havana blue"] > score["havana red"] + 1
+    assert score["banana blue"] > score["banana qqq"] > score["banana " + "qwertz" * 200] > -np.inf
+
+
+@pytest.mark.parametrize("frequent", [300_000, 2])
+def test_words_of_a_context_sum_to_one(spark, frequent, monkeypatch):
+    """Of the words after one, the known ones and an unknown one's share by its spelling take the whole."""
+    monkeypatch.setattr(py, "FREQUENT", frequent)
+    rng, ids = random.Random(3), [d for d in range(3000) if zlib.crc32(str(d).encode()) % 7 != 2]
+    stems = [a + b for a in "abcd" for b in "efg"]
+    docs = spark.createDataFrame([(d, " ".join(rng.choices(stems, range(1, 13), k=rng.randrange(9)))) for d in ids[:150]], "doc_id long, text string").repartition(3)
+    parents, parent = [], py.Parent
+    monkeypatch.setattr(py, "Parent", lambda *a: parents.append(parent(*a)) or parents[-1])
+    models, letters = [], py.byte_model
+    monkeypatch.setattr(py, "byte_model", lambda *a: models.append(letters(*a)) or models[-1])
+    tests = [d for d in range(3000, 9000) if zlib.crc32(str(d).encode()) % 7 == 2]
+    words = [*stems, "zq"]
+    probes = spark.createDataFrame(list(zip(tests, [f"ae {w}" for w in words] + ["ae"] + [f"{w}" for w in words])), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in py.score_documents(docs.unionByName(probes)).collect()}
+    last = {r["id"]: [r[f"p{k}"] for k in py.CHAINS] for r in parents[-1].often.unionByName(parents[-1].rare).collect()}
+    bytes_of = [*(w.encode() for w in stems), py.END]
+    flat = np.frombuffer(b"".join(bytes_of), np.uint8)
+    at = np.concatenate([[0], np.cumsum([len(w) for w in bytes_of])])
+    base = py.spelled(flat, at[:-1], at[1:], models[0])
+    for k in py.CHAINS:
+        assert abs(sum(p[k] for p in last.values()) + parents[-1].fresh[k] * (1 - base.sum()) - 1) < 1e-9
+    assert len(got) == 150 + len(words) * 2 + 1 and all(np.isfinite(x) and x < 0 for x in got.values())
