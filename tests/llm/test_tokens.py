@@ -1,6 +1,7 @@
 """Token counts, grammar files and packing against plain encoding with the libraries."""
 
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -73,6 +74,49 @@ def test_grammar_shrinks_and_expands():
     assert (repair_grammar.expand(seq[one], left, right, size, 40) == raw[counts[:5].sum():counts[:6].sum()]).all()
 
 
+def neighbours(doc):
+    """Pairs of a document; in a run of one symbol every other one counts."""
+    seen, before = [], None
+    for p in zip(doc, doc[1:]):
+        before = None if p == before and p[0] == p[1] else p
+        seen += [p] if before else []
+    return seen
+
+
+def replaced(doc, pair, symbol):
+    out, i = [], 0
+    while i < len(doc):
+        hit = tuple(doc[i:i + 2]) == pair
+        out.append(symbol if hit else doc[i])
+        i += 2 if hit else 1
+    return out
+
+
+@pytest.mark.parametrize("kinds,seed", [(3, 1), (12, 2), (60, 3)])
+def test_grammar_goes_on_until_no_pair_repeats(kinds, seed):
+    rng = np.random.default_rng(seed)
+    passage = rng.integers(0, kinds, 70).tolist()
+    docs = [rng.integers(0, kinds, n).tolist() for n in rng.integers(1, 40, 25)] + [passage, [0] * 37 + passage, [1] * 8, [1] * 9 + [2], [0]]
+    raw, counts = np.concatenate(docs), np.array([len(d) for d in docs])
+    seq, symbols, left, right, size = repair_grammar.compress(raw, counts, first=kinds)
+    # Plain Re-Pair: every rule is of a most frequent pair, and the last one leaves none that occurs twice.
+    for symbol, pair in enumerate(zip(left.tolist(), right.tolist()), kinds):
+        often = Counter(p for d in docs for p in neighbours(d))
+        assert often[pair] == max(often.values()) >= 2
+        docs = [replaced(d, pair, symbol) for d in docs]
+    assert max(Counter(p for d in docs for p in neighbours(d)).values()) == 1
+    assert seq.tolist() == [s for d in docs for s in d] and symbols.tolist() == [len(d) for d in docs]
+    assert (repair_grammar.expand(seq, left, right, size, kinds) == raw).all() and size.tolist() == [
+        len(repair_grammar.expand(np.array([kinds + k]), left, right, size, kinds)) for k in range(len(left))]
+
+
+def test_grammar_of_nothing_and_of_single_ids():
+    for raw, counts in ([], []), ([5], [1]), ([5, 5], [1, 1]), ([5, 5], [2]):
+        seq, symbols, left, right, size = repair_grammar.compress(np.array(raw, int), np.array(counts, int))
+        assert seq.tolist() == raw and symbols.tolist() == counts and len(left) == len(right) == len(size) == 0
+        assert repair_grammar.expand(seq, left, right, size).tolist() == raw
+
+
 def test_packing(spark, docs):
     rows = packing.op9(docs, capacity=512).collect()
     by_doc, by_bin = {}, {}
